@@ -1,3 +1,3 @@
 """Registered queries, one module per area. Importing this package fills the registry."""
 
-from shelfcast.catalog import flagship, scans  # noqa: F401
+from shelfcast.catalog import flagship, holidays, scans, windows  # noqa: F401

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shelfcast.functions.numeric import exact_sum
 from shelfcast.operators.panel import complete_panel
 from shelfcast.registry import register
 from shelfcast.sources import fixtures as fx
@@ -34,7 +35,7 @@ def panel_transactions(spark, sf):
 
 
 @register("panel_family_day", with_views("""
-WITH fd AS (SELECT date, family, SUM(sales) AS sales FROM sales_raw GROUP BY 1, 2)
+WITH fd AS (SELECT date, family, CAST(SUM(CAST(sales AS DECIMAL(38,6))) AS DOUBLE) AS sales FROM sales_raw GROUP BY 1, 2)
 SELECT CAST(g.d AS DATE) AS date, k.family, COALESCE(fd.sales, 0.0) AS sales,
        CASE WHEN fd.family IS NULL THEN 1 ELSE 0 END AS is_imputed
 FROM (SELECT DISTINCT family FROM fd) k
@@ -42,7 +43,7 @@ CROSS JOIN (SELECT MIN(date) d0, MAX(date) d1 FROM fd) b
 CROSS JOIN LATERAL unnest(generate_series(b.d0, b.d1, INTERVAL 1 DAY)) AS g(d)
 LEFT JOIN fd ON fd.family = k.family AND fd.date = CAST(g.d AS DATE)"""), ids="C-10")
 def panel_family_day(spark, sf):
-    fd = fx.sales_raw(spark, sf).groupBy("date", "family").agg(F.sum("sales").alias("sales"))
+    fd = fx.sales_raw(spark, sf).groupBy("date", "family").agg(exact_sum("sales").alias("sales"))
     return complete_panel(fd, PanelSpec(keys=("family",)), fill={"sales": 0.0}, flag_col="is_imputed")
 
 
