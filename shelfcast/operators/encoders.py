@@ -126,20 +126,22 @@ def target_encode_oof(df: DataFrame, key: str, target: str, fold_col: str = "fol
     """Out-of-fold target encoding in one aggregate: statistics of the other folds = totals - own fold.
 
     The prior of fold f is the target mean of all rows outside f. No per-fold refit loop.
+    The (fold, key) table has k x #keys rows; the per-fold table has k rows (broadcast).
     """
     out_col = out_col or f"{key}_te"
     fk = df.groupBy(fold_col, key).agg(F.sum(target).alias("_fs"), F.count(target).alias("_fn"))
-    tk = fk.groupBy(key).agg(F.sum("_fs").alias("_ts"), F.sum("_fn").alias("_tn"))
-    ff = df.groupBy(fold_col).agg(F.sum(target).alias("_Fs"), F.count(target).alias("_Fn"))
-    g = df.agg(F.sum(target).alias("_Gs"), F.count(target).alias("_Gn"))
-    gs, gn = g.select("_Gs").scalar(), g.select("_Gn").scalar()
-    stats = fk.join(tk, key).join(F.broadcast(ff), fold_col)
+    per_key = Window.partitionBy(key)
+    fk = fk.select("*", F.sum("_fs").over(per_key).alias("_ts"), F.sum("_fn").over(per_key).alias("_tn"))
+    ff = df.groupBy(fold_col).agg(F.sum(target).alias("_ps"), F.count(target).alias("_pn"))
+    g = df.agg(F.sum(target).alias("_gs"), F.count(target).alias("_gn"))
+    gs, gn = g.select("_gs").scalar(), g.select("_gn").scalar()
+    stats = fk.join(F.broadcast(ff), fold_col)
     n_oof = F.col("_tn") - F.col("_fn")
     mean_oof = F.try_divide(F.col("_ts") - F.col("_fs"), n_oof)
-    prior = F.try_divide(gs - F.col("_Fs"), gn - F.col("_Fn"))
+    prior = F.try_divide(gs - F.col("_ps"), gn - F.col("_pn"))
     enc = F.when(n_oof > 0, blend(n_oof, mean_oof, prior, how, **kw)).otherwise(prior)
     m = stats.select(fold_col, key, enc.alias(out_col), prior.alias("_p"))
     # keys absent from the other folds and keys unseen in df both fall back to that fold's prior
-    fprior = ff.select(fold_col, F.try_divide(gs - F.col("_Fs"), gn - F.col("_Fn")).alias("_fp"))
+    fprior = ff.select(fold_col, F.try_divide(gs - F.col("_ps"), gn - F.col("_pn")).alias("_fp"))
     out = df.join(m.drop("_p"), [fold_col, key], "left").join(F.broadcast(fprior), fold_col, "left")
     return out.withColumn(out_col, F.coalesce(F.col(out_col), F.col("_fp"))).drop("_fp")
