@@ -1,3 +1,3 @@
 """Registered queries, one module per area. Importing this package fills the registry."""
 
-from shelfcast.catalog import external, flagship, holidays, pipelines, quality, scans, windows  # noqa: F401
+from shelfcast.catalog import aggregates, external, flagship, holidays, pipelines, quality, scans, windows  # noqa: F401

@@ -95,7 +95,9 @@ def main():
             continue
         a, b = rows_of(scols, srows, False), rows_of(dcols, drows, False)
         if a == b:
-            print(f"NEAR {key}: {len(srows)} rows, floats differ in last bits ({ts:.1f}s)")
+            ea, eb = rows_of(scols, srows, True), rows_of(dcols, drows, True)
+            ex = [(x, y) for x, y in zip(ea, eb) if x != y]
+            print(f"NEAR {key}: {len(srows)} rows, {len(ex)} differ in last bits ({ts:.1f}s) e.g. {ex[0] if ex else ''}")
             bad += 1
             continue
         diffs = [(x, y) for x, y in zip(a, b) if x != y][:3]
