@@ -25,8 +25,12 @@ H0 = DEFAULT_SPLIT.horizon[0]
 
 
 def model_table(spark, sf):
-    return tf.safe_feature_set(tf.build_train_final(fx.sales_panel(spark, sf), fx.stores(spark, sf),
-                                                    fx.holidays_events(spark), fx.oil(spark, sf)))
+    """The v3 feature table, checkpointed once: tree training makes several passes over it."""
+    from shelfcast.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    t = tf.safe_feature_set(tf.build_train_final(fx.sales_panel(spark, sf), fx.stores(spark, sf),
+                                                 fx.holidays_events(spark), fx.oil(spark, sf)))
+    return t.checkpoint(eager=True)
 
 
 def _fit(spark, sf, params=None, max_iter=10, parts=("train",)):
@@ -50,7 +54,7 @@ def feature_importance(spark, sf):
 
 @register("param_search", None, ids="M-02")
 def param_search(spark, sf, trials: int = 3, seed: int = 42):
-    t = model_table(spark, sf).persist()
+    t = model_table(spark, sf)
     train, val = t.where("split = 'train'"), t.where("split = 'val'")
     rng = random.Random(seed)
     rows = []

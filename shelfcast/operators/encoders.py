@@ -132,16 +132,17 @@ def target_encode_oof(df: DataFrame, key: str, target: str, fold_col: str = "fol
     fk = df.groupBy(fold_col, key).agg(F.sum(target).alias("_fs"), F.count(target).alias("_fn"))
     per_key = Window.partitionBy(key)
     fk = fk.select("*", F.sum("_fs").over(per_key).alias("_ts"), F.sum("_fn").over(per_key).alias("_tn"))
+    # per-fold totals (k rows); global totals as a window over those k rows, not a rescan of df
     ff = df.groupBy(fold_col).agg(F.sum(target).alias("_ps"), F.count(target).alias("_pn"))
-    g = df.agg(F.sum(target).alias("_gs"), F.count(target).alias("_gn"))
-    gs, gn = g.select("_gs").scalar(), g.select("_gn").scalar()
+    everything = Window.partitionBy()
+    ff = ff.select("*", F.sum("_ps").over(everything).alias("_gs"), F.sum("_pn").over(everything).alias("_gn"))
+    ff = ff.select(fold_col, "_ps", "_pn", F.try_divide(F.col("_gs") - F.col("_ps"), F.col("_gn") - F.col("_pn")).alias("_fp"))
     stats = fk.join(F.broadcast(ff), fold_col)
     n_oof = F.col("_tn") - F.col("_fn")
     mean_oof = F.try_divide(F.col("_ts") - F.col("_fs"), n_oof)
-    prior = F.try_divide(gs - F.col("_ps"), gn - F.col("_pn"))
+    prior = F.col("_fp")
     enc = F.when(n_oof > 0, blend(n_oof, mean_oof, prior, how, **kw)).otherwise(prior)
-    m = stats.select(fold_col, key, enc.alias(out_col), prior.alias("_p"))
+    m = stats.select(fold_col, key, enc.alias(out_col))
     # keys absent from the other folds and keys unseen in df both fall back to that fold's prior
-    fprior = ff.select(fold_col, F.try_divide(gs - F.col("_ps"), gn - F.col("_pn")).alias("_fp"))
-    out = df.join(m.drop("_p"), [fold_col, key], "left").join(F.broadcast(fprior), fold_col, "left")
+    out = df.join(m, [fold_col, key], "left").join(F.broadcast(ff.select(fold_col, "_fp")), fold_col, "left")
     return out.withColumn(out_col, F.coalesce(F.col(out_col), F.col("_fp"))).drop("_fp")

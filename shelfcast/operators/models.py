@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +31,11 @@ def gbt_pipeline(df: DataFrame, features: list[str], label: str = "sales_log", p
     numeric = [c for c in features if c not in strings]
     stages = [StringIndexer(inputCols=strings, outputCols=[f"{c}__idx" for c in strings], handleInvalid="keep",
                             stringOrderType="alphabetAsc")] if strings else []
-    stages.append(VectorAssembler(inputCols=numeric + [f"{c}__idx" for c in strings], outputCol="features",
+    if strings:
+        # codes are ordinal numbers for the trees (as in the label-encoded reference), not categories
+        num_codes = ", ".join(f"`{c}__idx` + 0.0 AS `{c}__code`" for c in strings)
+        stages.append(SQLTransformer(statement=f"SELECT *, {num_codes} FROM __THIS__"))
+    stages.append(VectorAssembler(inputCols=numeric + [f"{c}__code" for c in strings], outputCol="features",
                                   handleInvalid="keep"))
     p = {"maxIter": max_iter, "maxDepth": 5, "stepSize": 0.1, "seed": seed, "maxBins": 64}
     p.update(params or {})
@@ -64,7 +68,7 @@ def importances(model: PipelineModel, features: list[str], spark, top: int = 20)
     asm = [s for s in model.stages if isinstance(s, VectorAssembler)][0]
     names = asm.getInputCols()
     vals = gbt.featureImportances.toArray().tolist()
-    df = spark.createDataFrame([(n.replace("__idx", ""), float(v)) for n, v in zip(names, vals)], "feature string, importance double")
+    df = spark.createDataFrame([(n.replace("__code", ""), float(v)) for n, v in zip(names, vals)], "feature string, importance double")
     return df.orderBy(F.col("importance").desc(), "feature").limit(top)
 
 

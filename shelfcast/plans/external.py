@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.operators.encoders import frequency_encode, label_mapping
@@ -31,12 +31,13 @@ def oil_daily(oil: DataFrame, end=None, value: str = "dcoilwtico") -> DataFrame:
     )
 
 
-def add_oil_features(fact: DataFrame, oil: DataFrame) -> DataFrame:
+def add_oil_features(fact: DataFrame, oil: DataFrame, end=None) -> DataFrame:
     """Join the daily oil table (spine extended to the last fact day; broadcast: one row per day).
 
     Fact days before the first quote take the first quote (backward fill of the price only).
+    `end` (the last fact day) can be passed to keep the fact's plan out of the spine bounds.
     """
-    end = fact.agg(F.max("date")).scalar()
+    end = fact.agg(F.max("date")).scalar() if end is None else end
     od = oil_daily(oil, end=F.greatest(end, oil.agg(F.max("date")).scalar()))
     first_price = od.orderBy("date").select("oil_price").limit(1).scalar()
     f = fact.join(F.broadcast(od), "date", "left")
@@ -51,9 +52,11 @@ def store_encoding_table(stores: DataFrame) -> DataFrame:
     return frequency_encode(s, "state", base=stores)
 
 
-def add_store_features(fact: DataFrame, stores: DataFrame, freq_base: str = "rows") -> DataFrame:
+def add_store_features(fact: DataFrame, stores: DataFrame, freq_base: str = "rows",
+                       count_base: DataFrame | None = None) -> DataFrame:
     """Store dimension + encodings. `freq_base='rows'` counts fact rows per city/state
-    (the training table's definition), `'stores'` counts stores (the forecast's)."""
+    (the training table's definition; `count_base` = the frame whose rows are counted,
+    default `fact`), `'stores'` counts stores (the forecast's)."""
     s = stores.select("store_nbr", "type", "city", "state", "cluster")
     codes = label_mapping(s, "type", "store_type_enc")
     s = s.join(F.broadcast(codes), "type", "left").withColumn("store_type_encoded", F.col("store_type_enc"))
@@ -63,10 +66,11 @@ def add_store_features(fact: DataFrame, stores: DataFrame, freq_base: str = "row
             f = frequency_encode(f, c, base=stores)
     else:
         # shares of fact rows: counts per store (one aggregate) rolled up to city/state, broadcast back
-        per_store = fact.groupBy("store_nbr").agg(F.count(F.lit(1)).alias("_rows"))
+        base = fact if count_base is None else count_base
+        per_store = base.groupBy("store_nbr").agg(F.count(F.lit(1)).alias("_rows"))
         ps = per_store.join(F.broadcast(s.select("store_nbr", "city", "state")), "store_nbr")
-        total = per_store.agg(F.sum("_rows")).scalar()
+        ps = ps.withColumn("_total", F.sum("_rows").over(Window.partitionBy()))  # one row per store
         for c in ("city", "state"):
-            m = ps.groupBy(c).agg((F.sum("_rows") / total).alias(f"{c}_freq"))
+            m = ps.groupBy(c).agg((F.sum("_rows") / F.first("_total")).alias(f"{c}_freq"))
             f = f.join(F.broadcast(m), c, "left").withColumn(f"{c}_freq", F.coalesce(F.col(f"{c}_freq"), F.lit(0.0)))
     return f

@@ -41,13 +41,14 @@ def build_train_final(panel: DataFrame, stores: DataFrame, holidays: DataFrame,
     encoding uses contiguous folds along that same order.
     """
     order = [spec.date, *spec.keys]
-    f = row_position(panel, order, "id")  # checkpointed: later scalar aggregates read it, not the sources
-    f = add_temporal_features(f, spec.date)
+    base = row_position(panel, order, "id")  # checkpointed: scalar bounds below scan it, not the sources
+    n = base.agg(F.count(F.lit(1))).scalar()
+    end = base.agg(F.max(spec.date)).scalar()
+    f = add_temporal_features(base, spec.date)
     f = add_lag_features(f, spec, mode)
     f = add_holiday_features(f, stores, holidays)
-    f = add_oil_features(f, oil)
-    f = add_store_features(f, stores, freq_base)
-    n = f.agg(F.count(F.lit(1))).scalar()
+    f = add_oil_features(f, oil, end=end)
+    f = add_store_features(f, stores, freq_base, count_base=base)
     f = f.withColumn("store_family", store_family(spec)).withColumn("_fold", contiguous_fold(F.col("id"), n, folds))
     f = target_encode_oof(f, "store_family", spec.target, "_fold", "store_family_te")
     return f.select(*TRAIN_FINAL_COLS)
@@ -96,7 +97,7 @@ def build_horizon_features(history: DataFrame, stores: DataFrame, holidays: Data
     f = add_lag_features(f, spec, CALENDAR, lags=sorted(set(lag_only) | set(SAFE_LAGS)), rolling=ROLLING_SAFE)
     f = f.filter(F.col(spec.date) >= F.lit(start))
     f = add_holiday_features(f, stores, holidays)
-    f = add_oil_features(f, oil)
+    f = add_oil_features(f, oil, end=F.lit(start + dt.timedelta(days=days - 1)))
     f = add_store_features(f, stores, "stores")
     hs = history.withColumn("store_family", store_family(spec))
     m = target_encode_fit(hs, "store_family", spec.target)
