@@ -87,7 +87,7 @@ def horizon_df(spark, sf):
                                      fx.oil(spark, sf), H0)
 
 
-@register("forecast", None, ids="F-07, M-05, P-22, C-19")
+@register("forecast", None, ids="F-07, M-05, P-22, C-19, U-02, M-03")
 def forecast(spark, sf):
     t, m = _fit(spark, sf, parts=("train", "val", "test"))
     h = mdl.predict(m, horizon_df(spark, sf), FEATURES)
@@ -155,7 +155,7 @@ def sink_roundtrip(spark, sf):
     return back.groupBy("store_nbr").agg(F.sum("transactions").alias("transactions"), F.count(F.lit(1)).alias("n_days"))
 
 
-@register("sink_splits", None, ids="S-07")
+@register("sink_splits", None, ids="S-07, T-01")
 def sink_splits(spark, sf):
     from shelfcast.plans.split import temporal_split
     df = temporal_split(fx.sales_panel(spark, sf))
@@ -181,7 +181,7 @@ def scan_typed_csv(spark, sf):
     return sinks.read_typed_csv(spark, path, schema)
 
 
-@register("schema_align", None, ids="S-04")
+@register("schema_align", None, ids="S-04, P-20")
 def schema_align(spark, sf):
     p = fx.sales_panel(spark, sf)
     header = p.limit(0).columns[::-1]

@@ -100,7 +100,7 @@ _CAL_LAGS = [1, 7, 14, 16, 28, 364]
 @register("calendar_lags", with_views("SELECT g.date, g.store_nbr, g.family, " + ", ".join(
     f"l{n}.sales AS lag_{n}" for n in _CAL_LAGS) + " FROM sales_gappy g " + " ".join(
     f"LEFT JOIN sales_gappy l{n} ON l{n}.store_nbr = g.store_nbr AND l{n}.family = g.family "
-    f"AND l{n}.date = g.date - INTERVAL {n} DAY" for n in _CAL_LAGS)), ids="J-04, F-02 (calendar mode)")
+    f"AND l{n}.date = g.date - INTERVAL {n} DAY" for n in _CAL_LAGS)), ids="J-04, F-02 (calendar mode), P-08")
 def calendar_lags(spark, sf):
     df = add_lag_features(fx.sales_gappy(spark, sf), mode=CALENDAR, lags=_CAL_LAGS, rolling={})
     return df.select(*KEYS, *[f"lag_{n}" for n in _CAL_LAGS])
