@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import datetime as dt
 import random
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from shelfcast.catalog.sqlparts import split_case
 from shelfcast.operators import models as mdl
 from shelfcast.operators.evaluate import metric_columns
 from shelfcast.operators.profile import clean_columns
@@ -199,5 +197,3 @@ def clean_columns_q(spark, sf):
     t = fx.transactions(spark, sf).toDF(" date", "store_nbr ", " transactions ")
     return clean_columns(t, ["date", "store_nbr", "transactions"])
 
-
-_ = (dt, split_case)

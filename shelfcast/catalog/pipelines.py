@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -16,7 +14,6 @@ from shelfcast.plans import train_final as tf
 from shelfcast.plans.features import LAGS, ROLLING_SAFE, ROLLING_SHIFT1, SAFE_LAGS
 from shelfcast.plans.split import split_bounds, temporal_split
 from shelfcast.registry import register
-from shelfcast.session import ensure_checkpoint_dir
 from shelfcast.sources import fixtures as fx
 from shelfcast.sources.fixture_sql import with_views
 from shelfcast.spec import DEFAULT_SPLIT, SHOCK_PERIODS

@@ -36,9 +36,8 @@ SELECT month(date) AS month, """ + ", ".join(f"round(avg(total) FILTER (WHERE is
     + f" FROM {DAILY} GROUP BY 1"), ids="R-02")
 def pivot_month_dow(spark, sf):
     d = fx.sales_panel(spark, sf).groupBy("date").agg(exact_sum("sales").alias("total"))
-    g = d.groupBy(F.month("date").alias("month")).pivot("dow", list(range(7))).agg(F.round(F.avg("total"), 4)) \
-        if False else d.withColumn("dow", F.weekday("date")).groupBy(F.month("date").alias("month")).pivot(
-            "dow", list(range(7))).agg(F.round(F.avg("total"), 4))
+    g = d.withColumn("dow", F.weekday("date")).groupBy(F.month("date").alias("month")).pivot(
+        "dow", list(range(7))).agg(F.round(F.avg("total"), 4))
     return g.select("month", *[F.col(str(i)).alias(f"d{i}") for i in range(7)])
 
 

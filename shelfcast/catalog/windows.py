@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfcast.catalog.sqlparts import rolling_sql
 from shelfcast.functions.calendar import TEMPORAL_FEATURES, day_name, temporal_columns
 from shelfcast.operators.panel import complete_panel, ffill_bfill, interpolate_linear
-from shelfcast.operators.windows import CALENDAR, ROWS, add_difference, rolling_col
+from shelfcast.operators.windows import CALENDAR, add_difference, rolling_col
 from shelfcast.plans.features import (LAGS, ROLLING_SAFE, ROLLING_SHIFT1, SAFE_LAGS, add_lag_features,
                                       add_temporal_features, build_features)
 from shelfcast.registry import register

@@ -26,8 +26,9 @@ def temporal_split(df: DataFrame, date: str = "date", split: SplitSpec = DEFAULT
 
 def split_bounds(df: DataFrame, date: str = "date", split: SplitSpec = DEFAULT_SPLIT) -> DataFrame:
     """Actual min/max date per split against its declared range; `ok` must be true everywhere."""
-    spec = df.sparkSession.createDataFrame(
-        [(n, a, b) for n, a, b in split.ranges()], "split string, range_start date, range_end date")
+    spec = df.sparkSession.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(n).alias("split"), F.lit(a).alias("range_start"), F.lit(b).alias("range_end"))
+        for n, a, b in split.ranges()])))
     act = df.groupBy("split").agg(F.min(date).alias("min_date"), F.max(date).alias("max_date"),
                                   F.count(F.lit(1)).alias("n_rows"))
     return act.join(F.broadcast(spec), "split").withColumn(

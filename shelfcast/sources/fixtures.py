@@ -7,7 +7,6 @@ column-pruned; no view collects to the driver.
 
 from __future__ import annotations
 
-import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -133,9 +132,19 @@ HOLIDAY_ROWS = [
 
 
 def holidays_events(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
-    """The holiday calendar (a small dimension; `event_seq` is its file order)."""
-    rows = [(s, dt.date.fromisoformat(d), *rest) for s, d, *rest in HOLIDAY_ROWS]
-    return spark.createDataFrame(rows, HOLIDAY_SCHEMA)
+    """The holiday calendar (a small dimension; `event_seq` is its file order).
+
+    Built as an inline JVM table (generator over literals), so scanning it needs no
+    Python worker.
+    """
+    rows = []
+    for seq, d, typ, loc, name, desc, tr in HOLIDAY_ROWS:
+        rows.append(F.struct(
+            F.lit(seq).cast("int").alias("event_seq"), F.lit(d).cast("date").alias("date"),
+            F.lit(typ).cast("string").alias("type"), F.lit(loc).cast("string").alias("locale"),
+            F.lit(name).cast("string").alias("locale_name"), F.lit(desc).cast("string").alias("description"),
+            F.lit(tr).cast("boolean").alias("transferred")))
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 VIEWS = {
