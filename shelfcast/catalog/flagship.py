@@ -31,7 +31,7 @@ WITH f AS (
   SELECT p.date, p.family, p.sales, s.type,
          CASE WHEN isodow(p.date) >= 6 THEN 1 ELSE 0 END AS is_weekend,
          lag(p.sales, 21) OVER (PARTITION BY p.store_nbr, p.family ORDER BY p.date) AS lag_21,
-         {rolling_sql('p.sales', 28, 16, 'mean', 1, 'p.store_nbr, p.family', 'p.date')} AS rolling_mean_28_safe
+         {rolling_sql('p.sales', 28, 16, 'mean', 1, 'p.store_nbr, p.family', 'p.date', exact=(4, 8))} AS rolling_mean_28_safe
   FROM sales_panel p LEFT JOIN stores s ON p.store_nbr = s.store_nbr
 ), sp AS (SELECT *, {split_case()} AS split FROM f)
 SELECT split, type, family,

@@ -7,6 +7,7 @@ import random
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from shelfcast.catalog.sqlparts import exact_mean_sql
 from shelfcast.operators import models as mdl
 from shelfcast.operators.evaluate import metric_columns
 from shelfcast.operators.profile import clean_columns
@@ -99,6 +100,8 @@ def arima_per_series(spark, sf):
 
 
 _HLAGS = [14, 16, 21, 28, 35, 364]
+R30 = "PARTITION BY store_nbr, family ORDER BY date RANGE BETWEEN INTERVAL 45 DAY PRECEDING AND INTERVAL 16 DAY PRECEDING"
+R28 = "PARTITION BY store_nbr, family ORDER BY date RANGE BETWEEN INTERVAL 43 DAY PRECEDING AND INTERVAL 16 DAY PRECEDING"
 
 
 @register("horizon_features", with_views(f"""
@@ -111,8 +114,8 @@ u AS (SELECT * FROM hist UNION ALL SELECT * FROM fut),
 f AS (SELECT u.date, u.store_nbr, u.family, """ + ", ".join(
     f"(SELECT l.sales FROM u l WHERE l.store_nbr = u.store_nbr AND l.family = u.family AND l.date = u.date - INTERVAL {n} DAY) AS lag_{n}"
     for n in _HLAGS) + """,
-  CASE WHEN count(sales) OVER r30 >= 1 THEN avg(sales) OVER r30 END AS rolling_mean_30,
-  CASE WHEN count(sales) OVER r28 >= 1 THEN avg(sales) OVER r28 END AS rolling_mean_28_safe,
+  CASE WHEN count(sales) OVER r30 >= 1 THEN """ + exact_mean_sql("sales", R30, 4, 6) + """ END AS rolling_mean_30,
+  CASE WHEN count(sales) OVER r28 >= 1 THEN """ + exact_mean_sql("sales", R28, 4, 6) + """ END AS rolling_mean_28_safe,
   CASE WHEN count(sales) OVER r28 >= 2 THEN stddev_samp(sales) OVER r28 END AS rolling_std_28_safe
   FROM u WINDOW r30 AS (PARTITION BY store_nbr, family ORDER BY date RANGE BETWEEN INTERVAL 45 DAY PRECEDING AND INTERVAL 16 DAY PRECEDING),
                r28 AS (PARTITION BY store_nbr, family ORDER BY date RANGE BETWEEN INTERVAL 43 DAY PRECEDING AND INTERVAL 16 DAY PRECEDING))

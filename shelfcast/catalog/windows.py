@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shelfcast.catalog.sqlparts import rolling_sql
+from shelfcast.catalog.sqlparts import exact_mean_sql, rolling_sql
+from shelfcast.functions.numeric import exact_sum
 from shelfcast.functions.calendar import TEMPORAL_FEATURES, day_name, temporal_columns
 from shelfcast.operators.panel import complete_panel, ffill_bfill, interpolate_linear
 from shelfcast.operators.windows import CALENDAR, add_difference, rolling_col
@@ -29,7 +30,14 @@ def _lag_sql(n: int, value: str = "sales", part: str = "store_nbr, family") -> s
 
 
 def _roll_sql(specs: dict) -> str:
-    return ",\n  ".join(f"round({rolling_sql('sales', w, o, s, m)}, 6) AS {k}" for k, (w, o, s, m) in specs.items())
+    """Rolling means of sales as exact decimal means rounded half-up to 6 digits; std rounded."""
+    out = []
+    for k, (w, o, s, m) in specs.items():
+        if s == "mean":
+            out.append(f"{rolling_sql('sales', w, o, s, m, exact=(4, 6))} AS {k}")
+        else:
+            out.append(f"round({rolling_sql('sales', w, o, s, m)}, 6) AS {k}")
+    return ",\n  ".join(out)
 
 
 def _round_cols(df, cols, digits=6):
@@ -146,25 +154,26 @@ def difference(spark, sf):
 
 @register("rolling_90", with_views(f"""
 SELECT date,
-  CASE WHEN count(total) OVER w = 90 THEN round(avg(total) OVER w, 4) END AS rolling_mean_90,
-  CASE WHEN count(total) OVER w = 90 THEN round(stddev_samp(total) OVER w, 4) END AS rolling_std_90
+  CASE WHEN count(total) OVER w = 90 THEN {exact_mean_sql('total', 'ORDER BY date ROWS BETWEEN 89 PRECEDING AND CURRENT ROW', 6, 4)} END AS rolling_mean_90,
+  CASE WHEN count(total) OVER w = 90 THEN round(stddev_samp(total) OVER w, 2) END AS rolling_std_90
 FROM {_DAILY} WINDOW w AS (ORDER BY date ROWS BETWEEN 89 PRECEDING AND CURRENT ROW)"""), ids="W-11")
 def rolling_90(spark, sf):
-    spec = PanelSpec(keys=(), target="total")
+    spec = PanelSpec(keys=(), target="total", decimals=6)
     d = _daily(spark, sf)
     return d.select("date",
                     F.round(rolling_col("total", 90, 0, "mean", 90, spec), 4).alias("rolling_mean_90"),
-                    F.round(rolling_col("total", 90, 0, "std", 90, spec), 4).alias("rolling_std_90"))
+                    F.round(rolling_col("total", 90, 0, "std", 90, spec), 2).alias("rolling_std_90"))
 
 
-@register("monthly_ma3", with_views("""
+@register("monthly_ma3", with_views(f"""
 SELECT month, round(total, 4) AS total,
-  CASE WHEN count(total) OVER w = 3 THEN round(avg(total) OVER w, 4) END AS ma3
-FROM (SELECT CAST(date_trunc('month', date) AS DATE) AS month, SUM(sales) AS total FROM sales_panel GROUP BY 1)
+  CASE WHEN count(total) OVER w = 3 THEN {exact_mean_sql('total', 'ORDER BY month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW', 6, 4)} END AS ma3
+FROM (SELECT CAST(date_trunc('month', date) AS DATE) AS month, CAST(SUM(CAST(sales AS DECIMAL(38,6))) AS DOUBLE) AS total
+      FROM sales_panel GROUP BY 1)
 WINDOW w AS (ORDER BY month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"""), ids="W-11, P-09")
 def monthly_ma3(spark, sf):
-    spec = PanelSpec(date="month", keys=(), target="total")
-    m = fx.sales_panel(spark, sf).groupBy(F.trunc("date", "month").alias("month")).agg(F.sum("sales").alias("total"))
+    spec = PanelSpec(date="month", keys=(), target="total", decimals=6)
+    m = fx.sales_panel(spark, sf).groupBy(F.trunc("date", "month").alias("month")).agg(exact_sum("sales").alias("total"))
     return m.select("month", F.round("total", 4).alias("total"),
                     F.round(rolling_col("total", 3, 0, "mean", 3, spec), 4).alias("ma3"))
 

@@ -48,7 +48,11 @@ def rolling_col(value: str, window: int, offset: int = 1, stat: str = "mean", mi
     least `min_periods` non-null values are in the frame. `std` is the sample form.
     """
     f = _frame(series_window(spec, mode), mode, -(offset + window - 1), -offset)
-    agg = {"mean": F.avg, "std": F.stddev_samp, "sum": F.sum, "min": F.min, "max": F.max}[stat](value).over(f)
+    if stat == "mean" and spec.decimals is not None and value == spec.target:
+        # exact decimal mean (scale + 4 digits, half-up), returned as double
+        agg = F.avg(F.col(value).cast(f"decimal(18,{spec.decimals})")).over(f).cast("double")
+    else:
+        agg = {"mean": F.avg, "std": F.stddev_samp, "sum": F.sum, "min": F.min, "max": F.max}[stat](value).over(f)
     return F.when(F.count(value).over(f) >= min_periods, agg)
 
 

@@ -8,11 +8,17 @@ from dataclasses import dataclass, field
 
 @dataclass(frozen=True)
 class PanelSpec:
-    """A panel is unique on (date, *keys); one series = one value of `keys`."""
+    """A panel is unique on (date, *keys); one series = one value of `keys`.
+
+    `decimals`: when the target is money with at most this many decimals, rolling
+    means of the target are averaged as decimals (exact, independent of the order of
+    addition) and returned as double. None keeps plain double arithmetic.
+    """
 
     date: str = "date"
     keys: tuple[str, ...] = ("store_nbr", "family")
     target: str = "sales"
+    decimals: int | None = None
 
     @property
     def key_cols(self) -> list[str]:
@@ -40,7 +46,7 @@ class SplitSpec:
         return out
 
 
-DEFAULT_PANEL = PanelSpec()
+DEFAULT_PANEL = PanelSpec(decimals=4)  # fixture sales are sums of 4-decimal amounts
 
 # Split boundaries of the fixture panel (FIXTURES.md, split table).
 DEFAULT_SPLIT = SplitSpec(
