@@ -53,10 +53,10 @@ def distribution_shape(spark, sf):
     qq = {k: q.select(k).scalar() for k in ("q25", "q50", "q75", "q99")}
     return s.select(F.round(qq["q25"], 6).alias("q25"), F.round(qq["q75"], 6).alias("q75"),
                     F.round(qq["q99"], 6).alias("q99"), F.round("sk", 6).alias("skewness"),
-                    F.round("ku", 6).alias("kurtosis"), F.round(F.col("sd") / F.col("mu") * 100, 6).alias("cv_pct"),
+                    F.round("ku", 6).alias("kurtosis"), F.round(F.try_divide(F.col("sd"), F.col("mu")) * 100, 6).alias("cv_pct"),
                     F.round(F.col("mu") - qq["q50"], 6).alias("mean_median_gap"),
-                    F.round(F.col("mx") / F.col("mu"), 6).alias("max_mean_ratio"),
-                    F.round((F.col("mx") - F.col("mn")) / F.col("mu") * 100, 6).alias("range_pct"))
+                    F.round(F.try_divide(F.col("mx"), F.col("mu")), 6).alias("max_mean_ratio"),
+                    F.round(F.try_divide(F.col("mx") - F.col("mn"), F.col("mu")) * 100, 6).alias("range_pct"))
 
 
 def _by(key, value):
@@ -257,7 +257,7 @@ FROM m JOIN pl ON pl.family = m.family JOIN av ON av.family = m.family"""), ids=
 def family_metrics(spark, sf):
     m, pl, av = _family_parts(spark, sf)
     j = m.join(pl, "family").join(av, "family")
-    return j.select("*", F.round(F.col("total_sales") / F.sum("total_sales").over(Window.partitionBy()), 9).alias("sales_share"))
+    return j.select("*", F.round(F.try_divide(F.col("total_sales"), F.sum("total_sales").over(Window.partitionBy())), 9).alias("sales_share"))
 
 
 SERIES_STATS_SQL = """
@@ -329,7 +329,7 @@ def geo_concentration(spark, sf):
     t = fx.sales_raw(spark, sf).groupBy("store_nbr").agg(exact_sum("sales").alias("total"))
     st = fx.stores(spark, sf).join(t, "store_nbr")
     g = st.groupBy("state", "city").agg(F.count(F.lit(1)).alias("n_stores"), exact_sum("total").alias("total_sales"))
-    return g.select("*", F.round(F.col("total_sales") / F.sum("total_sales").over(Window.partitionBy()), 9).alias("sales_share"))
+    return g.select("*", F.round(F.try_divide(F.col("total_sales"), F.sum("total_sales").over(Window.partitionBy())), 9).alias("sales_share"))
 
 
 @register("holiday_profile", with_views(f"""
@@ -367,7 +367,7 @@ def weekly_seasonality(spark, sf):
     we = F.avg(F.when(F.col("day_of_week") >= 5, F.col("mean_sales"))).over(all_)
     return d.select("day_of_week", F.round("mean_sales", 4).alias("mean_sales"),
                     F.round(F.col("mean_sales") - wk, 4).alias("diff_vs_weekday_mean"),
-                    F.round(we / wk - 1, 6).alias("weekend_uplift"),
+                    F.round(F.try_divide(we, wk) - 1, 6).alias("weekend_uplift"),
                     (F.col("day_of_week") == F.max_by("day_of_week", "mean_sales").over(all_)).alias("is_peak"))
 
 
@@ -448,7 +448,7 @@ def cagr(spark, sf):
     a = F.sum(F.when(F.col("year") == 1995, F.col("total")))
     b = F.sum(F.when(F.col("year") == 2001, F.col("total")))
     return y.agg(F.round(a, 4).alias("start_total"), F.round(b, 4).alias("end_total"),
-                 F.round(F.pow(b / a, 1.0 / 6) - 1, 9).alias("cagr"))
+                 F.round(F.pow(F.try_divide(b, a), 1.0 / 6) - 1, 9).alias("cagr"))
 
 
 @register("family_growth", with_views(f"""
@@ -539,7 +539,7 @@ def histogram50(spark, sf):
     c = capped_df(spark, sf)
     b = c.agg(F.min("sales_capped").alias("lo"), F.max("sales_capped").alias("hi"))
     lo, hi = b.select("lo").scalar(), b.select("hi").scalar()
-    binc = F.least(F.floor((F.col("sales_capped") - lo) / ((hi - lo) / 50.0)).cast("int") + 1, F.lit(50))
+    binc = F.least(F.coalesce(F.floor(F.try_divide(F.col("sales_capped") - lo, (hi - lo) / 50.0)), F.lit(0)).cast("int") + 1, F.lit(50))
     return c.groupBy(binc.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 

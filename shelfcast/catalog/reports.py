@@ -69,7 +69,7 @@ def family_type_mix(spark, sf):
     top = p.groupBy("family").agg(F.sum("sales").alias("t")).orderBy(F.col("t").desc(), "family").limit(10).select("family")
     j = p.join(top, "family", "left_semi").join(F.broadcast(fx.stores(spark, sf).select("store_nbr", "type")), "store_nbr")
     t = j.groupBy("family", "type").agg(exact_sum("sales").alias("total"))
-    return t.select("*", F.round(100.0 * F.col("total") / F.sum("total").over(Window.partitionBy("type")), 6).alias("pct_of_type"))
+    return t.select("*", F.round(F.try_divide(100.0 * F.col("total"), F.sum("total").over(Window.partitionBy("type"))), 6).alias("pct_of_type"))
 
 
 @register("top8_other", with_views(f"""

@@ -288,7 +288,7 @@ def kruskal_df(spark, sf):
     tie = t.groupBy("total").agg(F.count(F.lit(1)).alias("c")).agg(F.sum(F.col("c") ** 3 - F.col("c"))).scalar()
     g = r.groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.sum("rk").alias("rs"))
     h = 12.0 / (n * (n + 1)) * F.sum(F.col("rs") * F.col("rs") / F.col("n")) - 3 * (n + 1)
-    return g.agg(F.round(h, 9).alias("h_raw"), F.round(h / (1 - tie / (n * n * n - n)), 9).alias("h_stat"),
+    return g.agg(F.round(h, 9).alias("h_raw"), F.round(F.try_divide(h, 1 - F.try_divide(tie, n * n * n - n)), 9).alias("h_stat"),
                  (F.count(F.lit(1)) - 1).cast("int").alias("dof"), n.alias("n_obs"))
 
 

@@ -33,8 +33,8 @@ def shares(df: DataFrame, key, value: str, digits: int = 9) -> DataFrame:
     w = Window.orderBy(*order)
     total = F.sum(value).over(Window.partitionBy())
     cum = F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return df.select(*keys, value, F.round(F.col(value) / total, digits).alias("share"),
-                     F.row_number().over(w).alias("rank"), F.round(cum / total, digits).alias("cum_share"))
+    return df.select(*keys, value, F.round(F.try_divide(F.col(value), total), digits).alias("share"),
+                     F.row_number().over(w).alias("rank"), F.round(F.try_divide(cum, total), digits).alias("cum_share"))
 
 
 def concentration(df: DataFrame, key, value: str, digits: int = 9) -> DataFrame:
@@ -45,7 +45,7 @@ def concentration(df: DataFrame, key, value: str, digits: int = 9) -> DataFrame:
     top5 = F.sum(F.when(F.col("rank") <= 5, F.col("total"))).over(Window.partitionBy())
     top10 = F.sum(F.when(F.col("rank") <= 10, F.col("total"))).over(Window.partitionBy())
     tot = F.sum("total").over(Window.partitionBy())
-    return s.select("*", F.round(top5 / tot, digits).alias("top5_share"), F.round(top10 / tot, digits).alias("top10_share"),
+    return s.select("*", F.round(F.try_divide(top5, tot), digits).alias("top5_share"), F.round(F.try_divide(top10, tot), digits).alias("top10_share"),
                     F.round(F.try_divide(F.max("total").over(Window.partitionBy()), F.min("total").over(Window.partitionBy())),
                             digits).alias("max_min_ratio"))
 

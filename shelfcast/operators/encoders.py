@@ -42,7 +42,7 @@ def contiguous_fold(pos: Column, n: Column, k: int) -> Column:
     q = F.floor(n / k)
     big = n % k
     edge = big * (q + 1)
-    return F.when(pos < edge, F.floor(pos / (q + 1))).otherwise(big + F.floor((pos - edge) / q)).cast("int")
+    return F.when(pos < edge, F.floor(pos / (q + 1))).otherwise(big + F.floor(F.try_divide(pos - edge, q))).cast("int")
 
 
 def kfold_contiguous(df: DataFrame, order: list[str], k: int = 5, fold_col: str = "fold") -> DataFrame:

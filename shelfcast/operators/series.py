@@ -53,7 +53,7 @@ def decompose(df: DataFrame, value: str, period: int, model: str = "additive", k
         seasonal = F.col("_pm") - F.col("_norm")
         resid = x - F.col("trend") - F.col("seasonal")
     else:
-        seasonal = F.col("_pm") / F.col("_norm")
+        seasonal = F.try_divide(F.col("_pm"), F.col("_norm"))
         resid = F.try_divide(x, F.col("trend") * F.col("seasonal"))
     out = out.withColumn("seasonal", seasonal).withColumn("resid", resid)
     return out.select(*keys, date, value, "trend", "seasonal", "resid")
@@ -65,8 +65,8 @@ def decomposition_strength(dec: DataFrame, keys=()) -> DataFrame:
     r = F.col("resid")
     both = F.col("trend").isNotNull() & r.isNotNull()
     vr = F.var_pop(F.when(both, r))
-    trend_s = F.greatest(F.lit(0.0), 1 - vr / F.var_pop(F.when(both, F.col("trend") + r)))
-    seas_s = F.greatest(F.lit(0.0), 1 - vr / F.var_pop(F.when(both, F.col("seasonal") + r)))
+    trend_s = F.greatest(F.lit(0.0), 1 - F.try_divide(vr, F.var_pop(F.when(both, F.col("trend") + r))))
+    seas_s = F.greatest(F.lit(0.0), 1 - F.try_divide(vr, F.var_pop(F.when(both, F.col("seasonal") + r))))
     aggs = [trend_s.alias("trend_strength"), seas_s.alias("seasonal_strength")]
     return dec.groupBy(*keys).agg(*aggs) if keys else dec.agg(*aggs)
 
@@ -85,7 +85,7 @@ def acf(df: DataFrame, value: str, nlags: int = 60, keys=(), date: str = "date",
     aggs = [F.sum(F.col("_c") * F.col("_c")).alias("_p0"), F.count("_c").alias("_n")]
     aggs += [F.sum(f"_p{k}").alias(f"_p{k}") for k in range(1, nlags + 1)]
     s = d.groupBy(*keys).agg(*aggs) if keys else d.agg(*aggs)
-    arr = F.array(*[F.struct(F.lit(k).alias("lag"), (F.col(f"_p{k}") / F.col("_p0")).alias("acf"))
+    arr = F.array(*[F.struct(F.lit(k).alias("lag"), F.try_divide(F.col(f"_p{k}"), F.col("_p0")).alias("acf"))
                     for k in range(0, nlags + 1)])
     long = s.select(*keys, "_n", F.inline(arr))
     lw = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("lag")
