@@ -282,14 +282,21 @@ FROM g, nn, tt GROUP BY nn.n, tt.tt"""
 
 
 def kruskal_df(spark, sf):
+    """H statistic from average ranks; N and the tie term are windows over the per-store
+    table (one row per store), so the fact plan is not repeated in scalar subqueries."""
     t = store_totals(spark, sf)
-    r = t.select("type", "total", pct_rank_avg("total", desc=False).alias("rk"))
-    n = t.agg(F.count(F.lit(1))).scalar()
-    tie = t.groupBy("total").agg(F.count(F.lit(1)).alias("c")).agg(F.sum(F.col("c") ** 3 - F.col("c"))).scalar()
-    g = r.groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.sum("rk").alias("rs"))
-    h = 12.0 / (n * (n + 1)) * F.sum(F.col("rs") * F.col("rs") / F.col("n")) - 3 * (n + 1)
-    return g.agg(F.round(h, 9).alias("h_raw"), F.round(F.try_divide(h, 1 - F.try_divide(tie, n * n * n - n)), 9).alias("h_stat"),
-                 (F.count(F.lit(1)) - 1).cast("int").alias("dof"), n.alias("n_obs"))
+    everything = Window.partitionBy()
+    ties = F.count(F.lit(1)).over(Window.partitionBy("total"))
+    r = t.select("type", pct_rank_avg("total", desc=False).alias("rk"),
+                 F.count(F.lit(1)).over(everything).alias("_n"),
+                 F.sum(ties * ties - 1).over(everything).alias("_tie"))  # sum over rows of c^2-1 = sum over values of c^3-c
+    g = r.groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.sum("rk").alias("rs"), F.first("_n").alias("_n"),
+                              F.first("_tie").alias("_tie"))
+    n = F.first("_n").cast("double")
+    h = F.lit(12.0) / (n * (n + 1)) * F.sum(F.col("rs") * F.col("rs") / F.col("n")) - 3 * (n + 1)
+    corr = 1 - F.try_divide(F.first("_tie"), n * n * n - n)
+    return g.agg(F.round(h, 9).alias("h_raw"), F.round(F.try_divide(h, corr), 9).alias("h_stat"),
+                 (F.count(F.lit(1)) - 1).cast("int").alias("dof"), F.first("_n").alias("n_obs"))
 
 
 register("kruskal_wallis", with_views(KW_SQL), ids="H-01")(kruskal_df)
