@@ -24,12 +24,11 @@ H0 = DEFAULT_SPLIT.horizon[0]
 
 
 def model_table(spark, sf):
-    """The v3 feature table, checkpointed once: tree training makes several passes over it."""
-    from shelfcast.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
+    """The v3 feature table, written once: tree training makes several passes over it."""
+    from shelfcast.session import materialize
     t = tf.safe_feature_set(tf.build_train_final(fx.sales_panel(spark, sf), fx.stores(spark, sf),
                                                  fx.holidays_events(spark), fx.oil(spark, sf)))
-    return t.checkpoint(eager=True)
+    return materialize(t, "model-table")
 
 
 def _fit(spark, sf, params=None, max_iter=10, parts=("train",)):

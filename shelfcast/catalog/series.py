@@ -173,9 +173,8 @@ def representative_df(spark, sf):
     ac = ts.lag_autocorr(tr.where(F.col("date") >= F.lit(_ACF_CUTOFF)), "sales", 7, keys)
     val = p.where(F.col("date").between(F.lit(_V0), F.lit(_V1))).select(*keys).distinct()
     # one row per series; materialised once because the five picks read it repeatedly
-    from shelfcast.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    sv = stt.join(ac, keys).join(val, keys, "left_semi").checkpoint(eager=True)
+    from shelfcast.session import materialize
+    sv = materialize(stt.join(ac, keys).join(val, keys, "left_semi"), "series-selection")
     med = sv.agg(F.percentile("cv", 0.5)).scalar()
     order = {"mean_desc": [F.col("mean").desc()], "mean_asc": [F.col("mean").asc()],
              "acf": [F.col("acf_lag7").desc()], "zero": [F.col("zero_ratio").desc()], "cv": [F.col("cv").desc()]}

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.session import ensure_checkpoint_dir
+from shelfcast.session import materialize
 
 
 # ---------------------------------------------------------------- row position / folds
@@ -22,12 +22,11 @@ def row_position(df: DataFrame, order: list[str], out_col: str = "row_pos") -> D
     The frame is range-partitioned and sorted on `order` (a unique key, so a hot
     leading value is still split across tasks), each row gets its offset inside
     its partition, and partition start offsets come from a prefix sum over the
-    per-partition counts (one row per partition, broadcast). The sorted frame is
-    checkpointed so both uses see the same partitions.
+    per-partition counts (one row per partition, broadcast). The sorted frame with its
+    ids is written once to the shared folder, so both uses read the same ids.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     mid = F.monotonically_increasing_id()
-    s = df.orderBy(*order).withColumn("_mid", mid).checkpoint(eager=True)
+    s = materialize(df.orderBy(*order).withColumn("_mid", mid), "row-position")
     s = s.withColumn("_pid", F.shiftright("_mid", 33)).withColumn("_off", F.col("_mid").bitwiseAND((1 << 33) - 1))
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     starts = counts.select(

@@ -44,3 +44,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="shelfcast-ckpt-", dir=os.environ.get("SHELFCAST_SCRATCH", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+def materialize(df, name: str = "stage"):
+    """Write `df` once as parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage like `checkpoint()` but computes the plan a single time (an eager
+    RDD checkpoint runs the plan twice unless it is cached). The files survive the loss
+    of any executor.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
