@@ -197,3 +197,26 @@ def oil_lag_corr(spark, sf):
     lags = (1, 7, 14, 30, 365)
     a = a.select("sales", *[lag_col("dcoilwtico", n, spec).alias(f"oil_lag_{n}") for n in lags])
     return a.agg(*[F.round(F.corr("sales", f"oil_lag_{n}"), 6).alias(f"corr_lag_{n}") for n in lags])
+
+
+_IN_RANGE = """(SELECT h.* FROM holidays_events h
+  WHERE h.date BETWEEN (SELECT MIN(date) FROM sales_raw) AND (SELECT MAX(date) FROM sales_raw))"""
+
+
+def _in_range(spark, sf):
+    r = fx.sales_raw(spark, sf).agg(F.min("date").alias("a"), F.max("date").alias("b"))
+    return fx.holidays_events(spark).where(F.col("date").between(r.select("a").scalar(), r.select("b").scalar()))
+
+
+@register("holiday_text_flag", with_views(f"""
+SELECT event_seq, description, CASE WHEN COALESCE(contains(lower(description), 'carnaval'), false) THEN 1 ELSE 0 END AS is_carnaval
+FROM {_IN_RANGE}"""), ids="P-12")
+def holiday_text_flag(spark, sf):
+    return _in_range(spark, sf).select("event_seq", "description", hol.text_flag("description", "carnaval").alias("is_carnaval"))
+
+
+@register("map_encode", with_views(f"""
+SELECT event_seq, type, COALESCE(CASE type WHEN 'Holiday' THEN 1 WHEN 'Event' THEN 2 WHEN 'Additional' THEN 3
+  WHEN 'Transfer' THEN 4 WHEN 'Bridge' THEN 5 WHEN 'Work Day' THEN 0 END, 0) AS type_code FROM {_IN_RANGE}"""), ids="P-13")
+def map_encode(spark, sf):
+    return _in_range(spark, sf).select("event_seq", "type", hol.map_code("type", hol.TYPE_CODES).cast("int").alias("type_code"))
