@@ -45,7 +45,9 @@ halo AS (SELECT d.date,
   FROM (SELECT DISTINCT date FROM sales_panel) d),
 od AS ({OIL_DAILY_SQL}),
 se AS (SELECT s.store_nbr, s.type, s.city, s.state, s.cluster,
-   CAST(dense_rank() OVER (ORDER BY s.type) - 1 AS INTEGER) AS store_type_enc FROM stores s),
+   CAST(dense_rank() OVER (ORDER BY s.type) - 1 AS INTEGER) AS store_type_encoded FROM stores s),
+fte AS (SELECT type, CAST(dense_rank() OVER (ORDER BY type) - 1 AS INTEGER) AS store_type_enc
+   FROM (SELECT DISTINCT se.type FROM base JOIN se ON se.store_nbr = base.store_nbr)),
 rc AS (SELECT se.city, se.state, COUNT(*) AS c FROM base JOIN se ON se.store_nbr = base.store_nbr GROUP BY 1, 2),
 cf AS (SELECT city, SUM(c) / (SELECT SUM(c) FROM rc) AS city_freq FROM rc GROUP BY city),
 stf AS (SELECT state, SUM(c) / (SELECT SUM(c) FROM rc) AS state_freq FROM rc GROUP BY state),
@@ -68,14 +70,15 @@ SELECT lf.*, fl.is_national_holiday, fl.is_regional_holiday, fl.is_local_holiday
   COALESCE(od.oil_price, (SELECT oil_price FROM od ORDER BY date LIMIT 1)) AS oil_price, od.oil_price_lag_7,
   od.oil_price_lag_14, round(od.oil_price_rolling_mean_28, 6) AS oil_price_rolling_mean_28,
   round(od.oil_price_change_pct, 6) AS oil_price_change_pct,
-  se.type, se.city, se.state, se.cluster, se.store_type_enc, round(cf.city_freq, 6) AS city_freq,
-  round(stf.state_freq, 6) AS state_freq, se.store_type_enc AS store_type_encoded,
+  se.type, se.city, se.state, se.cluster, fte.store_type_enc, round(cf.city_freq, 6) AS city_freq,
+  round(stf.state_freq, 6) AS state_freq, se.store_type_encoded,
   te.store_family, round(te.store_family_te, 6) AS store_family_te
 FROM lf
 JOIN fl ON fl.date = lf.date AND fl.store_nbr = lf.store_nbr AND fl.family = lf.family
 JOIN halo ON halo.date = lf.date
 LEFT JOIN od ON od.date = lf.date
 LEFT JOIN se ON se.store_nbr = lf.store_nbr
+LEFT JOIN fte ON fte.type = se.type
 LEFT JOIN cf ON cf.city = se.city LEFT JOIN stf ON stf.state = se.state
 JOIN te ON te.id = lf.id)"""
 

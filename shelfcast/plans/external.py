@@ -58,15 +58,18 @@ def add_store_features(fact: DataFrame, stores: DataFrame, freq_base: str = "row
     (the training table's definition; `count_base` = the frame whose rows are counted,
     default `fact`), `'stores'` counts stores (the forecast's)."""
     s = stores.select("store_nbr", "type", "city", "state", "cluster")
-    codes = label_mapping(s, "type", "store_type_enc")
-    s = s.join(F.broadcast(codes), "type", "left").withColumn("store_type_encoded", F.col("store_type_enc"))
+    # store_type_encoded: codes of the store table's types; store_type_enc: codes of the
+    # types that occur in the fact (the label encoder of the training table is fitted there)
+    s = s.join(F.broadcast(label_mapping(s, "type", "store_type_encoded")), "type", "left")
     f = fact.join(F.broadcast(s), "store_nbr", "left")
+    base = fact if count_base is None else count_base
+    fact_types = base.select("store_nbr").distinct().join(F.broadcast(s.select("store_nbr", "type")), "store_nbr")
+    f = f.join(F.broadcast(label_mapping(fact_types, "type", "store_type_enc")), "type", "left")
     if freq_base == "stores":
         for c in ("city", "state"):
             f = frequency_encode(f, c, base=stores)
     else:
         # shares of fact rows: counts per store (one aggregate) rolled up to city/state, broadcast back
-        base = fact if count_base is None else count_base
         per_store = base.groupBy("store_nbr").agg(F.count(F.lit(1)).alias("_rows"))
         ps = per_store.join(F.broadcast(s.select("store_nbr", "city", "state")), "store_nbr")
         ps = ps.withColumn("_total", F.sum("_rows").over(Window.partitionBy()))  # one row per store
