@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shelfcast.functions.numeric import EPS, exact_sum
+from shelfcast.functions.numeric import EPS, exact_avg, exact_sum
+from shelfcast.catalog.sqlparts import exact_mean_sql
 from shelfcast.operators import aggregates as agg
 from shelfcast.operators.profile import exact_quantiles
 from shelfcast.registry import register
@@ -84,17 +85,17 @@ def daily_sales(spark, sf):
 @register("period_rollup", with_views(f"""
 WITH d AS (SELECT date, total FROM {DAILY})
 SELECT 'month' AS period, CAST(date_trunc('month', date) AS DATE) AS period_start, {XSUM.format(x='total')} AS total,
-  round(avg(total), 4) AS mean, round(stddev_samp(total), 4) AS std FROM d GROUP BY 2
-UNION ALL SELECT 'quarter', CAST(date_trunc('quarter', date) AS DATE), {XSUM.format(x='total')}, round(avg(total), 4),
-  round(stddev_samp(total), 4) FROM d GROUP BY 2
-UNION ALL SELECT 'year', CAST(date_trunc('year', date) AS DATE), {XSUM.format(x='total')}, round(avg(total), 4),
-  round(stddev_samp(total), 4) FROM d GROUP BY 2"""), ids="A-05, P-09")
+  {exact_mean_sql('total', None, 6, 4)} AS mean, round(stddev_samp(total), 2) AS std FROM d GROUP BY 2
+UNION ALL SELECT 'quarter', CAST(date_trunc('quarter', date) AS DATE), {XSUM.format(x='total')}, {exact_mean_sql('total', None, 6, 4)},
+  round(stddev_samp(total), 2) FROM d GROUP BY 2
+UNION ALL SELECT 'year', CAST(date_trunc('year', date) AS DATE), {XSUM.format(x='total')}, {exact_mean_sql('total', None, 6, 4)},
+  round(stddev_samp(total), 2) FROM d GROUP BY 2"""), ids="A-05, P-09")
 def period_rollup(spark, sf):
     d = daily(spark, sf).select("total", F.trunc("date", "month").alias("m"), F.trunc("date", "quarter").alias("q"),
                                 F.trunc("date", "year").alias("y"))
     g = d.groupingSets([["m"], ["q"], ["y"]], "m", "q", "y").agg(
-        exact_sum("total").alias("total"), F.round(F.avg("total"), 4).alias("mean"),
-        F.round(F.stddev_samp("total"), 4).alias("std"), F.grouping_id().alias("_g"))
+        exact_sum("total").alias("total"), exact_avg("total", 6, 4).alias("mean"),
+        F.round(F.stddev_samp("total"), 2).alias("std"), F.grouping_id().alias("_g"))
     period = F.when(F.col("m").isNotNull(), "month").when(F.col("q").isNotNull(), "quarter").otherwise("year")
     return g.select(period.alias("period"), F.coalesce("m", "q", "y").alias("period_start"), "total", "mean", "std")
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfcast.functions.calendar import in_periods
-from shelfcast.functions.numeric import exact_sum
+from shelfcast.functions.numeric import exact_avg, exact_sum
+from shelfcast.catalog.sqlparts import exact_mean_sql
 from shelfcast.operators.panel import complete_panel, interpolate_linear
 from shelfcast.plans import holidays as hol
 from shelfcast.registry import register
@@ -154,7 +155,7 @@ def holiday_window(spark, sf):
 def _impact(df, by):
     return df.groupBy(by).agg(
         F.count(F.lit(1)).alias("n_days"),
-        F.round(F.avg("sales"), 4).alias("mean_sales"),
+        exact_avg("sales", 6, 4).alias("mean_sales"),
         F.round(F.percentile("sales", 0.25), 4).alias("q25"),
         F.round(F.percentile("sales", 0.5), 4).alias("median"),
         F.round(F.percentile("sales", 0.75), 4).alias("q75"),
@@ -164,7 +165,7 @@ def _impact(df, by):
 def _impact_sql(by, where="TRUE"):
     return with_views(f"""
 WITH a AS ({ANALYSIS_SQL})
-SELECT {by}, COUNT(*) AS n_days, round(avg(sales), 4) AS mean_sales,
+SELECT {by}, COUNT(*) AS n_days, {exact_mean_sql('sales', None, 6, 4)} AS mean_sales,
   round(quantile_cont(sales, 0.25), 4) AS q25, round(quantile_cont(sales, 0.5), 4) AS median,
   round(quantile_cont(sales, 0.75), 4) AS q75
 FROM a WHERE {where} GROUP BY {by}""")

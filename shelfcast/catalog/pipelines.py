@@ -120,7 +120,7 @@ def dq_split_bounds(spark, sf):
 @register("safe_feature_set", _tf_sql(f"""
 , v3 AS (SELECT train_final.* EXCLUDE (lag_1, lag_2, lag_3, lag_7, rolling_mean_7, rolling_mean_14, rolling_mean_28, rolling_std_7),
   {', '.join(_lag_sql(n) for n in SAFE_LAGS)}, {_roll_sql(ROLLING_SAFE)} FROM train_final)
-SELECT v3.* EXCLUDE (id), {split_case()} AS split, ln(1 + sales) AS sales_log FROM v3
+SELECT v3.* EXCLUDE (id), {split_case()} AS split, round(ln(1 + sales), 9) AS sales_log FROM v3
 WHERE {split_case()} IS NOT NULL""".replace("\n, v3", ",\nv3", 1)), ids="F-06, W-02, W-05, C-17")
 def safe_feature_set(spark, sf):
-    return _rounded(tf.safe_feature_set(train_final_df(spark, sf)))
+    return _rounded(tf.rounded_log_target(tf.safe_feature_set(train_final_df(spark, sf))))

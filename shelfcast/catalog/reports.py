@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfcast.catalog.sqlparts import metrics_sql, rolling_sql, split_case
-from shelfcast.functions.numeric import exact_sum
+from shelfcast.catalog.sqlparts import exact_mean_sql, metrics_sql, rolling_sql, split_case
+from shelfcast.functions.numeric import exact_avg, exact_sum
 from shelfcast.operators.evaluate import metric_columns, metrics_gap
 from shelfcast.plans.features import add_safe_features
 from shelfcast.plans.split import temporal_split
@@ -32,12 +32,13 @@ def pivot_cluster_type(spark, sf):
 
 
 @register("pivot_month_dow", with_views(f"""
-SELECT month(date) AS month, """ + ", ".join(f"round(avg(total) FILTER (WHERE isodow(date) - 1 = {d}), 4) AS d{d}" for d in range(7))
+SELECT month(date) AS month, """ + ", ".join(
+    exact_mean_sql(f"CASE WHEN isodow(date) - 1 = {d} THEN total END", None, 6, 4) + f" AS d{d}" for d in range(7))
     + f" FROM {DAILY} GROUP BY 1"), ids="R-02")
 def pivot_month_dow(spark, sf):
     d = fx.sales_panel(spark, sf).groupBy("date").agg(exact_sum("sales").alias("total"))
     g = d.withColumn("dow", F.weekday("date")).groupBy(F.month("date").alias("month")).pivot(
-        "dow", list(range(7))).agg(F.round(F.avg("total"), 4))
+        "dow", list(range(7))).agg(exact_avg("total", 6, 4))
     return g.select("month", *[F.col(str(i)).alias(f"d{i}") for i in range(7)])
 
 
@@ -51,11 +52,11 @@ def pivot_month_year(spark, sf):
 
 
 @register("year_week", with_views(f"""
-SELECT year(date) AS year, week(date) AS week, round(avg(total), 4) AS mean_sales FROM {DAILY} GROUP BY 1, 2"""), ids="R-04")
+SELECT year(date) AS year, week(date) AS week, {exact_mean_sql('total', None, 6, 4)} AS mean_sales FROM {DAILY} GROUP BY 1, 2"""), ids="R-04")
 def year_week(spark, sf):
     d = fx.sales_panel(spark, sf).groupBy("date").agg(exact_sum("sales").alias("total"))
     return d.groupBy(F.year("date").alias("year"), F.weekofyear("date").alias("week")).agg(
-        F.round(F.avg("total"), 4).alias("mean_sales"))
+        F.round(F.avg(F.col("total").cast("decimal(18,6)")), 4).cast("double").alias("mean_sales"))
 
 
 @register("family_type_mix", with_views(f"""
@@ -87,11 +88,12 @@ def top8_other(spark, sf):
 
 @register("pivot_family_month", with_views(f"""
 WITH fd AS (SELECT date, family, {XSUM.format(x='sales')} AS sales FROM sales_panel GROUP BY 1, 2)
-SELECT family, """ + ", ".join(f"round(avg(sales) FILTER (WHERE month(date) = {m}), 4) AS m{m}" for m in range(1, 13))
+SELECT family, """ + ", ".join(
+    exact_mean_sql(f"CASE WHEN month(date) = {m} THEN sales END", None, 6, 4) + f" AS m{m}" for m in range(1, 13))
     + " FROM fd GROUP BY family"), ids="R-07")
 def pivot_family_month(spark, sf):
     fd = fx.sales_panel(spark, sf).groupBy("date", "family").agg(exact_sum("sales").alias("sales"))
-    g = fd.withColumn("m", F.month("date")).groupBy("family").pivot("m", list(range(1, 13))).agg(F.round(F.avg("sales"), 4))
+    g = fd.withColumn("m", F.month("date")).groupBy("family").pivot("m", list(range(1, 13))).agg(exact_avg("sales", 6, 4))
     return g.select("family", *[F.col(str(m)).alias(f"m{m}") for m in range(1, 13)])
 
 

@@ -11,8 +11,9 @@ def split_case(date: str = "date") -> str:
 def exact_mean_sql(value: str, over: str, scale: int, digits: int) -> str:
     """Decimal mean (half-up at scale + 4, as Spark's decimal average), then half-up to `digits`,
     in integer arithmetic; for non-negative values."""
-    s_units = f"CAST(SUM(CAST({value} AS DECIMAL(18,{scale}))) OVER ({over}) * {10 ** scale} AS HUGEINT)"
-    n = f"count({value}) OVER ({over})"
+    win = f" OVER ({over})" if over else ""
+    s_units = f"CAST(SUM(CAST({value} AS DECIMAL(18,{scale}))){win} * {10 ** scale} AS HUGEINT)"
+    n = f"count({value}){win}"
     q = f"(({s_units}) * 20000 + {n}) // (2 * {n})"
     drop = scale + 4 - digits
     if drop <= 0:

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfcast.catalog.sqlparts import exact_mean_sql, rolling_sql
-from shelfcast.functions.numeric import exact_sum
+from shelfcast.functions.numeric import exact_avg, exact_sum
 from shelfcast.functions.calendar import TEMPORAL_FEATURES, day_name, temporal_columns
 from shelfcast.operators.panel import complete_panel, ffill_bfill, interpolate_linear
 from shelfcast.operators.windows import CALENDAR, add_difference, rolling_col
@@ -50,14 +50,14 @@ def temporal_features(spark, sf):
     return fx.sales_panel(spark, sf).select(*KEYS, *temporal_columns("date"))
 
 
-@register("dow_name", with_views("""
+@register("dow_name", with_views(f"""
 SELECT dayname(date) AS day_name, isodow(date) - 1 AS day_of_week, COUNT(*) AS n_days,
-       round(avg(total), 6) AS mean_sales
-FROM (SELECT date, SUM(sales) AS total FROM sales_panel GROUP BY date) GROUP BY 1, 2"""), ids="P-05, A-04")
+       {exact_mean_sql('total', None, 6, 6)} AS mean_sales
+FROM (SELECT date, CAST(SUM(CAST(sales AS DECIMAL(38,6))) AS DOUBLE) AS total FROM sales_panel GROUP BY date) GROUP BY 1, 2"""), ids="P-05, A-04")
 def dow_name(spark, sf):
-    daily = fx.sales_panel(spark, sf).groupBy("date").agg(F.sum("sales").alias("total"))
+    daily = fx.sales_panel(spark, sf).groupBy("date").agg(exact_sum("sales").alias("total"))
     return daily.groupBy(day_name("date").alias("day_name"), F.weekday("date").alias("day_of_week")).agg(
-        F.count(F.lit(1)).alias("n_days"), F.round(F.avg("total"), 6).alias("mean_sales"))
+        F.count(F.lit(1)).alias("n_days"), exact_avg("total", 6, 6).alias("mean_sales"))
 
 
 @register("make_date", with_views("""

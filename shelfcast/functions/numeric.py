@@ -29,3 +29,11 @@ def rnd(x, digits: int = 6) -> Column:
 def exact_sum(x) -> Column:
     """Order-independent double sum: add as decimal(38,6), return double."""
     return F.sum(c(x).cast("decimal(38,6)")).cast("double")
+
+
+def exact_avg(x, scale: int = 6, digits: int = 4) -> Column:
+    """Mean of money values as a decimal mean (half-up), rounded half-up to `digits`, as double.
+
+    Independent of the order of addition, so every engine returns the same value.
+    """
+    return F.round(F.avg(c(x).cast(f"decimal(18,{scale})")), digits).cast("double")

@@ -69,6 +69,10 @@ def safe_feature_set(train_final: DataFrame, split: SplitSpec = DEFAULT_SPLIT, s
     return f.select(*V3_FEATURE_COLS, "split", "sales", F.log1p("sales").alias("sales_log"))
 
 
+def rounded_log_target(df: DataFrame, digits: int = 9) -> DataFrame:
+    return df.withColumn("sales_log", F.round("sales_log", digits))
+
+
 def horizon_frame(history: DataFrame, start: dt.date, days: int = HORIZON_DAYS,
                   spec: PanelSpec = DEFAULT_PANEL) -> DataFrame:
     """Future rows (target NULL) for every series of `history`: series x [start, start+days)."""
