@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.operators.joins import broadcast_if_small
 from shelfcast.session import materialize
 
 
@@ -32,7 +33,7 @@ def row_position(df: DataFrame, order: list[str], out_col: str = "row_pos") -> D
     starts = counts.select(
         "_pid", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
                            F.lit(0)).alias("_start"))
-    return s.join(F.broadcast(starts), "_pid").withColumn(out_col, F.col("_start") + F.col("_off")).drop(
+    return s.join(broadcast_if_small(starts), "_pid").withColumn(out_col, F.col("_start") + F.col("_off")).drop(
         "_pid", "_off", "_start", "_mid")
 
 
@@ -69,7 +70,7 @@ def label_encode(df: DataFrame, col: str, fit_on: list[DataFrame] | None = None,
         part = f.select(col)
         src = part if src is None else src.unionByName(part)
     m = label_mapping(src, col, code_col)
-    out = df.join(F.broadcast(m) if broadcast else m, col, "left")
+    out = df.join(broadcast_if_small(m) if broadcast else m, col, "left")
     if unseen is not None:
         out = out.withColumn(code_col, F.coalesce(F.col(code_col), F.lit(unseen)))
     return out
@@ -88,7 +89,7 @@ def frequency_encode(df: DataFrame, col: str, base: DataFrame | None = None, out
     """Share of `base` rows (default: df's own rows; pass the store table for a per-store base)."""
     out_col = out_col or f"{col}_freq"
     m = frequency_mapping(df if base is None else base, col, out_col)
-    out = df.join(F.broadcast(m) if broadcast else m, col, "left")
+    out = df.join(broadcast_if_small(m) if broadcast else m, col, "left")
     return out.withColumn(out_col, F.coalesce(F.col(out_col), F.lit(unseen)))
 
 
@@ -136,12 +137,12 @@ def target_encode_oof(df: DataFrame, key: str, target: str, fold_col: str = "fol
     everything = Window.partitionBy()
     ff = ff.select("*", F.sum("_ps").over(everything).alias("_gs"), F.sum("_pn").over(everything).alias("_gn"))
     ff = ff.select(fold_col, "_ps", "_pn", F.try_divide(F.col("_gs") - F.col("_ps"), F.col("_gn") - F.col("_pn")).alias("_fp"))
-    stats = fk.join(F.broadcast(ff), fold_col)
+    stats = fk.join(broadcast_if_small(ff), fold_col)
     n_oof = F.col("_tn") - F.col("_fn")
     mean_oof = F.try_divide(F.col("_ts") - F.col("_fs"), n_oof)
     prior = F.col("_fp")
     enc = F.when(n_oof > 0, blend(n_oof, mean_oof, prior, how, **kw)).otherwise(prior)
     m = stats.select(fold_col, key, enc.alias(out_col))
     # keys absent from the other folds and keys unseen in df both fall back to that fold's prior
-    out = df.join(m, [fold_col, key], "left").join(F.broadcast(ff.select(fold_col, "_fp")), fold_col, "left")
+    out = df.join(m, [fold_col, key], "left").join(broadcast_if_small(ff.select(fold_col, "_fp")), fold_col, "left")
     return out.withColumn(out_col, F.coalesce(F.col(out_col), F.col("_fp"))).drop("_fp")
