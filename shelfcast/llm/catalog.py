@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.llm.decontaminate import contamination
+from shelfcast.llm.jaccard import Similarity, jaccard_components
 from shelfcast.llm.packing import pack
 
 LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -39,10 +40,29 @@ from d left join words using (r) left join items using (r)
 """
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), Similarity(words=4, num=85, den=100))
+
+
+OP8_SQL = rf"""
+with recursive d as (select doc_id, regexp_extract_all({LOWER_SQL}, '[^\x20\x09-\x0D]+') w from documents),
+s as (
+  select distinct doc_id, array_to_string(w[i : i + least(len(w), 4) - 1], ' ') g
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) i from d where len(w) > 0)
+),
+n as (select doc_id, count(*) n from s group by doc_id),
+c as (select a.doc_id a, b.doc_id b, count(*) c from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+l as (select a, b from c join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 85 * (x.n + y.n - c)),
+r as (select doc_id a, doc_id b from d union select r.a, l.b from r join l on r.b = l.a)
+select d.doc_id, cast(coalesce(n.n, 0) as bigint) n_shingles, m.component_id
+from d left join n using (doc_id) join (select a, min(b) component_id from r group by a) m on m.a = d.doc_id
+"""
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pack(docs, tokenizer_json=public_tokenizers.path("byte_bpe_50k.json"), ranks_file=public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
-QUERIES = {f.__name__: f for f in (op4_benchmark_decontamination, op10_packing)}
-ORACLES = {"op4_benchmark_decontamination": OP4_SQL}
+QUERIES = {f.__name__: f for f in (op4_benchmark_decontamination, op8_ngram_jaccard_join, op10_packing)}
+ORACLES = {"op4_benchmark_decontamination": OP4_SQL, "op8_ngram_jaccard_join": OP8_SQL}
