@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfcast.llm.decontaminate import contamination
 from shelfcast.llm.jaccard import Similarity, jaccard_components
+from shelfcast.llm.labels import fold
 from shelfcast.llm.packing import pack
+from shelfcast.llm.secrets import digest, scan
+from shelfcast.llm.toxicity import toxicity
 
 LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -16,6 +20,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(scan(table(spark, sf_dir, "documents")))
+
+
+def _held_out(folds: int, held: int):
+    return F.coalesce(fold("doc_id", folds) == held, F.lit(False)).alias("held_out")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=3, held=1)
+    return scored.select("doc_id", _held_out(3, 1), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -64,5 +81,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(docs, tokenizer_json=public_tokenizers.path("byte_bpe_50k.json"), ranks_file=public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
-QUERIES = {f.__name__: f for f in (op4_benchmark_decontamination, op8_ngram_jaccard_join, op10_packing)}
+QUERIES = {f.__name__: f for f in (op2_secret_scans, op4_benchmark_decontamination, op7_toxicity, op8_ngram_jaccard_join, op10_packing)}
 ORACLES = {"op4_benchmark_decontamination": OP4_SQL, "op8_ngram_jaccard_join": OP8_SQL}
