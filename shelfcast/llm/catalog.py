@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 from shelfcast.llm.decontaminate import contamination
 from shelfcast.llm.jaccard import Similarity, jaccard_components
 from shelfcast.llm.labels import fold
+from shelfcast.llm.language import fit, identify
 from shelfcast.llm.packing import pack
+from shelfcast.llm.quality import quality
 from shelfcast.llm.secrets import digest, scan
 from shelfcast.llm.toxicity import toxicity
+from shelfcast.llm.urls import judge
 
 LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -28,6 +31,21 @@ def _held_out(folds: int, held: int):
     return F.coalesce(fold("doc_id", folds) == held, F.lit(False)).alias("held_out")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = identify(docs, fit(docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (fold("doc_id", 5) != 0))))
+    return found.select("doc_id", _held_out(5, 0), "lang_pred", "score", "rejected")
+
+
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "pages"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=4, held=2)
+    return scored.select("doc_id", _held_out(4, 2), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "n_passages")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=3, held=1)
     return scored.select("doc_id", _held_out(3, 1), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
@@ -81,5 +99,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(docs, tokenizer_json=public_tokenizers.path("byte_bpe_50k.json"), ranks_file=public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
-QUERIES = {f.__name__: f for f in (op2_secret_scans, op4_benchmark_decontamination, op7_toxicity, op8_ngram_jaccard_join, op10_packing)}
+QUERIES = {f.__name__: f for f in (op2_secret_scans, op3_language_id, op4_benchmark_decontamination, op5_url_filters, op6_quality_classifier, op7_toxicity, op8_ngram_jaccard_join, op10_packing)}
 ORACLES = {"op4_benchmark_decontamination": OP4_SQL, "op8_ngram_jaccard_join": OP8_SQL}

@@ -76,12 +76,12 @@ def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0] : offs[-1]], offs - offs[0]
 
 
-def runs(column: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, row after the last, bytes, offsets) of consecutive rows of up to `limit` bytes."""
+def runs(column: pa.Array, limit: int = CHUNK, rows: int = 1 << 30) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, row after the last, bytes, offsets) of up to `rows` consecutive rows of up to `limit` bytes."""
     data, offs = byte_view(column)
     row = 0
     while row < len(column):
-        end = max(row + 1, int(np.searchsorted(offs, offs[row] + limit, "right")) - 1)
+        end = min(row + rows, max(row + 1, int(np.searchsorted(offs, offs[row] + limit, "right")) - 1))
         yield row, end, data[offs[row] : offs[end]], offs[row : end + 1] - offs[row]
         row = end
 
