@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.llm.chat import format_chats, held_out
 from shelfcast.llm.decontaminate import contamination
 from shelfcast.llm.jaccard import Similarity, jaccard_components
 from shelfcast.llm.labels import fold
@@ -23,6 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = table(spark, sf_dir, "conversations")
+    return format_chats(chats, chats.where(~held_out())).withColumn("held_out", held_out())
+
+
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(scan(table(spark, sf_dir, "documents")))
 
@@ -99,5 +105,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(docs, tokenizer_json=public_tokenizers.path("byte_bpe_50k.json"), ranks_file=public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
-QUERIES = {f.__name__: f for f in (op2_secret_scans, op3_language_id, op4_benchmark_decontamination, op5_url_filters, op6_quality_classifier, op7_toxicity, op8_ngram_jaccard_join, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_secret_scans, op3_language_id, op4_benchmark_decontamination, op5_url_filters, op6_quality_classifier, op7_toxicity, op8_ngram_jaccard_join, op10_packing)}
 ORACLES = {"op4_benchmark_decontamination": OP4_SQL, "op8_ngram_jaccard_join": OP8_SQL}
