@@ -13,6 +13,7 @@ from shelfcast.llm.labels import fold
 from shelfcast.llm.language import fit, identify
 from shelfcast.llm.packing import pack
 from shelfcast.llm.quality import quality
+from shelfcast.llm.search import search_documents
 from shelfcast.llm.secrets import digest, scan
 from shelfcast.llm.toxicity import toxicity
 from shelfcast.llm.urls import judge
@@ -100,10 +101,30 @@ from d left join n using (doc_id) join (select a, min(b) component_id from r gro
 """
 
 
+def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search_documents(table(spark, sf_dir, "documents"))
+
+
+OP9_SQL = rf"""
+with d as (select row_number() over () r, doc_id, text, regexp_extract_all({LOWER_SQL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from documents),
+t as (select r, doc_id, len(w) l, unnest(w) g from d),
+p as (select r, doc_id, l, g, count(*) tf from t group by all),
+f as (select g, count(*) df from p group by g),
+m as (select count(*) n, sum(len(w)) / count(*) mean from d),
+q as (select distinct doc_id query_id, text, unnest(list_distinct(w)) g from d where doc_id % 100 = 0),
+s as (
+  select query_id, text, r, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * l / mean))), 6) score
+  from q join p using (g) join f using (g), m group by all
+),
+o as (select *, row_number() over (partition by query_id, text order by score desc, doc_id) rank from s)
+select query_id, cast(rank as integer) rank, doc_id, score from o where rank <= 10
+"""
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pack(docs, tokenizer_json=public_tokenizers.path("byte_bpe_50k.json"), ranks_file=public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_secret_scans, op3_language_id, op4_benchmark_decontamination, op5_url_filters, op6_quality_classifier, op7_toxicity, op8_ngram_jaccard_join, op10_packing)}
-ORACLES = {"op4_benchmark_decontamination": OP4_SQL, "op8_ngram_jaccard_join": OP8_SQL}
+QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_secret_scans, op3_language_id, op4_benchmark_decontamination, op5_url_filters, op6_quality_classifier, op7_toxicity, op8_ngram_jaccard_join, op9_topk_search, op10_packing)}
+ORACLES = {"op4_benchmark_decontamination": OP4_SQL, "op8_ngram_jaccard_join": OP8_SQL, "op9_topk_search": OP9_SQL}
