@@ -188,3 +188,13 @@ def contamination(docs: DataFrame, items: DataFrame, keys: list[str] | None = No
         *keys, "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("items_sha256", empty).alias("items_sha256"), ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
     )
+
+
+def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of `docs` (doc_id, text), with all columns, that aren't contaminated by `items`."""
+    mark = "text_mark"
+    while mark in docs.columns:
+        mark += "_"
+    marked = docs.withColumn(mark, F.xxhash64("text"))
+    bad = contamination(marked, items, ["doc_id", mark]).where("contaminated").select(F.col("doc_id").alias("bad_id"), F.col(mark).alias("bad_mark")).distinct()
+    return marked.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.col(mark) == F.col("bad_mark")), "left_anti").drop(mark)

@@ -130,19 +130,26 @@ def redact_text(text: str, spans: list[tuple[int, int, str]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def redact(docs: DataFrame, allow: tuple[str, ...] = ALLOW) -> DataFrame:
+def redact(docs: DataFrame, allow: tuple[str, ...] = ALLOW, length: str | None = None) -> DataFrame:
     """`docs` with every secret in `text` replaced by its kind in brackets.
 
     All rows and columns stay, also null texts and texts without a secret, unchanged.
+    `length`: a column that has the text's number of characters and is kept up to date.
     """
     ship_package(docs.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         allowed = compiled(allow)
         for batch in batches:
-            i = batch.schema.get_field_index("text")
-            texts = [t if t is None else redact_text(t, find_spans(t, allowed)) for t in (x.as_py() for x in batch.column(i))]
-            yield batch.set_column(i, batch.schema.field(i), pa.array(texts, batch.schema.field(i).type))
+            texts = text_array(batch, "text").to_pylist()
+            found = [find_spans(t or "", allowed) for t in texts]
+            new = {"text": [redact_text(t, f) if f else t for t, f in zip(texts, found, strict=True)]}
+            if length:
+                new[length] = [len(t) if f else n for t, f, n in zip(new["text"], found, text_array(batch, length).to_pylist(), strict=True)]
+            for name, values in new.items():
+                field = batch.schema.field(name)
+                batch = batch.set_column(batch.schema.get_field_index(name), field, pa.array(values, field.type))
+            yield batch
 
     return docs.mapInArrow(work, docs.schema)
 

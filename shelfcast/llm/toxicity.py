@@ -178,6 +178,13 @@ def learn(rows: list[tuple[str, int]], exceptions: tuple[tuple[str, str], ...] =
     return lexicon
 
 
+def lexicon_of(docs: DataFrame, labels: DataFrame, folds: int, held: int, per_class: int, exceptions: tuple[tuple[str, str], ...] = ()) -> Lexicon:
+    """Learned from up to `per_class` documents of either class, without the held fold."""
+    sample = labelled_sample(docs, labels, "toxic", fold("doc_id", folds) != held, per_class)
+    rows = sorted((r["doc_id"], r["text"], r["label"]) for r in materialize(sample, "toxic_sample").toLocalIterator())
+    return learn([(t, y) for _, t, y in rows], exceptions)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1, per_class: int = 4000, exceptions: tuple[tuple[str, str], ...] = ()) -> DataFrame:
     """doc_id, score (0 to 1) and density for every row of `docs` (doc_id, text).
 
@@ -187,11 +194,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1,
     scores are the same low value. Rows that repeat are scored each for itself, a null doc_id
     stays null, other columns play no part, an empty table gives no rows.
     """
-    spark = docs.sparkSession
-    ship_package(spark)
-    sample = labelled_sample(docs, labels, "toxic", fold("doc_id", folds) != held, per_class)
-    rows = sorted((r["doc_id"], r["text"], r["label"]) for r in materialize(sample, "toxic_sample").toLocalIterator())
-    shared = spark.sparkContext.broadcast(learn([(t, y) for _, t, y in rows], exceptions))
+    ship_package(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(lexicon_of(docs, labels, folds, held, per_class, exceptions))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = shared.value
@@ -201,3 +205,18 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1,
             yield pa.RecordBatch.from_arrays([text_array(batch, "doc_id"), pa.array([lexicon.score(d) for d in density], pa.float64()), pa.array(density, pa.float64())], names=["doc_id", "score", "density"])
 
     return docs.select("doc_id", "text").mapInArrow(work, f"doc_id {dict(docs.dtypes)['doc_id']}, score double, density double")
+
+
+def reject_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.7, folds: int = 3, held: int = 1, per_class: int = 4000, exceptions: tuple[tuple[str, str], ...] = ()) -> DataFrame:
+    """The rows of `docs`, with all columns, that `toxicity` scores below `limit`."""
+    ship_package(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(lexicon_of(docs, labels, folds, held, per_class, exceptions))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = shared.value
+        automaton = lexicon.automaton()
+        for batch in batches:
+            keep = [lexicon.score(lexicon.density(fold_text(t.as_py() or ""), automaton)) < limit for t in text_array(batch, "text")]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(work, docs.schema)
