@@ -67,15 +67,15 @@ def learn(rows: DataFrame) -> Model:
     """Counts over labelled rows (conv, turn, text, role in ROLES) with priors: tables of fixed size."""
     index = F.array_position(F.array(*map(F.lit, ROLES)), F.col("role")).cast("int") - 1
     rows = rows.where(F.col("role").isin(*ROLES)).withColumn("state", index)
-    emits = np.full((3, OBSERVATIONS), 0.1)
+    emits = np.zeros((3, OBSERVATIONS))
     for state, observed, n in observed_lines(rows).groupBy("state", "observed").count().collect():
         emits[state, observed] += n
-    total = emits.sum(axis=1, keepdims=True)
+    emits = emits / np.maximum(emits.sum(axis=1, keepdims=True), 1) + 1e-3 / OBSERVATIONS
     for role in range(3):  # a marker means its role, whatever the sizes
         for place in range(2):
             for kind in (1, 2, 3):
                 cells = slice((place * KINDS + kind) * SIZES, (place * KINDS + kind + 1) * SIZES)
-                emits[role, cells] += total[role] * (0.05 if kind == role + 1 else 0.0001) / SIZES
+                emits[role, cells] += (0.05 if kind == role + 1 else 0.0001) / SIZES
     states = rows.select("conv", "turn", "state")
     first = states.join(states.groupBy("conv").agg(F.min("turn").alias("turn")), ["conv", "turn"])
     start = np.ones(3)

@@ -26,7 +26,7 @@ from shelfcast.llm.textbytes import text_array
 from shelfcast.session import materialize, ship_package
 
 #: Letters of other scripts that look like Latin ones.
-HOMOGLYPHS = dict(zip("аеорсухіјѕԁһгвнкмтοαρνιτκυε", "aeopcyxijsdhrbhkmtoapvitkue", strict=True))
+HOMOGLYPHS = dict(zip("аеорсухіјѕԁдһгвнкмтοαρνιτκυε", "aeopcyxijsddhrbhkmtoapvitkue", strict=True))
 #: Digits and signs written for letters; l joins i, as 1 stands for both.
 SIGNS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "l": "i"}
 FULL_WIDTH = {chr(0xFF01 + k): chr(0x21 + k).lower() for k in range(94)}
@@ -106,7 +106,7 @@ def _terms(words: set[str], shortest: int, longest: int) -> set[str]:
     return out
 
 
-def learn(rows: list[tuple[str, int]], exceptions: tuple[tuple[str, str], ...] = (), most: int = 256, times: int = 3, shortest: int = 4, longest: int = 7) -> Lexicon:
+def learn(rows: list[tuple[str, int]], exceptions: tuple[tuple[str, str], ...] = (), most: int = 256, times: int = 8, shortest: int = 4, longest: int = 7) -> Lexicon:
     """The lexicon of a sample of (text, label). Without documents of both classes it is empty."""
     folded = [(fold_text(t), y) for t, y in rows]
     words = [set(WORD.findall(t)) for t, _ in folded]
