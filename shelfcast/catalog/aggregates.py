@@ -94,7 +94,7 @@ def period_rollup(spark, sf):
     d = daily(spark, sf).select("total", F.trunc("date", "month").alias("m"), F.trunc("date", "quarter").alias("q"),
                                 F.trunc("date", "year").alias("y"))
     g = d.groupingSets([["m"], ["q"], ["y"]], "m", "q", "y").agg(
-        exact_sum("total").alias("total"), exact_avg("total", 6, 4).alias("mean"),
+        exact_sum("total").alias("total"), exact_avg("total", 4).alias("mean"),
         F.round(F.stddev_samp("total"), 2).alias("std"), F.grouping_id().alias("_g"))
     period = F.when(F.col("m").isNotNull(), "month").when(F.col("q").isNotNull(), "quarter").otherwise("year")
     return g.select(period.alias("period"), F.coalesce("m", "q", "y").alias("period_start"), "total", "mean", "std")
@@ -172,7 +172,7 @@ def type_metrics(spark, sf):
     p = fx.sales_panel(spark, sf)
     sm = p.groupBy("store_nbr").agg(exact_sum("sales").alias("total"), F.avg("sales").alias("mean"),
                                     (F.count_if(F.col("sales") == 0) * 100.0 / F.count(F.lit(1))).alias("zero_pct"))
-    j = sm.join(F.broadcast(fx.stores(spark, sf).select("store_nbr", "type")), "store_nbr")
+    j = sm.join(fx.stores(spark, sf).select("store_nbr", "type"), "store_nbr")
     return j.groupBy("type").agg(F.count(F.lit(1)).alias("n_stores"), F.round(exact_sum("total"), 2).alias("total_sales"),
                                  F.round(F.avg("total"), 2).alias("mean_store_sales"),
                                  F.round(F.avg("mean"), 2).alias("mean_daily_sales"),

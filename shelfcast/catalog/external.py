@@ -52,7 +52,7 @@ SELECT p.date, p.store_nbr, p.family, p.sales, od.oil_price FROM sales_panel p L
 def join_date_dim(spark, sf):
     p = fx.sales_panel(spark, sf)
     od = oil_daily(fx.oil(spark, sf), end=p.agg(F.max("date")).scalar())
-    return p.join(F.broadcast(od.select("date", "oil_price")), "date", "left").select(
+    return p.join(od.select("date", "oil_price"), "date", "left").select(
         "date", "store_nbr", "family", "sales", "oil_price")
 
 

@@ -53,7 +53,7 @@ FROM (SELECT DISTINCT date FROM sales_raw) d JOIN vh ON vh.date = d.date"""), id
 def valid_holidays_q(spark, sf):
     d = fx.sales_raw(spark, sf).select("date").distinct()
     vh = hol.valid_holidays(fx.holidays_events(spark))
-    return d.join(F.broadcast(vh), "date").select("date", "event_seq", "type", "holiday_type_encoded",
+    return d.join(vh, "date").select("date", "event_seq", "type", "holiday_type_encoded",
                                                   "is_carnaval", "is_makeup")
 
 
@@ -155,7 +155,7 @@ def holiday_window(spark, sf):
 def _impact(df, by):
     return df.groupBy(by).agg(
         F.count(F.lit(1)).alias("n_days"),
-        exact_avg("sales", 6, 4).alias("mean_sales"),
+        exact_avg("sales", 4).alias("mean_sales"),
         F.round(F.percentile("sales", 0.25), 4).alias("q25"),
         F.round(F.percentile("sales", 0.5), 4).alias("median"),
         F.round(F.percentile("sales", 0.75), 4).alias("q75"),

@@ -7,7 +7,7 @@ import random
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from shelfcast.catalog.sqlparts import exact_mean_sql
+from shelfcast.catalog.sqlparts import exact_mean_sql, split_case
 from shelfcast.operators import models as mdl
 from shelfcast.operators.evaluate import metric_columns
 from shelfcast.operators.profile import clean_columns
@@ -144,7 +144,8 @@ def union_history_horizon(spark, sf):
     return hist.unionByName(fut)
 
 
-@register("sink_roundtrip", None, ids="S-06, S-01, S-02")
+@register("sink_roundtrip", with_views("""
+SELECT store_nbr, CAST(SUM(transactions) AS BIGINT) AS transactions, COUNT(*) AS n_days FROM transactions GROUP BY store_nbr"""), ids="S-06, S-01, S-02")
 def sink_roundtrip(spark, sf):
     from pyspark.sql import types as T
     df = fx.transactions(spark, sf)
@@ -155,7 +156,9 @@ def sink_roundtrip(spark, sf):
     return back.groupBy("store_nbr").agg(F.sum("transactions").alias("transactions"), F.count(F.lit(1)).alias("n_days"))
 
 
-@register("sink_splits", None, ids="S-07, T-01")
+@register("sink_splits", with_views(f"""
+SELECT COALESCE(split, '__none__') AS split, COUNT(*) AS n_rows, MIN(date) AS min_date, MAX(date) AS max_date
+FROM (SELECT *, {split_case()} AS split FROM sales_panel) WHERE split IS NOT NULL GROUP BY 1"""), ids="S-07, T-01")
 def sink_splits(spark, sf):
     from shelfcast.plans.split import temporal_split
     df = temporal_split(fx.sales_panel(spark, sf))
@@ -166,14 +169,15 @@ def sink_splits(spark, sf):
                                      F.max("date").alias("max_date"))
 
 
-@register("sink_verify", None, ids="S-08")
+@register("sink_verify", with_views("""
+SELECT 6 AS n_columns, true AS same_columns, COUNT(*) AS rows_read, COUNT(*) AS rows_expected, true AS ok FROM sales_panel"""), ids="S-08")
 def sink_verify(spark, sf):
     df = fx.sales_panel(spark, sf)
     path = sinks.write_table(df, sinks.shared_path(spark, "panel"))
     return sinks.verify_written(spark, path, df)
 
 
-@register("scan_typed_csv", None, ids="S-01, S-05")
+@register("scan_typed_csv", with_views("SELECT date, CAST(dcoilwtico AS FLOAT) AS dcoilwtico FROM oil"), ids="S-01, S-05")
 def scan_typed_csv(spark, sf):
     from pyspark.sql import types as T
     path = sinks.write_table(fx.oil(spark, sf), sinks.shared_path(spark, "oil-csv"), fmt="csv")
@@ -181,7 +185,7 @@ def scan_typed_csv(spark, sf):
     return sinks.read_typed_csv(spark, path, schema)
 
 
-@register("schema_align", None, ids="S-04, P-20")
+@register("schema_align", with_views("SELECT is_imputed, onpromotion, sales, family, store_nbr, date FROM sales_panel"), ids="S-04, P-20")
 def schema_align(spark, sf):
     p = fx.sales_panel(spark, sf)
     header = p.limit(0).columns[::-1]
@@ -194,7 +198,7 @@ def dq_schema_contract(spark, sf):
     return sinks.schema_contract(h, tf.V3_FEATURE_COLS, TOXIC_FEATURES)
 
 
-@register("clean_columns", None, ids="C-04")
+@register("clean_columns", with_views("SELECT date, store_nbr, transactions FROM transactions"), ids="C-04")
 def clean_columns_q(spark, sf):
     t = fx.transactions(spark, sf).toDF(" date", "store_nbr ", " transactions ")
     return clean_columns(t, ["date", "store_nbr", "transactions"])

@@ -16,7 +16,6 @@ from shelfcast.sources.fixture_sql import with_views
 XSUM = "CAST(SUM(CAST({x} AS DECIMAL(38,6))) AS DOUBLE)"
 DAILY = f"(SELECT date, {XSUM.format(x='sales')} AS total FROM sales_panel GROUP BY date)"
 TYPES = ["A", "B", "C", "D", "E"]
-YEARS = list(range(1995, 2002))
 
 
 def _selling_stores(spark, sf):
@@ -38,17 +37,16 @@ SELECT month(date) AS month, """ + ", ".join(
 def pivot_month_dow(spark, sf):
     d = fx.sales_panel(spark, sf).groupBy("date").agg(exact_sum("sales").alias("total"))
     g = d.withColumn("dow", F.weekday("date")).groupBy(F.month("date").alias("month")).pivot(
-        "dow", list(range(7))).agg(exact_avg("total", 6, 4))
+        "dow", list(range(7))).agg(exact_avg("total", 4))
     return g.select("month", *[F.col(str(i)).alias(f"d{i}") for i in range(7)])
 
 
 @register("pivot_month_year", with_views(f"""
-SELECT month(date) AS month, """ + ", ".join(f"{XSUM.format(x=f'CASE WHEN year(date) = {y} THEN total END')} AS y{y}" for y in YEARS)
-    + f" FROM {DAILY} GROUP BY 1"), ids="R-03")
+SELECT month(date) AS month, year(date) AS year, {XSUM.format(x='total')} AS total FROM {DAILY} GROUP BY 1, 2"""), ids="R-03")
 def pivot_month_year(spark, sf):
+    """Month by year in long form: as many years as the data has."""
     d = fx.sales_panel(spark, sf).groupBy("date").agg(exact_sum("sales").alias("total"))
-    g = d.withColumn("y", F.year("date")).groupBy(F.month("date").alias("month")).pivot("y", YEARS).agg(exact_sum("total"))
-    return g.select("month", *[F.col(str(y)).alias(f"y{y}") for y in YEARS])
+    return d.groupBy(F.month("date").alias("month"), F.year("date").alias("year")).agg(exact_sum("total").alias("total"))
 
 
 @register("year_week", with_views(f"""
@@ -56,7 +54,7 @@ SELECT year(date) AS year, week(date) AS week, {exact_mean_sql('total', None, 6,
 def year_week(spark, sf):
     d = fx.sales_panel(spark, sf).groupBy("date").agg(exact_sum("sales").alias("total"))
     return d.groupBy(F.year("date").alias("year"), F.weekofyear("date").alias("week")).agg(
-        F.round(F.avg(F.col("total").cast("decimal(18,6)")), 4).cast("double").alias("mean_sales"))
+        exact_avg("total", 4).alias("mean_sales"))
 
 
 @register("family_type_mix", with_views(f"""
@@ -68,7 +66,7 @@ def family_type_mix(spark, sf):
     from pyspark.sql import Window
     p = fx.sales_panel(spark, sf)
     top = p.groupBy("family").agg(F.sum("sales").alias("t")).orderBy(F.col("t").desc(), "family").limit(10).select("family")
-    j = p.join(top, "family", "left_semi").join(F.broadcast(fx.stores(spark, sf).select("store_nbr", "type")), "store_nbr")
+    j = p.join(top, "family", "left_semi").join(fx.stores(spark, sf).select("store_nbr", "type"), "store_nbr")
     t = j.groupBy("family", "type").agg(exact_sum("sales").alias("total"))
     return t.select("*", F.round(F.try_divide(100.0 * F.col("total"), F.sum("total").over(Window.partitionBy("type"))), 6).alias("pct_of_type"))
 
@@ -81,7 +79,7 @@ def top8_other(spark, sf):
     p = fx.sales_panel(spark, sf)
     top = p.groupBy("family").agg(F.sum("sales").alias("t")).orderBy(F.col("t").desc(), "family").limit(8).select(
         F.col("family").alias("_top"))
-    j = p.join(F.broadcast(top), p.family == top._top, "left")  # top has at most 8 rows
+    j = p.join(top, p.family == top._top, "left")  # top has at most 8 rows
     b = F.when(F.col("_top").isNotNull(), F.col("family")).otherwise(F.lit("Other"))
     return j.groupBy("date", b.alias("bucket")).agg(exact_sum("sales").alias("sales"))
 
@@ -93,7 +91,7 @@ SELECT family, """ + ", ".join(
     + " FROM fd GROUP BY family"), ids="R-07")
 def pivot_family_month(spark, sf):
     fd = fx.sales_panel(spark, sf).groupBy("date", "family").agg(exact_sum("sales").alias("sales"))
-    g = fd.withColumn("m", F.month("date")).groupBy("family").pivot("m", list(range(1, 13))).agg(exact_avg("sales", 6, 4))
+    g = fd.withColumn("m", F.month("date")).groupBy("family").pivot("m", list(range(1, 13))).agg(exact_avg("sales", 4))
     return g.select("family", *[F.col(str(m)).alias(f"m{m}") for m in range(1, 13)])
 
 
@@ -192,13 +190,13 @@ def error_by_day(spark, sf):
 
 
 @register("error_by_holiday", with_views(PRED_SQL + f"""
-, hd AS (SELECT DISTINCT date FROM holidays_events WHERE transferred = false)
+, hd AS (SELECT DISTINCT date FROM holidays_events)
 SELECT (pr.date IN (SELECT date FROM hd)) AS is_holiday, {metrics_sql('actual', 'pred_naive')}
 FROM pr WHERE split IN ('val', 'test') GROUP BY 1""".replace("\n, hd AS", ",\nhd AS", 1)), ids="A-30")
 def error_by_holiday(spark, sf):
-    from shelfcast.plans.holidays import valid_holidays
-    hd = valid_holidays(fx.holidays_events(spark)).select("date").distinct().withColumn("_h", F.lit(True))
-    p = predictions(spark, sf).where(F.col("split").isin("val", "test")).join(F.broadcast(hd), "date", "left")
+    """Errors on the days of the holiday calendar (every entry counts) and on all others."""
+    hd = fx.holidays_events(spark).select("date").distinct().withColumn("_h", F.lit(True))
+    p = predictions(spark, sf).where(F.col("split").isin("val", "test")).join(hd, "date", "left")
     return p.groupBy(F.coalesce("_h", F.lit(False)).alias("is_holiday")).agg(*metric_columns("actual", "pred_naive"))
 
 

@@ -8,12 +8,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions import stats as st
-from shelfcast.functions.numeric import EPS, exact_sum
+from shelfcast.functions.numeric import EPS, chi2_sf, exact_sum
 from shelfcast.operators import series as ts
 from shelfcast.operators.aggregates import pct_rank_avg
 from shelfcast.operators.joins import anti_join
 from shelfcast.operators.panel import complete_panel, ffill_bfill
 from shelfcast.registry import register
+from shelfcast.session import ship_package
 from shelfcast.sources import fixtures as fx
 from shelfcast.sources.fixture_sql import with_views
 from shelfcast.spec import DEFAULT_SPLIT, PanelSpec
@@ -98,38 +99,50 @@ def acf_q(spark, sf):
     return a.select("lag", F.round("acf", 6).alias("acf"), F.round("band", 6).alias("band"))
 
 
-@register("pacf", None, ids="TS-06")
+@register("pacf", with_views(f"""
+WITH RECURSIVE p AS (SELECT store_nbr, family, row_number() OVER (PARTITION BY store_nbr, family ORDER BY date) AS i,
+    sales - avg(sales) OVER (PARTITION BY store_nbr, family) AS c FROM sales_panel),
+k AS (SELECT store_nbr, family, SUM(c * c) AS p0 FROM p GROUP BY 1, 2),
+l AS (SELECT x.store_nbr, x.family, r.k, SUM(x.c * y.c) AS pk FROM range(1, {_NL + 1}) r(k) JOIN p x ON TRUE
+    JOIN p y ON y.store_nbr = x.store_nbr AND y.family = x.family AND y.i = x.i - r.k GROUP BY 1, 2, 3),
+a AS (SELECT l.store_nbr, l.family, list(pk / NULLIF(p0, 0) ORDER BY l.k) AS r FROM l JOIN k ON k.store_nbr = l.store_nbr AND k.family = l.family GROUP BY 1, 2),
+s AS (SELECT store_nbr, family, r, 0 AS lag, CAST([] AS DOUBLE[]) AS phi, 1.0::DOUBLE AS v, 1.0::DOUBLE AS pacf FROM a
+  UNION ALL
+  SELECT store_nbr, family, r, lag + 1, list_append(list_transform(range(1, lag + 1), lambda j: phi[j] - b * phi[lag + 1 - j]), b), v * (1 - b * b), b
+  FROM (SELECT *, (r[lag + 1] - COALESCE(list_sum(list_transform(range(1, lag + 1), lambda j: phi[j] * r[lag + 1 - j])), 0)) / NULLIF(v, 0) AS b FROM s WHERE lag < {_NL}))
+SELECT store_nbr, family, CAST(lag AS INTEGER) AS lag, round(pacf, 6) AS pacf FROM s"""), ids="TS-06")
 def pacf_q(spark, sf):
-    a = ts.acf(daily_regular(spark, sf), "total", _NL)
-    return ts.pacf_from_acf(a)
+    keys = ["store_nbr", "family"]
+    a = ts.acf(fx.sales_panel(spark, sf), "sales", _NL, keys)
+    return ts.pacf_from_acf(a, keys).withColumn("pacf", F.round("pacf", 6))
+
+
+SERIES = ["store_nbr", "family"]
 
 
 @register("adf_per_series", None, ids="TS-08, TS-10")
 def adf_per_series(spark, sf):
-    return ts.unit_root_tests(fx.sales_panel(spark, sf), "sales", ["store_nbr", "family"]).select(
-        "store_nbr", "family", "n_obs", "adf_stat", "adf_lag", "adf_pvalue", "adf_reject")
+    return ts.unit_root_tests(fx.sales_panel(spark, sf), "sales", SERIES, tests=("adf",)).select(
+        *SERIES, "n_obs", "adf_stat", "adf_lag", "adf_pvalue", "adf_reject")
 
 
 @register("kpss_per_series", None, ids="TS-09")
 def kpss_per_series(spark, sf):
-    return ts.unit_root_tests(fx.sales_panel(spark, sf), "sales", ["store_nbr", "family"]).select(
-        "store_nbr", "family", "n_obs", "kpss_stat", "kpss_lags", "kpss_pvalue", "kpss_reject")
+    return ts.unit_root_tests(fx.sales_panel(spark, sf), "sales", SERIES, tests=("kpss",)).select(
+        *SERIES, "n_obs", "kpss_stat", "kpss_lags", "kpss_pvalue", "kpss_reject")
 
 
 @register("stationarity_verdict", None, ids="TS-10")
 def stationarity_verdict(spark, sf):
-    return ts.unit_root_tests(daily_regular(spark, sf), "total").select("adf_reject", "kpss_reject", "verdict")
+    return ts.unit_root_tests(fx.sales_panel(spark, sf), "sales", SERIES).select(*SERIES, "adf_reject", "kpss_reject", "verdict")
 
 
 @register("recommend_d", None, ids="TS-11, W-12")
 def recommend_d(spark, sf):
-    d = daily_regular(spark, sf)
-    tests = None
-    for k in (0, 1, 2):
-        t = ts.unit_root_tests(d, "total", diff=k)
-        tests = t if tests is None else tests.unionByName(t)
-    ok = tests.where(F.col("adf_reject") & ~F.col("kpss_reject"))
-    return tests.agg(F.lit(1).alias("_")).select(ok.agg(F.min("d")).scalar().alias("recommended_d"))
+    """The smallest order of differencing, 0 to 2, at which both tests call a series stationary (null: none)."""
+    tests = ts.unit_root_tests(fx.sales_panel(spark, sf), "sales", SERIES, diffs=(0, 1, 2))
+    ok = F.col("adf_reject") & ~F.col("kpss_reject")
+    return tests.groupBy(*SERIES).agg(F.min(F.when(ok, F.col("d"))).alias("recommended_d"))
 
 
 _TRAIN_END = DEFAULT_SPLIT.train[1]
@@ -212,8 +225,8 @@ STORE_TOT_SQL = f"(SELECT p.store_nbr, s.type, {XSUM.format(x='p.sales')} AS tot
 
 
 def store_totals(spark, sf):
-    t = fx.sales_panel(spark, sf).groupBy("store_nbr").agg(exact_sum("sales").alias("total"))
-    return t.join(F.broadcast(fx.stores(spark, sf).select("store_nbr", "type")), "store_nbr")
+    t = fx.sales_raw(spark, sf).groupBy("store_nbr").agg(exact_sum("sales").alias("total"))
+    return t.join(fx.stores(spark, sf).select("store_nbr", "type"), "store_nbr")
 
 
 @register("store_rank", with_views(f"""
@@ -301,15 +314,12 @@ def kruskal_df(spark, sf):
 register("kruskal_wallis", with_views(KW_SQL), ids="H-01")(kruskal_df)
 
 
-@register("kruskal_wallis_pvalue", None, ids="H-01")
+# the oracle adds up the series of the lower incomplete gamma function instead of the finite sums
+@register("kruskal_wallis_pvalue", with_views(f"""
+SELECT *, round(1 - list_sum(list_transform(range(0, 400), lambda i: exp((dof / 2.0 + i) * ln(h_stat / 2) - h_stat / 2 - lgamma(dof / 2.0 + i + 1)))), 9) AS p_value
+FROM ({KW_SQL})"""), ids="H-01")
 def kruskal_wallis_pvalue(spark, sf):
-    k = kruskal_df(spark, sf)
-
-    def p(it):
-        for pdf in it:
-            pdf["p_value"] = [st.chi2_sf(h, int(d)) for h, d in zip(pdf["h_stat"], pdf["dof"])]
-            yield pdf
-    return k.mapInPandas(p, "h_raw double, h_stat double, dof int, n_obs bigint, p_value double")
+    return kruskal_df(spark, sf).withColumn("p_value", F.round(chi2_sf(F.col("h_stat"), F.col("dof")), 9))
 
 
 MW_SQL = f"""
@@ -323,11 +333,11 @@ FROM r GROUP BY type_a, type_b"""
 
 
 def mann_whitney_df(spark, sf, with_p=False):
+    """U of every pair of store types; a store goes once to each pair that its type is in."""
     t = store_totals(spark, sf)
-    types = t.select("type").distinct()
-    pairs = types.alias("a").join(types.alias("b"), F.col("a.type") < F.col("b.type")).select(
-        F.col("a.type").alias("type_a"), F.col("b.type").alias("type_b"))
-    x = pairs.join(F.broadcast(t), (t.type == pairs.type_a) | (t.type == pairs.type_b))
+    types = t.agg(F.sort_array(F.collect_set("type"))).scalar()  # one row per type
+    x = t.withColumn("other", F.explode(types)).where("other <> type").select(
+        F.least("type", "other").alias("type_a"), F.greatest("type", "other").alias("type_b"), "type", "total")
     w = Window.partitionBy("type_a", "type_b").orderBy("total")
     tie = Window.partitionBy("type_a", "type_b", "total")
     r = x.select("type_a", "type_b", "type", "total",
@@ -339,22 +349,15 @@ def mann_whitney_df(spark, sf, with_p=False):
             (F.sum(F.when(is_a, F.col("rk"))) - na * (na + 1) / 2.0).alias("u_stat")]
     if not with_p:
         return r.groupBy("type_a", "type_b").agg(*aggs)
-    g = r.groupBy("type_a", "type_b").agg(*aggs, F.sum(F.col("tc") ** 3 - F.col("tc")).alias("_tie_sum"),
-                                          F.max("tc").alias("_max_tie"))
+    # c**2 - 1 for every member of a tie of c values adds up to c**3 - c for each tied value
+    g = r.groupBy("type_a", "type_b").agg(*aggs, F.sum(F.col("tc") ** 2 - 1).alias("_ties"))
+    ship_package(spark)
 
     def p(it):
         for pdf in it:
-            # each tied value of size c contributes c^3 - c once per member; divide by c is not needed:
-            # sum over members of (c^3 - c) / c = sum over values of (c^3 - c)
-            pv, stars = [], []
-            for u, a, b, ts_, mt in zip(pdf["u_stat"], pdf["n_a"], pdf["n_b"], pdf["_tie_sum"], pdf["_max_tie"]):
-                val = st.mann_whitney_p(float(u), int(a), int(b), 0.0 if mt <= 1 else float(ts_), bool(mt > 1))
-                pv.append(val)
-                stars.append("***" if val < 0.001 else "**" if val < 0.01 else "*" if val < 0.05 else "ns")
-            pdf = pdf.drop(columns=["_tie_sum", "_max_tie"])
-            pdf["p_value"] = pv
-            pdf["significance"] = stars
-            yield pdf
+            pv = [st.mann_whitney_p(u, a, b, t) for u, a, b, t in zip(pdf["u_stat"], pdf["n_a"], pdf["n_b"], pdf["_ties"])]
+            stars = ["***" if v < 0.001 else "**" if v < 0.01 else "*" if v < 0.05 else "ns" for v in pv]
+            yield pdf.drop(columns="_ties").assign(p_value=pv, significance=stars)
     schema = "type_a string, type_b string, n_a bigint, n_b bigint, u_stat double, p_value double, significance string"
     return g.mapInPandas(p, schema)
 
@@ -377,15 +380,15 @@ fc AS (SELECT a.family AS family_a, b.family AS family_b, round(corr(a.sales, b.
 
 
 def family_corr_df(spark, sf):
+    """Correlations of the daily totals of the 12 largest families; a day meets its own rows only."""
     fd = fx.sales_panel(spark, sf).groupBy("date", "family").agg(exact_sum("sales").alias("sales"))
-    top = [r[0] for r in fd.groupBy("family").agg(F.sum("sales").alias("t"))
-           .orderBy(F.col("t").desc(), "family").limit(12).collect()]  # pivot values: at most 12 names
-    wide = fd.groupBy("date").pivot("family", top).agg(F.first("sales"))
-    pairs = [(a, b) for i, a in enumerate(sorted(top)) for b in sorted(top)[i + 1:]]
-    row = wide.agg(*[F.corr(F.col(f"`{a}`"), F.col(f"`{b}`")).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    arr = F.array(*[F.struct(F.lit(a).alias("family_a"), F.lit(b).alias("family_b"), F.col(f"c{i}").alias("corr"))
-                    for i, (a, b) in enumerate(pairs)])
-    return row.select(F.inline(arr)).select("family_a", "family_b", F.round("corr", 9).alias("corr"))
+    top = fd.groupBy("family").agg(F.sum("sales").alias("t")).orderBy(F.col("t").desc(), "family").limit(12)
+    f = fd.join(top.select("family"), "family", "left_semi")
+    day = f.groupBy("date").agg(F.sort_array(F.collect_list(F.struct("family", "sales"))).alias("of"))  # at most 12
+    later = F.transform("of", lambda a: F.transform(F.filter("of", lambda b: b["family"] > a["family"]), lambda b: F.struct(
+        a["family"].alias("family_a"), b["family"].alias("family_b"), a["sales"].alias("x"), b["sales"].alias("y"))))
+    pairs = day.select(F.inline(F.flatten(later)))
+    return pairs.groupBy("family_a", "family_b").agg(F.round(F.corr("x", "y"), 9).alias("corr"))
 
 
 register("family_corr", with_views(FC_SQL + "SELECT * FROM fc"), ids="TS-13, A-28")(family_corr_df)

@@ -20,6 +20,8 @@ ADF_C_LARGEP = [1.7339, 0.93202, -0.12745, -0.010368]
 # KPSS (1992) level-stationarity critical values and their significance levels.
 KPSS_C_CRIT = [0.347, 0.463, 0.574, 0.739]
 KPSS_C_PVALS = [0.10, 0.05, 0.025, 0.01]
+#: A residual sum of squares below this share of the series' own counts as a perfect fit.
+PERFECT = 1e-20
 
 
 def norm_cdf(x: float) -> float:
@@ -30,62 +32,6 @@ def norm_sf(x: float) -> float:
     return 0.5 * math.erfc(x / math.sqrt(2.0))
 
 
-def gammaincc(a: float, x: float) -> float:
-    """Regularised upper incomplete gamma Q(a, x)."""
-    if x <= 0:
-        return 1.0
-    if x < a + 1:  # series for P
-        term = total = 1.0 / a
-        ap = a
-        for _ in range(1000):
-            ap += 1
-            term *= x / ap
-            total += term
-            if abs(term) < abs(total) * 1e-15:
-                break
-        return max(0.0, 1.0 - total * math.exp(-x + a * math.log(x) - math.lgamma(a)))
-    b = x + 1 - a  # continued fraction for Q
-    c = 1.0 / 1e-300
-    d = 1.0 / b
-    h = d
-    for i in range(1, 1000):
-        an = -i * (i - a)
-        b += 2
-        d = an * d + b
-        d = 1e-300 if abs(d) < 1e-300 else d
-        c = b + an / c
-        c = 1e-300 if abs(c) < 1e-300 else c
-        d = 1.0 / d
-        delta = d * c
-        h *= delta
-        if abs(delta - 1) < 1e-15:
-            break
-    return math.exp(-x + a * math.log(x) - math.lgamma(a)) * h
-
-
-def chi2_sf(x: float, dof: int) -> float:
-    return gammaincc(dof / 2.0, x / 2.0)
-
-
-def durbin_levinson(r: np.ndarray) -> np.ndarray:
-    """Partial autocorrelations from autocorrelations r[0..K] (r[0] = 1); pacf[0] = 1."""
-    k_max = len(r) - 1
-    out = np.zeros(k_max + 1)
-    out[0] = 1.0
-    phi = np.zeros(k_max + 1)
-    v = r[0]
-    for k in range(1, k_max + 1):
-        num = r[k] - np.dot(phi[1:k], r[1:k][::-1])
-        a = num / v if v != 0 else np.nan
-        new = phi.copy()
-        new[k] = a
-        new[1:k] = phi[1:k] - a * phi[1:k][::-1]
-        phi = new
-        v = v * (1 - a * a)
-        out[k] = a
-    return out
-
-
 def _ols(y: np.ndarray, x: np.ndarray):
     beta, *_ = np.linalg.lstsq(x, y, rcond=None)
     resid = y - x @ beta
@@ -127,18 +73,25 @@ def adf_test(x: np.ndarray, maxlag: int | None = None) -> dict:
             cols.append(dx[-m - i:-i])
         return y, np.column_stack(cols + [np.ones(m)])
 
+    none = {"stat": None, "lag": None, "pvalue": None}
     nobs = len(dx) - maxlag
     best, best_aic = 0, np.inf
     for lag in range(0, maxlag + 1):
         y, xm = design(lag, nobs)
         _, ssr, nn, k = _ols(y, xm)
+        if nn <= k or ssr <= PERFECT * max(float(y @ y), float(x @ x)):
+            return none  # the lags explain every change: no residual to test with
         a = _aic(ssr, nn, k)
         if a < best_aic:
             best, best_aic = lag, a
     y, xm = design(best)
     beta, ssr, nn, k = _ols(y, xm)
+    if ssr <= PERFECT * max(float(y @ y), float(x @ x)):
+        return none
     sigma2 = ssr / (nn - k)
     cov = sigma2 * np.linalg.pinv(xm.T @ xm)
+    if not cov[0, 0] > 0:
+        return none
     stat = float(beta[0] / math.sqrt(cov[0, 0]))
     return {"stat": stat, "lag": int(best), "pvalue": adf_pvalue(stat)}
 
@@ -182,42 +135,35 @@ def verdict(adf_reject: bool, kpss_reject: bool) -> str:
     return "difference-stationary"
 
 
-def mann_whitney_p(u1: float, n1: int, n2: int, tie_term: float, has_ties: bool) -> float:
-    """Two-sided p of the Mann-Whitney U: exact for n1, n2 <= 8 without ties, else normal with continuity."""
+def mann_whitney_p(u1: float, n1: int, n2: int, tie_term: float) -> float:
+    """Two-sided p of the Mann-Whitney U.
+
+    Exact if one of the groups has at most 8 members and no value is tied, else normal with
+    tie correction and continuity. `tie_term`: the sum of c**3 - c over the tied values.
+    """
     u = max(u1, n1 * n2 - u1)
-    if n1 <= 8 and n2 <= 8 and not has_ties:
+    if min(n1, n2) <= 8 and tie_term == 0:
         counts = _u_counts(n1, n2)
-        total = sum(counts)
-        k = int(round(u))
-        sf = sum(counts[k:]) / total
-        return min(1.0, 2 * sf)
+        return min(1.0, 2 * sum(counts[int(round(u)):]) / sum(counts))
     n = n1 + n2
-    mu = n1 * n2 / 2.0
     s = math.sqrt(n1 * n2 / 12.0 * ((n + 1) - tie_term / (n * (n - 1))))
     if s == 0:
         return 1.0
-    z = (u - mu - 0.5) / s
-    return min(1.0, 2 * norm_sf(z))
+    return min(1.0, 2 * norm_sf((u - n1 * n2 / 2.0 - 0.5) / s))
 
 
 def _u_counts(n1: int, n2: int) -> list[int]:
-    """Number of arrangements giving each U = 0..n1*n2."""
-    table = {}
-
-    def c(a, b):
-        if (a, b) in table:
-            return table[(a, b)]
-        if a == 0 or b == 0:
-            res = [1]
-        else:
-            x = c(a - 1, b)
-            y = c(a, b - 1)
-            res = [0] * (a * b + 1)
-            for u, v in enumerate(x):
-                res[u + b] += v
-            for u, v in enumerate(y):
-                res[u] += v
-        table[(a, b)] = res
-        return res
-
-    return c(n1, n2)
+    """Number of arrangements giving each U = 0..n1*n2.
+
+    The coefficients of the Gaussian binomial: the product over i = 1..min of
+    (1 - q**(max + i)) / (1 - q**i), one factor at a time.
+    """
+    small, large = sorted((n1, n2))
+    size = n1 * n2 + 1
+    counts = [1] + [0] * (size - 1)
+    for i in range(1, small + 1):
+        for u in range(size - 1, large + i - 1, -1):
+            counts[u] -= counts[u - large - i]
+        for u in range(i, size):
+            counts[u] += counts[u - i]
+    return counts

@@ -1,9 +1,8 @@
 """Encoders (E-01..E-07) and the global row position they depend on (W-18).
 
 Mapping tables (label codes, frequencies, target statistics) have one row per
-category value; they are built by aggregation and joined back. A mapping is
-broadcast only when its key is a low-cardinality dimension the caller names
-(`broadcast=True`); otherwise the planner decides from its size.
+category value; they are built by aggregation and joined back, the planner and AQE
+decide how from their size.
 """
 
 from __future__ import annotations
@@ -11,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.operators.joins import broadcast_if_small
 from shelfcast.session import materialize
 
 
@@ -23,7 +21,7 @@ def row_position(df: DataFrame, order: list[str], out_col: str = "row_pos") -> D
     The frame is range-partitioned and sorted on `order` (a unique key, so a hot
     leading value is still split across tasks), each row gets its offset inside
     its partition, and partition start offsets come from a prefix sum over the
-    per-partition counts (one row per partition, broadcast). The sorted frame with its
+    per-partition counts (one row per partition). The sorted frame with its
     ids is written once to the shared folder, so both uses read the same ids.
     """
     mid = F.monotonically_increasing_id()
@@ -33,7 +31,7 @@ def row_position(df: DataFrame, order: list[str], out_col: str = "row_pos") -> D
     starts = counts.select(
         "_pid", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
                            F.lit(0)).alias("_start"))
-    return s.join(broadcast_if_small(starts), "_pid").withColumn(out_col, F.col("_start") + F.col("_off")).drop(
+    return s.join(starts, "_pid").withColumn(out_col, F.col("_start") + F.col("_off")).drop(
         "_pid", "_off", "_start", "_mid")
 
 
@@ -62,7 +60,7 @@ def label_mapping(values: DataFrame, col: str, code_col: str | None = None) -> D
 
 
 def label_encode(df: DataFrame, col: str, fit_on: list[DataFrame] | None = None, code_col: str | None = None,
-                 unseen: int | None = -1, broadcast: bool = True) -> DataFrame:
+                 unseen: int | None = -1) -> DataFrame:
     """Codes fitted on the union of `fit_on` (default: df itself); values not in the fit get `unseen`."""
     code_col = code_col or f"{col}_code"
     src = None
@@ -70,7 +68,7 @@ def label_encode(df: DataFrame, col: str, fit_on: list[DataFrame] | None = None,
         part = f.select(col)
         src = part if src is None else src.unionByName(part)
     m = label_mapping(src, col, code_col)
-    out = df.join(broadcast_if_small(m) if broadcast else m, col, "left")
+    out = df.join(m, col, "left")
     if unseen is not None:
         out = out.withColumn(code_col, F.coalesce(F.col(code_col), F.lit(unseen)))
     return out
@@ -85,11 +83,11 @@ def frequency_mapping(base: DataFrame, col: str, out_col: str | None = None) ->
 
 
 def frequency_encode(df: DataFrame, col: str, base: DataFrame | None = None, out_col: str | None = None,
-                     unseen: float = 0.0, broadcast: bool = True) -> DataFrame:
+                     unseen: float = 0.0) -> DataFrame:
     """Share of `base` rows (default: df's own rows; pass the store table for a per-store base)."""
     out_col = out_col or f"{col}_freq"
     m = frequency_mapping(df if base is None else base, col, out_col)
-    out = df.join(broadcast_if_small(m) if broadcast else m, col, "left")
+    out = df.join(m, col, "left")
     return out.withColumn(out_col, F.coalesce(F.col(out_col), F.lit(unseen)))
 
 
@@ -126,7 +124,7 @@ def target_encode_oof(df: DataFrame, key: str, target: str, fold_col: str = "fol
     """Out-of-fold target encoding in one aggregate: statistics of the other folds = totals - own fold.
 
     The prior of fold f is the target mean of all rows outside f. No per-fold refit loop.
-    The (fold, key) table has k x #keys rows; the per-fold table has k rows (broadcast).
+    The (fold, key) table has k x #keys rows; the per-fold table has k rows.
     """
     out_col = out_col or f"{key}_te"
     fk = df.groupBy(fold_col, key).agg(F.sum(target).alias("_fs"), F.count(target).alias("_fn"))
@@ -137,12 +135,12 @@ def target_encode_oof(df: DataFrame, key: str, target: str, fold_col: str = "fol
     everything = Window.partitionBy()
     ff = ff.select("*", F.sum("_ps").over(everything).alias("_gs"), F.sum("_pn").over(everything).alias("_gn"))
     ff = ff.select(fold_col, "_ps", "_pn", F.try_divide(F.col("_gs") - F.col("_ps"), F.col("_gn") - F.col("_pn")).alias("_fp"))
-    stats = fk.join(broadcast_if_small(ff), fold_col)
+    stats = fk.join(ff, fold_col)
     n_oof = F.col("_tn") - F.col("_fn")
     mean_oof = F.try_divide(F.col("_ts") - F.col("_fs"), n_oof)
     prior = F.col("_fp")
     enc = F.when(n_oof > 0, blend(n_oof, mean_oof, prior, how, **kw)).otherwise(prior)
     m = stats.select(fold_col, key, enc.alias(out_col))
     # keys absent from the other folds and keys unseen in df both fall back to that fold's prior
-    out = df.join(m, [fold_col, key], "left").join(broadcast_if_small(ff.select(fold_col, "_fp")), fold_col, "left")
+    out = df.join(m, [fold_col, key], "left").join(ff.select(fold_col, "_fp"), fold_col, "left")
     return out.withColumn(out_col, F.coalesce(F.col(out_col), F.col("_fp"))).drop("_fp")

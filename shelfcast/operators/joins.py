@@ -1,9 +1,8 @@
 """Joins of the fact to its dimensions, membership joins and the holiday as-of halo.
 
-Dimensions that are bounded by construction (stores: one row per store; date
-tables: one row per calendar day) are broadcast behind a size check
-(`broadcast_if_small`); key uniqueness (no fan-out) is a separate data-quality query. Fact-to-fact joins are left to the
-planner (sort-merge on the shared key partitioning, AQE skew split).
+No join carries a broadcast hint: Spark broadcasts a side whose statistics, or whose size at
+run time (AQE), are below its threshold, and splits skewed shuffle joins otherwise. Key
+uniqueness (no fan-out) is a separate data-quality query.
 """
 
 from __future__ import annotations
@@ -11,24 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# A side is hinted for broadcast only when the optimizer's size estimate is below this.
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-
-
-def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Broadcast hint behind a size check: the optimizer's size estimate of `df` (no job is
-    run) must be at most `max_bytes`. Otherwise no hint is given and the planner / AQE
-    choose at run time from the actual size (shuffle join beyond it)."""
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001  (no estimate: leave the choice to the planner)
-        return df
-    return F.broadcast(df) if size <= max_bytes else df
-
-
-def dim_join(fact: DataFrame, dim: DataFrame, on, how: str = "left", broadcast: bool = True) -> DataFrame:
-    """Left join of a bounded dimension (hash-broadcast when small, no shuffle of the fact)."""
-    return fact.join(broadcast_if_small(dim) if broadcast else dim, on, how)
+def dim_join(fact: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
+    """Left join of a dimension; the planner and AQE broadcast it if it turns out small."""
+    return fact.join(dim, on, how)
 
 
 def join_stores(fact: DataFrame, stores: DataFrame, cols=None) -> DataFrame:

@@ -16,6 +16,8 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.session import ship_package
+
 NULL_SENTINEL = -1.0
 
 # Mapping of the tuned booster parameters onto Spark's GBT (names that exist there).
@@ -135,14 +137,14 @@ def arima_forecast(y_log: np.ndarray, h: int, season: int = 7) -> tuple[np.ndarr
         coef, resid = _hr_fit(w, ar, ma)
         wf = _forecast(w, resid, coef, ar, ma, h)
         return _undiff(y_log, wf, season), f"SARIMA(1,1,1)x(1,1,1,{season})"
-    except Exception:  # noqa: BLE001
+    except (ValueError, np.linalg.LinAlgError):  # too short, or no finite fit
         pass
     try:
         w = np.diff(y_log)
         coef, resid = _hr_fit(w, [1], [1])
         wf = _forecast(w, resid, coef, [1], [1], h)
         return _undiff(y_log, wf, None), "ARIMA(1,1,1)"
-    except Exception:  # noqa: BLE001
+    except (ValueError, np.linalg.LinAlgError):
         return None, "FAILED"
 
 
@@ -161,4 +163,5 @@ def arima_per_series(history: DataFrame, keys: list[str], h: int, value: str = "
             out.insert(0, k, pdf[k].iloc[0])
         return out
 
+    ship_package(history.sparkSession)
     return history.select(*keys, date, value).groupBy(*keys).applyInPandas(run, schema)

@@ -25,7 +25,7 @@ def _as_date_col(v) -> Column:
 
 
 def date_bounds(df: DataFrame, date_col: str = "date") -> DataFrame:
-    """One-row (start, end) of a date column; a 1-row side is safe to broadcast."""
+    """One-row (start, end) of a date column; one row, whatever the input."""
     return df.agg(F.min(date_col).alias("_start"), F.max(date_col).alias("_end"))
 
 

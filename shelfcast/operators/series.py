@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions import stats as st
+from shelfcast.session import ship_package
 
 
 def _w(keys, order="date"):
@@ -109,51 +110,58 @@ def lag_autocorr(df: DataFrame, value: str, lag: int, keys, date: str = "date",
 # ---------------------------------------------------------------- grouped numeric routines
 
 def pacf_from_acf(acf_df: DataFrame, keys=()) -> DataFrame:
-    """Durbin-Levinson partial autocorrelations from the ACF table, one Arrow group per series."""
+    """Partial autocorrelations from the ACF table by the Durbin-Levinson recursion (keys, lag, pacf).
+
+    One array of autocorrelations per series; lag k takes the coefficients of lag k - 1.
+    """
     keys = list(keys)
-    schema = ", ".join([f"{k} {t}" for k, t in acf_df.select(*keys).dtypes] + ["lag int", "pacf double"])
+    rows = acf_df.groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(F.struct("lag", "acf"))), lambda x: x["acf"]).alias("_r"))
+    r = F.col("_r")
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("lag")
-        r = pdf["acf"].to_numpy(dtype=float)
-        p = st.durbin_levinson(r)
-        out = pd.DataFrame({"lag": pdf["lag"].to_numpy(dtype=int), "pacf": p})
-        for k in keys:
-            out.insert(0, k, pdf[k].iloc[0])
-        return out[keys + ["lag", "pacf"]]
-
-    src = acf_df.select(*keys, "lag", "acf")
-    if not keys:
-        src = src.withColumn("_g", F.lit(1))
-        return src.groupBy("_g").applyInPandas(lambda p: run(p.drop(columns="_g")), schema)
-    return src.groupBy(*keys).applyInPandas(run, schema)
+    def step(s, k):
+        before = F.reverse(F.slice(r, F.lit(2), k - 1))  # r[k-1] .. r[1]
+        known = F.aggregate(F.zip_with(s["phi"], before, lambda p, x: p * x), F.lit(0.0), lambda a, x: a + x)
+        a = F.try_divide(F.element_at(r, k + 1) - known, s["v"])
+        phi = F.concat(F.zip_with(s["phi"], F.reverse(s["phi"]), lambda p, q: p - a * q), F.array(a))
+        return F.struct(phi.alias("phi"), (s["v"] * (1 - a * a)).alias("v"), F.concat(s["out"], F.array(a)).alias("out"))
+
+    # the start's types admit nulls: a series without variance has null coefficients
+    one, null = F.when(F.size(r) > 0, F.lit(1.0)), F.lit(None).cast("double")
+    start = F.struct(F.slice(F.array(null), 1, 0).alias("phi"), one.alias("v"), F.array(one).alias("out"))
+    found = F.aggregate(F.sequence(F.lit(1), F.size(r) - 1), start, step)["out"]
+    return rows.select(*keys, F.posexplode(found).alias("lag", "pacf"))
 
 
-def unit_root_tests(df: DataFrame, value: str, keys=(), date: str = "date", diff: int = 0) -> DataFrame:
-    """ADF (constant, lag by AIC) and KPSS (level, automatic bandwidth) per series (TS-08..TS-10).
+def unit_root_tests(df: DataFrame, value: str, keys=(), date: str = "date", diffs=(0,), tests=("adf", "kpss")) -> DataFrame:
+    """ADF (constant, lag by AIC) and KPSS (level, automatic bandwidth) per series and order of differencing (TS-08..TS-10).
 
-    One `applyInPandas` group per series; the routines are small numpy least squares.
+    One `applyInPandas` group per series; the routines are small numpy least squares. A series
+    too short, constant or perfectly explained by its own lags has null statistics and no
+    rejection. Columns of a test that isn't asked for are null.
     """
     keys = list(keys)
     key_types = df.select(*keys).dtypes
     schema = ", ".join([f"{k} {t}" for k, t in key_types] + [
         "d int", "n_obs int", "adf_stat double", "adf_lag int", "adf_pvalue double", "adf_reject boolean",
         "kpss_stat double", "kpss_lags int", "kpss_pvalue double", "kpss_reject boolean", "verdict string"])
+    ship_package(df.sparkSession)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         y = pdf.sort_values(date)[value].to_numpy(dtype=float)
         y = y[~np.isnan(y)]
-        for _ in range(diff):
-            y = np.diff(y)
-        a = st.adf_test(y)
-        k = st.kpss_test(y)
-        row = {kk: pdf[kk].iloc[0] for kk in keys}
-        adf_rej = bool(a["pvalue"] < 0.05) if a["pvalue"] is not None else False
-        kpss_rej = bool(k["pvalue"] < 0.05) if k["pvalue"] is not None else False
-        row.update(d=diff, n_obs=len(y), adf_stat=a["stat"], adf_lag=a["lag"], adf_pvalue=a["pvalue"],
-                   adf_reject=adf_rej, kpss_stat=k["stat"], kpss_lags=k["lags"], kpss_pvalue=k["pvalue"],
-                   kpss_reject=kpss_rej, verdict=st.verdict(adf_rej, kpss_rej))
-        return pd.DataFrame([row])
+        rows = []
+        for d in diffs:
+            z = np.diff(y, n=d)
+            a = st.adf_test(z) if "adf" in tests else {"stat": None, "lag": None, "pvalue": None}
+            k = st.kpss_test(z) if "kpss" in tests else {"stat": None, "lags": None, "pvalue": None}
+            adf_rej = None if "adf" not in tests else a["pvalue"] is not None and a["pvalue"] < 0.05
+            kpss_rej = None if "kpss" not in tests else k["pvalue"] is not None and k["pvalue"] < 0.05
+            both = adf_rej is not None and kpss_rej is not None
+            rows.append({kk: pdf[kk].iloc[0] for kk in keys} | dict(
+                d=d, n_obs=len(z), adf_stat=a["stat"], adf_lag=a["lag"], adf_pvalue=a["pvalue"], adf_reject=adf_rej,
+                kpss_stat=k["stat"], kpss_lags=k["lags"], kpss_pvalue=k["pvalue"], kpss_reject=kpss_rej,
+                verdict=st.verdict(adf_rej, kpss_rej) if both else None))
+        return pd.DataFrame(rows)
 
     src = df.select(*keys, date, value)
     if not keys:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.calendar import day_number
+from shelfcast.functions.numeric import decimal_mean
 from shelfcast.spec import DEFAULT_PANEL, PanelSpec
 
 ROWS, CALENDAR = "rows", "calendar"
@@ -50,7 +51,7 @@ def rolling_col(value: str, window: int, offset: int = 1, stat: str = "mean", mi
     f = _frame(series_window(spec, mode), mode, -(offset + window - 1), -offset)
     if stat == "mean" and spec.decimals is not None and value == spec.target:
         # exact decimal mean (scale + 4 digits, half-up), returned as double
-        agg = F.avg(F.col(value).cast(f"decimal(18,{spec.decimals})")).over(f).cast("double")
+        agg = decimal_mean(value, f, spec.decimals).cast("double")
     else:
         agg = {"mean": F.avg, "std": F.stddev_samp, "sum": F.sum, "min": F.min, "max": F.max}[stat](value).over(f)
     return F.when(F.count(value).over(f) >= min_periods, agg)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.operators.joins import broadcast_if_small
 
 from shelfcast.operators.encoders import frequency_encode, label_mapping
 from shelfcast.operators.panel import complete_panel, ffill_bfill
@@ -34,7 +33,7 @@ def oil_daily(oil: DataFrame, end=None, value: str = "dcoilwtico") -> DataFrame:
 
 
 def add_oil_features(fact: DataFrame, oil: DataFrame, end=None) -> DataFrame:
-    """Join the daily oil table (spine extended to the last fact day; broadcast: one row per day).
+    """Join the daily oil table (spine extended to the last fact day; one row per day).
 
     Fact days before the first quote take the first quote (backward fill of the price only).
     `end` (the last fact day) can be passed to keep the fact's plan out of the spine bounds.
@@ -42,14 +41,14 @@ def add_oil_features(fact: DataFrame, oil: DataFrame, end=None) -> DataFrame:
     end = fact.agg(F.max("date")).scalar() if end is None else end
     od = oil_daily(oil, end=F.greatest(end, oil.agg(F.max("date")).scalar()))
     first_price = od.orderBy("date").select("oil_price").limit(1).scalar()
-    f = fact.join(broadcast_if_small(od), "date", "left")
+    f = fact.join(od, "date", "left")
     return f.withColumn("oil_price", F.coalesce(F.col("oil_price"), first_price))
 
 
 def store_encoding_table(stores: DataFrame) -> DataFrame:
     """Per store: type/city/state/cluster, type label code (two names) and per-store frequencies."""
     codes = label_mapping(stores, "type", "store_type_enc")
-    s = stores.join(broadcast_if_small(codes), "type", "left").withColumn("store_type_encoded", F.col("store_type_enc"))
+    s = stores.join(codes, "type", "left").withColumn("store_type_encoded", F.col("store_type_enc"))
     s = frequency_encode(s, "city", base=stores)
     return frequency_encode(s, "state", base=stores)
 
@@ -62,20 +61,20 @@ def add_store_features(fact: DataFrame, stores: DataFrame, freq_base: str = "row
     s = stores.select("store_nbr", "type", "city", "state", "cluster")
     # store_type_encoded: codes of the store table's types; store_type_enc: codes of the
     # types that occur in the fact (the label encoder of the training table is fitted there)
-    s = s.join(broadcast_if_small(label_mapping(s, "type", "store_type_encoded")), "type", "left")
-    f = fact.join(broadcast_if_small(s), "store_nbr", "left")
+    s = s.join(label_mapping(s, "type", "store_type_encoded"), "type", "left")
+    f = fact.join(s, "store_nbr", "left")
     base = fact if count_base is None else count_base
-    fact_types = base.select("store_nbr").distinct().join(broadcast_if_small(s.select("store_nbr", "type")), "store_nbr")
-    f = f.join(broadcast_if_small(label_mapping(fact_types, "type", "store_type_enc")), "type", "left")
+    fact_types = base.select("store_nbr").distinct().join(s.select("store_nbr", "type"), "store_nbr")
+    f = f.join(label_mapping(fact_types, "type", "store_type_enc"), "type", "left")
     if freq_base == "stores":
         for c in ("city", "state"):
             f = frequency_encode(f, c, base=stores)
     else:
-        # shares of fact rows: counts per store (one aggregate) rolled up to city/state, broadcast back
+        # shares of fact rows: counts per store (one aggregate) rolled up to city/state, joined back
         per_store = base.groupBy("store_nbr").agg(F.count(F.lit(1)).alias("_rows"))
-        ps = per_store.join(broadcast_if_small(s.select("store_nbr", "city", "state")), "store_nbr")
+        ps = per_store.join(s.select("store_nbr", "city", "state"), "store_nbr")
         ps = ps.withColumn("_total", F.sum("_rows").over(Window.partitionBy()))  # one row per store
         for c in ("city", "state"):
             m = ps.groupBy(c).agg((F.sum("_rows") / F.first("_total")).alias(f"{c}_freq"))
-            f = f.join(broadcast_if_small(m), c, "left").withColumn(f"{c}_freq", F.coalesce(F.col(f"{c}_freq"), F.lit(0.0)))
+            f = f.join(m, c, "left").withColumn(f"{c}_freq", F.coalesce(F.col(f"{c}_freq"), F.lit(0.0)))
     return f

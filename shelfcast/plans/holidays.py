@@ -2,7 +2,7 @@
 
 The holiday calendar is a small dimension. Matching is done at its own grain -
 (date) for national, (date, state) for regional, (date, city) for local rows -
-and the fact joins the three small match tables by broadcast; the fact is never
+and the fact joins the three small match tables; the fact is never
 expanded by holidays and holidays are never expanded by stores.
 """
 
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.calendar import in_periods
-from shelfcast.operators.joins import broadcast_if_small, nearest_event_distance
+from shelfcast.operators.joins import nearest_event_distance
 from shelfcast.spec import SHOCK_PERIODS
 
 # Holiday type -> code (unlisted types map to 0).
@@ -63,19 +63,19 @@ def _scope_matches(vh: DataFrame, locale: str, flag: str, geo: str | None) -> Da
 def add_holiday_flags(fact: DataFrame, stores: DataFrame, holidays: DataFrame) -> DataFrame:
     """Scope flags OR-ed; type / make-up / carnaval taken from the last matching row in file order.
 
-    `fact` needs date and store_nbr; store city/state come from the (broadcast) store dimension.
+    `fact` needs date and store_nbr; store city/state come from the store dimension.
     """
     vh = valid_holidays(holidays)
-    f = fact.join(broadcast_if_small(stores.select("store_nbr", F.col("city").alias("_city"),
-                                            F.col("state").alias("_state"))), "store_nbr", "left")
+    f = fact.join(stores.select("store_nbr", F.col("city").alias("_city"),
+                                            F.col("state").alias("_state")), "store_nbr", "left")
     lasts = []
     for locale, flag, geo in SCOPES:
         m = _scope_matches(vh, locale, flag, geo)
         if geo:
             m = m.withColumnRenamed(geo, f"_{geo}")
-            f = f.join(broadcast_if_small(m), ["date", f"_{geo}"], "left")
+            f = f.join(m, ["date", f"_{geo}"], "left")
         else:
-            f = f.join(broadcast_if_small(m), ["date"], "left")
+            f = f.join(m, ["date"], "left")
         lasts.append(F.col(f"_last_{flag}"))
     win = F.greatest(*lasts)
     out = f.select(
@@ -98,7 +98,7 @@ def add_holiday_features(fact: DataFrame, stores: DataFrame, holidays: DataFrame
     """All nine holiday features; the halo is computed on distinct dates and joined back."""
     f = add_holiday_flags(fact, stores, holidays)
     halo = holiday_halo(fact.select("date"), holidays)
-    f = f.join(broadcast_if_small(halo), "date", "left")
+    f = f.join(halo, "date", "left")
     return f.withColumn("is_earthquake_period", in_periods("date", shock_periods))
 
 
@@ -125,11 +125,11 @@ def holiday_periods(event_dates: DataFrame, days: int = 2) -> DataFrame:
 def holiday_analysis(daily: DataFrame, oil_daily: DataFrame, holidays: DataFrame) -> DataFrame:
     """Daily totals + oil + top-priority holiday row + flags and period type (F-12)."""
     top = dedup_priority(holidays).select("date", "type", "locale", "description", "transferred")
-    d = daily.join(broadcast_if_small(oil_daily), "date", "left").join(broadcast_if_small(top), "date", "left")
+    d = daily.join(oil_daily, "date", "left").join(top, "date", "left")
     d = d.withColumn("is_holiday_event", F.col("type").isNotNull() & (F.coalesce(F.col("transferred"), F.lit(True)) == F.lit(False)))
     d = d.withColumn("holiday_category", F.coalesce("type", F.lit("Normal"))).withColumn(
         "locale_category", F.coalesce("locale", F.lit("None")))
     events = d.filter("is_holiday_event").select("date")
     per = holiday_periods(events)
-    return d.join(broadcast_if_small(per), "date", "left").withColumn(
+    return d.join(per, "date", "left").withColumn(
         "period_type", F.coalesce("period_type", F.lit("Normal")))

@@ -31,5 +31,5 @@ def split_bounds(df: DataFrame, date: str = "date", split: SplitSpec = DEFAULT_S
         for n, a, b in split.ranges()])))
     act = df.groupBy("split").agg(F.min(date).alias("min_date"), F.max(date).alias("max_date"),
                                   F.count(F.lit(1)).alias("n_rows"))
-    return act.join(F.broadcast(spec), "split").withColumn(
+    return act.join(spec, "split").withColumn(
         "ok", (F.col("min_date") >= F.col("range_start")) & (F.col("max_date") <= F.col("range_end")))

@@ -2,7 +2,7 @@
 
 One lazy plan: the series windows share one Exchange + Sort on the series keys;
 every dimension (stores, holiday match tables, the daily oil table, the per-fold
-encoder table) is small and bounded by its own grain, and is broadcast.
+encoder table) is small and bounded by its own grain; AQE broadcasts it.
 """
 
 from __future__ import annotations

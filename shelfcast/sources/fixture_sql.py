@@ -94,6 +94,8 @@ def with_views(body: str, extra: dict[str, str] | None = None) -> str:
         return body
     head = ",\n".join(f"{n} AS ({ctes[n]}\n)" for n in order)
     b = body.lstrip()
+    if b[:15].upper() == "WITH RECURSIVE ":
+        return "WITH RECURSIVE " + head + ",\n" + b[15:]
     if b[:5].upper() == "WITH ":
         return "WITH " + head + ",\n" + b[5:]
     return "WITH " + head + "\n" + body

@@ -26,7 +26,7 @@ def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(store_nbr, family, date) -> sales, onpromotion from lineitem x part x supplier.
 
     Sales are summed as decimal(18,4) so the total does not depend on the order of
-    addition; part and supplier are left to the planner (broadcast only if small).
+    addition; part and supplier are left to the planner.
     """
     li = table(spark, sf_dir, "lineitem", ["l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_shipdate"])
     part = table(spark, sf_dir, "part", ["p_partkey", "p_type"])
@@ -64,7 +64,7 @@ def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation", ["n_nationkey", "n_regionkey"])
     r = table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
     k = F.col("n_nationkey")
-    return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select(
+    return n.join(r, n.n_regionkey == r.r_regionkey).select(
         k.alias("store_nbr"),
         F.concat(F.lit("CITY_"), (k % 9).cast("string")).alias("city"),
         F.col("r_name").alias("state"),
