@@ -2,75 +2,89 @@
 
 from __future__ import annotations
 
-import random
-
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from shelfcast.catalog.external import OIL_DAILY_SQL
+from shelfcast.catalog.holidays import FLAGS_SQL, VH
+from shelfcast.catalog.series import representative_df
 from shelfcast.catalog.sqlparts import exact_mean_sql, split_case
+from shelfcast.catalog.windows import TEMPORAL_SQL
 from shelfcast.operators import models as mdl
-from shelfcast.operators.evaluate import metric_columns
+from shelfcast.operators.evaluate import metric_columns, metrics_gap
 from shelfcast.operators.profile import clean_columns
+from shelfcast.operators.windows import CALENDAR
 from shelfcast.plans import train_final as tf
 from shelfcast.plans.features import TOXIC_FEATURES
 from shelfcast.registry import register
+from shelfcast.session import materialize
 from shelfcast.sources import fixtures as fx
 from shelfcast.sources import sinks
 from shelfcast.sources.fixture_sql import with_views
-from shelfcast.spec import DEFAULT_SPLIT, HORIZON_DAYS
+from shelfcast.spec import DEFAULT_SPLIT, HORIZON_DAYS, SHOCK_PERIODS
 
 FEATURES = [c for c in tf.V3_FEATURE_COLS if c != "date"]
 H0 = DEFAULT_SPLIT.horizon[0]
 
 
+# The registered queries fit few and small models, to run in a check; the library's defaults
+# are the full numbers (operators.models.TRIALS, ROUNDS).
+SMALL = 5
+WEIGHTS = (0.3, 0.7)  # fixed values: of the leaf-wise and of the depth-wise booster
+
+
 def model_table(spark, sf):
-    """The v3 feature table, written once: tree training makes several passes over it."""
-    from shelfcast.session import materialize
-    t = tf.safe_feature_set(tf.build_train_final(fx.sales_panel(spark, sf), fx.stores(spark, sf),
-                                                 fx.holidays_events(spark), fx.oil(spark, sf)))
+    """The v3 feature table in the horizon's mode (calendar lags, store frequencies), written
+    once: tree training makes several passes over it."""
+    t = tf.safe_feature_set(tf.build_train_final(fx.sales_panel(spark, sf), fx.stores(spark, sf), fx.holidays_events(spark),
+                                                 fx.oil(spark, sf), mode=CALENDAR, freq_base="stores"), mode=CALENDAR)
     return materialize(t, "model-table")
 
 
-def _fit(spark, sf, params=None, max_iter=10, parts=("train",)):
+def _parts(t):
+    return t.where("split = 'train'"), t.where("split = 'val'"), t.where("split in ('val', 'test')")
+
+
+def _first_model(spark, sf, rounds=SMALL):
     t = model_table(spark, sf)
-    train = t.where(F.col("split").isin(*parts))
-    return t, mdl.fit_gbt(train, FEATURES, params=params, max_iter=max_iter)
+    train, val, _ = _parts(t)
+    return t, mdl.fit_gbt(train, FEATURES, val=val, rounds=rounds, codes_from=t)
 
 
-@register("gbt_train", None, ids="M-01, M-03, V-01")
+@register("gbt_train", None, ids="M-01, V-01")
 def gbt_train(spark, sf):
-    t, m = _fit(spark, sf)
-    p = mdl.predict(m, t.where(F.col("split").isin("val", "test")), FEATURES)
-    return p.groupBy("split").agg(*metric_columns("sales", "predicted"))
+    t, m = _first_model(spark, sf)
+    return mdl.predict(m, _parts(t)[2], FEATURES).groupBy("split").agg(*metric_columns("sales", "predicted"))
 
 
 @register("feature_importance", None, ids="M-04")
 def feature_importance(spark, sf):
-    _, m = _fit(spark, sf)
+    _, m = _first_model(spark, sf)
     return mdl.importances(m, FEATURES, spark)
 
 
-@register("param_search", None, ids="M-02")
-def param_search(spark, sf, trials: int = 3, seed: int = 42):
-    t = model_table(spark, sf)
-    train, val = t.where("split = 'train'"), t.where("split = 'val'")
-    rng = random.Random(seed)
-    rows = []
-    for i in range(trials):
-        params = {"stepSize": round(rng.uniform(0.01, 0.3), 4), "maxDepth": rng.randint(3, 8),
-                  "minInstancesPerNode": rng.randint(1, 100), "subsamplingRate": round(rng.uniform(0.5, 1.0), 4)}
-        m = mdl.fit_gbt(train, FEATURES, params=params, max_iter=5)
-        r = mdl.predict(m, val, FEATURES).agg(metric_columns("sales", "predicted")[0].alias("val_rmsle"))
-        rows.append(r.select(F.lit(i).alias("trial"), *[F.lit(v).alias(k) for k, v in params.items()], "val_rmsle"))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+@register("param_search", None, ids="M-02, M-03, V-03")
+def param_search(spark, sf, trials: int = 2, rounds: int = 2):
+    """Search, refit of the best parameters on train and val, and the gaps to the first model (val and test)."""
+    t, first = _first_model(spark, sf, rounds)
+    train, val, rest = _parts(t)
+    found, best = mdl.search(train, val, FEATURES, trials=trials, rounds=rounds, codes_from=t)
+    tuned = mdl.fit_gbt(train.unionByName(val), FEATURES, params=best, rounds=rounds, codes_from=t)
+    scores = [mdl.predict(m, rest, FEATURES).groupBy("split").agg(F.lit(name).alias("model"), *metric_columns("sales", "predicted"))
+              for name, m in (("baseline", first), ("tuned", tuned))]
+    gaps = metrics_gap(scores[0].unionByName(scores[1]))
+    return gaps.select("*", F.lit(len(found)).alias("trials"), F.lit(min(r for _, r in found)).alias("best_val_rmsle"))
+
+
+def _boosters(t, rounds=SMALL):
+    """The two tuned boosters on train and val, with their weights."""
+    both = t.where("split in ('train', 'val')")
+    return [(mdl.fit_gbt(both, FEATURES, params=p, rounds=rounds, codes_from=t), w) for p, w in zip((mdl.LGB_TUNED, mdl.XGB_TUNED), WEIGHTS)]
 
 
 @register("model_roundtrip", None, ids="S-09")
 def model_roundtrip(spark, sf):
-    t, m = _fit(spark, sf, max_iter=3)
+    t, m = _first_model(spark, sf, rounds=2)
     path = sinks.shared_path(spark, "model")
     m.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
@@ -80,16 +94,47 @@ def model_roundtrip(spark, sf):
     return j.agg(F.count(F.lit(1)).alias("rows"), F.max(F.abs(F.col("a") - F.col("b"))).alias("max_abs_diff"))
 
 
+def future_df(spark, sf):
+    return fx.future(spark, sf, H0, HORIZON_DAYS)
+
+
 def horizon_df(spark, sf):
     return tf.build_horizon_features(fx.sales_panel(spark, sf), fx.stores(spark, sf), fx.holidays_events(spark),
-                                     fx.oil(spark, sf), H0)
+                                     fx.oil(spark, sf), H0, future=future_df(spark, sf))
 
 
 @register("forecast", None, ids="F-07, M-05, P-22, C-19, U-02, M-03")
 def forecast(spark, sf):
-    t, m = _fit(spark, sf, parts=("train", "val", "test"))
-    h = mdl.predict(m, horizon_df(spark, sf), FEATURES)
-    return h.select("date", "store_nbr", "family", F.round("predicted", 4).alias("sales"))
+    """The blended forecast of every future row, checked like a submission."""
+    models = _boosters(model_table(spark, sf))
+    h = mdl.blended(models, horizon_df(spark, sf), FEATURES)
+    out = materialize(h.select("id", "date", "store_nbr", "family", F.round("predicted", 4).alias("sales")), "forecast")
+    mdl.check_submission(out, future_df(spark, sf))
+    return out
+
+
+@register("model_scores", None, ids="V-01, V-02, A-30, TS-15, V-04, M-06")
+def model_scores(spark, sf):
+    """Test errors of the blend and of the seasonal ARIMA on the representative series (V-04), and
+    of the blend on all rows, by day and by holiday (A-30), in one long table."""
+    t = model_table(spark, sf)
+    models = _boosters(t, rounds=2)
+    test = materialize(mdl.blended(models, t.where("split = 'test'"), FEATURES).select("date", "store_nbr", "family", "sales", "predicted"), "test-predictions")
+    hd = fx.holidays_events(spark).select("date").distinct().withColumn("_h", F.lit(True))
+    score = lambda df, kind, name, pred="predicted": df.groupBy(F.lit(kind).alias("kind"), name.cast("string").alias("name")).agg(*metric_columns("sales", pred))
+    rows = [score(test, "blend", F.lit("all rows")), score(test, "blend by day", F.col("date")),
+            score(test.join(hd, "date", "left"), "blend by holiday", F.coalesce("_h", F.lit(False)))]
+    keys = ["store_nbr", "family"]
+    picked = materialize(representative_df(spark, sf).select("pattern", *keys), "representative")
+    hist = fx.sales_panel(spark, sf).where(F.col("date") <= F.lit(DEFAULT_SPLIT.val[1])).join(picked.select(*keys), keys, "left_semi")
+    first = DEFAULT_SPLIT.test[0]
+    arima = mdl.arima_per_series(hist, keys, (DEFAULT_SPLIT.test[1] - first).days + 1)
+    arima = arima.withColumn("date", F.date_add(F.lit(first), F.col("h") - 1)).join(test.join(picked, keys), [*keys, "date"])
+    rows += [score(arima, "representative blend", F.col("pattern")), score(arima, "representative arima", F.concat_ws(" ", "pattern", "model_order"), "pred")]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
 
 
 @register("arima_per_series", None, ids="M-06")
@@ -99,33 +144,50 @@ def arima_per_series(spark, sf):
 
 
 _HLAGS = [14, 16, 21, 28, 35, 364]
-R30 = "PARTITION BY store_nbr, family ORDER BY date RANGE BETWEEN INTERVAL 45 DAY PRECEDING AND INTERVAL 16 DAY PRECEDING"
-R28 = "PARTITION BY store_nbr, family ORDER BY date RANGE BETWEEN INTERVAL 43 DAY PRECEDING AND INTERVAL 16 DAY PRECEDING"
+_HPART = "PARTITION BY store_nbr, family ORDER BY date RANGE BETWEEN INTERVAL {} DAY PRECEDING AND INTERVAL {} DAY PRECEDING"
+R30, R28 = _HPART.format(45, 16), _HPART.format(43, 16)
+FUTURE_SQL = f"""SELECT CAST(date + INTERVAL 28 DAY AS DATE) AS date, store_nbr, family, CAST(NULL AS DOUBLE) AS sales, onpromotion
+  FROM sales_panel WHERE date BETWEEN DATE '{H0}' - INTERVAL 28 DAY AND DATE '{H0}' - INTERVAL {28 - HORIZON_DAYS + 1} DAY"""
 
 
 @register("horizon_features", with_views(f"""
-WITH b AS (SELECT DATE '{H0}' AS h0),
-hist AS (SELECT date, store_nbr, family, sales FROM sales_panel, b WHERE date >= h0 - INTERVAL 364 DAY),
-fut AS (SELECT CAST(g.d AS DATE) AS date, k.store_nbr, k.family, CAST(NULL AS DOUBLE) AS sales
-        FROM (SELECT DISTINCT store_nbr, family FROM sales_panel) k, b
-        CROSS JOIN LATERAL unnest(generate_series(b.h0, b.h0 + INTERVAL {HORIZON_DAYS - 1} DAY, INTERVAL 1 DAY)) AS g(d)),
-u AS (SELECT * FROM hist UNION ALL SELECT * FROM fut),
-f AS (SELECT u.date, u.store_nbr, u.family, """ + ", ".join(
-    f"(SELECT l.sales FROM u l WHERE l.store_nbr = u.store_nbr AND l.family = u.family AND l.date = u.date - INTERVAL {n} DAY) AS lag_{n}"
-    for n in _HLAGS) + """,
-  CASE WHEN count(sales) OVER r30 >= 1 THEN """ + exact_mean_sql("sales", R30, 4, 6) + """ END AS rolling_mean_30,
-  CASE WHEN count(sales) OVER r28 >= 1 THEN """ + exact_mean_sql("sales", R28, 4, 6) + """ END AS rolling_mean_28_safe,
-  CASE WHEN count(sales) OVER r28 >= 2 THEN stddev_samp(sales) OVER r28 END AS rolling_std_28_safe
-  FROM u WINDOW r30 AS (PARTITION BY store_nbr, family ORDER BY date RANGE BETWEEN INTERVAL 45 DAY PRECEDING AND INTERVAL 16 DAY PRECEDING),
-               r28 AS (PARTITION BY store_nbr, family ORDER BY date RANGE BETWEEN INTERVAL 43 DAY PRECEDING AND INTERVAL 16 DAY PRECEDING))
-SELECT date, store_nbr, family, """ + ", ".join(f"lag_{n}" for n in _HLAGS) + """,
-  round(rolling_mean_30, 6) AS rolling_mean_30, round(rolling_mean_28_safe, 6) AS rolling_mean_28_safe,
-  round(rolling_std_28_safe, 6) AS rolling_std_28_safe
-FROM f, b WHERE date >= h0"""), ids="F-07, J-04, U-01, C-20")
+WITH fut AS ({FUTURE_SQL}),
+u AS (SELECT date, store_nbr, family, sales, onpromotion FROM sales_panel WHERE date >= DATE '{H0}' - INTERVAL 364 DAY AND date < DATE '{H0}'
+  UNION ALL SELECT * FROM fut),
+lf AS (SELECT u.*, {TEMPORAL_SQL}, """ + ", ".join(f"max(sales) OVER ({_HPART.format(n, n)}) AS lag_{n}" for n in _HLAGS) + f""",
+  CASE WHEN count(sales) OVER ({R30}) >= 1 THEN {exact_mean_sql("sales", R30, 4, 6)} END AS rolling_mean_30,
+  CASE WHEN count(sales) OVER ({R28}) >= 1 THEN {exact_mean_sql("sales", R28, 4, 6)} END AS rolling_mean_28_safe,
+  round(CASE WHEN count(sales) OVER ({R28}) >= 2 THEN stddev_samp(sales) OVER ({R28}) END, 6) AS rolling_std_28_safe FROM u),
+fl AS ({FLAGS_SQL.replace("FROM sales_panel p", "FROM fut p")}),
+vh AS ({VH}),
+halo AS (SELECT d.date,
+  COALESCE((SELECT min(vh.date) FROM vh WHERE vh.date > d.date) - d.date, -1) AS days_to_next_holiday,
+  COALESCE(d.date - (SELECT max(vh.date) FROM vh WHERE vh.date < d.date), -1) AS days_after_last_holiday
+  FROM (SELECT DISTINCT date FROM fut) d),
+od AS ({OIL_DAILY_SQL.replace("(SELECT MAX(date) FROM sales_panel)", "(SELECT MAX(date) FROM fut)")}),
+se AS (SELECT s.*, CAST(dense_rank() OVER (ORDER BY s.type) - 1 AS INTEGER) AS store_type_encoded FROM stores s),
+fte AS (SELECT type, CAST(dense_rank() OVER (ORDER BY type) - 1 AS INTEGER) AS store_type_enc
+  FROM (SELECT DISTINCT se.type FROM sales_panel p JOIN se ON se.store_nbr = p.store_nbr)),
+cf AS (SELECT city, COUNT(*) / (SELECT COUNT(*)::DOUBLE FROM stores) AS city_freq FROM stores GROUP BY 1),
+sf AS (SELECT state, COUNT(*) / (SELECT COUNT(*)::DOUBLE FROM stores) AS state_freq FROM stores GROUP BY 1),
+te AS (SELECT store_nbr, family, (SUM(sales) + 10 * (SELECT avg(sales) FROM sales_panel)) / (COUNT(sales) + 10) AS te FROM sales_panel GROUP BY 1, 2)
+SELECT lf.* EXCLUDE (sales), fl.is_national_holiday, fl.is_regional_holiday, fl.is_local_holiday, fl.is_transferred_holiday,
+  fl.holiday_type, fl.is_carnaval_feature, halo.days_to_next_holiday, halo.days_after_last_holiday,
+  CASE WHEN lf.date BETWEEN DATE '{SHOCK_PERIODS[0][0]}' AND DATE '{SHOCK_PERIODS[0][1]}' THEN 1 ELSE 0 END AS is_earthquake_period,
+  COALESCE(od.oil_price, (SELECT oil_price FROM od ORDER BY date LIMIT 1)) AS oil_price, od.oil_price_lag_7, od.oil_price_lag_14,
+  round(od.oil_price_rolling_mean_28, 6) AS oil_price_rolling_mean_28, round(od.oil_price_change_pct, 6) AS oil_price_change_pct,
+  se.type, se.city, se.state, se.cluster, fte.store_type_enc, round(cf.city_freq, 6) AS city_freq, round(sf.state_freq, 6) AS state_freq,
+  se.store_type_encoded, CAST(lf.store_nbr AS VARCHAR) || '_' || lf.family AS store_family, round(te.te, 6) AS store_family_te
+FROM lf JOIN fl ON fl.date = lf.date AND fl.store_nbr = lf.store_nbr AND fl.family = lf.family
+JOIN halo ON halo.date = lf.date LEFT JOIN od ON od.date = lf.date LEFT JOIN se ON se.store_nbr = lf.store_nbr
+LEFT JOIN fte ON fte.type = se.type LEFT JOIN cf ON cf.city = se.city LEFT JOIN sf ON sf.state = se.state
+LEFT JOIN te ON te.store_nbr = lf.store_nbr AND te.family = lf.family
+WHERE lf.date >= DATE '{H0}'"""), ids="F-07, J-04, U-01, C-20")
 def horizon_features(spark, sf):
-    h = horizon_df(spark, sf)
-    return h.select("date", "store_nbr", "family", *[f"lag_{n}" for n in _HLAGS],
-                    *[F.round(c, 6).alias(c) for c in ("rolling_mean_30", "rolling_mean_28_safe", "rolling_std_28_safe")])
+    """All 47 features of the future rows."""
+    rounded = ("rolling_mean_30", "rolling_mean_28_safe", "rolling_std_28_safe", "oil_price_rolling_mean_28", "oil_price_change_pct", "store_family_te", "city_freq", "state_freq")
+    h = horizon_df(spark, sf).drop("id")
+    return h.select(*[F.round(c, 6).alias(c) if c in rounded else F.col(c) for c in h.columns])
 
 
 @register("union_history_horizon", with_views(f"""

@@ -120,18 +120,22 @@ def target_encode_apply(df: DataFrame, mapping: DataFrame, key: str, out_col: st
 
 
 def target_encode_oof(df: DataFrame, key: str, target: str, fold_col: str = "fold", out_col: str | None = None,
-                      how: str = M_ESTIMATE, **kw) -> DataFrame:
+                      how: str = M_ESTIMATE, stats_on: DataFrame | None = None, **kw) -> DataFrame:
     """Out-of-fold target encoding in one aggregate: statistics of the other folds = totals - own fold.
 
+    `stats_on`: a frame with the same rows, fold, key and target to take the statistics from,
+    where `df` carries joins that they don't need.
+
     The prior of fold f is the target mean of all rows outside f. No per-fold refit loop.
     The (fold, key) table has k x #keys rows; the per-fold table has k rows.
     """
     out_col = out_col or f"{key}_te"
-    fk = df.groupBy(fold_col, key).agg(F.sum(target).alias("_fs"), F.count(target).alias("_fn"))
+    src = df if stats_on is None else stats_on
+    fk = src.groupBy(fold_col, key).agg(F.sum(target).alias("_fs"), F.count(target).alias("_fn"))
     per_key = Window.partitionBy(key)
     fk = fk.select("*", F.sum("_fs").over(per_key).alias("_ts"), F.sum("_fn").over(per_key).alias("_tn"))
-    # per-fold totals (k rows); global totals as a window over those k rows, not a rescan of df
-    ff = df.groupBy(fold_col).agg(F.sum(target).alias("_ps"), F.count(target).alias("_pn"))
+    # per-fold totals (k rows) from the (fold, key) sums; global totals as a window over those k rows
+    ff = fk.groupBy(fold_col).agg(F.sum("_fs").alias("_ps"), F.sum("_fn").alias("_pn"))
     everything = Window.partitionBy()
     ff = ff.select("*", F.sum("_ps").over(everything).alias("_gs"), F.sum("_pn").over(everything).alias("_gn"))
     ff = ff.select(fold_col, "_ps", "_pn", F.try_divide(F.col("_gs") - F.col("_ps"), F.col("_gn") - F.col("_pn")).alias("_fp"))

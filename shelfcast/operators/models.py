@@ -8,6 +8,9 @@ per series (bounded by the series length).
 
 from __future__ import annotations
 
+import math
+import random
+
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
@@ -16,31 +19,42 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.operators.evaluate import metric_columns
 from shelfcast.session import ship_package
 
 NULL_SENTINEL = -1.0
 
-# Mapping of the tuned booster parameters onto Spark's GBT (names that exist there).
+# The first model's settings, and the tuned ones of the two boosters, under the
+# names that Spark's trees have (they have no L1 / L2 terms; 248 leaves are a depth of 8).
+BASELINE = {"stepSize": 0.05, "maxDepth": 8, "minInstancesPerNode": 100, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}
 XGB_TUNED = {"stepSize": 0.01713, "maxDepth": 10, "minInstancesPerNode": 39, "subsamplingRate": 0.9080,
              "featureSubsetStrategy": "0.6214"}
 LGB_TUNED = {"stepSize": 0.04412, "maxDepth": 8, "minInstancesPerNode": 70, "subsamplingRate": 0.9338,
              "featureSubsetStrategy": "0.6784"}
+# Search ranges (kind, low, high), number of trials, boosting rounds.
+SEARCH_SPACE = {"stepSize": ("log", 0.01, 0.1), "maxDepth": ("int", 4, 10), "minInstancesPerNode": ("int", 20, 300),
+                "subsamplingRate": ("float", 0.6, 1.0), "featureSubsetStrategy": ("share", 0.6, 1.0)}
+TRIALS = 45
+ROUNDS = 1000
 
 
 def gbt_pipeline(df: DataFrame, features: list[str], label: str = "sales_log", params: dict | None = None,
-                 max_iter: int = 20, seed: int = 42, validation_col: str | None = None) -> Pipeline:
+                 rounds: int = ROUNDS, seed: int = 42, validation_col: str | None = None,
+                 codes_from: DataFrame | None = None) -> Pipeline:
+    """Codes for the text features (fitted on `codes_from`, all parts), one vector, boosted trees."""
     strings = [c for c, t in df.select(*features).dtypes if t == "string"]
     numeric = [c for c in features if c not in strings]
-    stages = [StringIndexer(inputCols=strings, outputCols=[f"{c}__idx" for c in strings], handleInvalid="keep",
-                            stringOrderType="alphabetAsc")] if strings else []
+    stages = []
     if strings:
+        codes = StringIndexer(inputCols=strings, outputCols=[f"{c}__idx" for c in strings], handleInvalid="keep",
+                              stringOrderType="alphabetAsc")
+        stages.append(codes if codes_from is None else codes.fit(codes_from.select(*strings)))
         # codes are ordinal numbers for the trees (as in the label-encoded reference), not categories
         num_codes = ", ".join(f"`{c}__idx` + 0.0 AS `{c}__code`" for c in strings)
         stages.append(SQLTransformer(statement=f"SELECT *, {num_codes} FROM __THIS__"))
     stages.append(VectorAssembler(inputCols=numeric + [f"{c}__code" for c in strings], outputCol="features",
                                   handleInvalid="keep"))
-    p = {"maxIter": max_iter, "maxDepth": 5, "stepSize": 0.1, "seed": seed, "maxBins": 64}
-    p.update(params or {})
+    p = {"maxIter": rounds, "seed": seed, "maxBins": 64, **BASELINE, **(params or {})}
     gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="pred_log", **p)
     if validation_col:
         gbt.setValidationIndicatorCol(validation_col)
@@ -54,8 +68,55 @@ def impute(df: DataFrame, features: list[str]) -> DataFrame:
                        for c in df.columns])
 
 
-def fit_gbt(train: DataFrame, features: list[str], label: str = "sales_log", **kw) -> PipelineModel:
-    return gbt_pipeline(train, features, label, **kw).fit(impute(train, features))
+def fit_gbt(train: DataFrame, features: list[str], label: str = "sales_log", val: DataFrame | None = None, **kw) -> PipelineModel:
+    """Boosted trees on `train`; with `val`, boosting ends when its error no longer falls (M-01)."""
+    if val is None:
+        return gbt_pipeline(train, features, label, **kw).fit(impute(train, features))
+    both = train.withColumn("_val", F.lit(False)).unionByName(val.withColumn("_val", F.lit(True)))
+    return gbt_pipeline(both, features, label, validation_col="_val", **kw).fit(impute(both, features))
+
+
+def sample_params(space: dict, rng: random.Random) -> dict:
+    """One draw of every parameter from its range."""
+    out = {}
+    for name, (kind, low, high) in space.items():
+        if kind == "int":
+            out[name] = rng.randint(low, high)
+        else:
+            x = math.exp(rng.uniform(math.log(low), math.log(high))) if kind == "log" else rng.uniform(low, high)
+            out[name] = f"{x:.4f}" if kind == "share" else round(x, 5)
+    return out
+
+
+def search(train: DataFrame, val: DataFrame, features: list[str], trials: int = TRIALS, rounds: int = ROUNDS,
+           seed: int = 42, space: dict | None = None, codes_from: DataFrame | None = None) -> tuple[list[tuple[dict, float]], dict]:
+    """Random search (M-02): every trial is fitted with early stopping on `val` and scored there.
+
+    Returns the trials with their RMSLE and the best parameters. Trials run one after another;
+    each is a distributed fit.
+    """
+    rng, found = random.Random(seed), []
+    for _ in range(trials):
+        params = sample_params(space or SEARCH_SPACE, rng)
+        model = fit_gbt(train, features, val=val, params=params, rounds=rounds, codes_from=codes_from)
+        found.append((params, predict(model, val, features).agg(metric_columns("sales", "predicted")[0].alias("r")).first()["r"]))
+    return found, min(found, key=lambda x: x[1])[0]
+
+
+def blended(models: list[tuple[PipelineModel, float]], df: DataFrame, features: list[str]) -> DataFrame:
+    """`df` with `predicted`: the weighted sum of the models' log predictions, back in units, not below 0 (P-22)."""
+    for i, (model, _) in enumerate(models):
+        df = predict(model, df, features).select(*df.columns, F.col("pred_log").alias(f"_log{i}"))
+    total = sum((F.col(f"_log{i}") * w for i, (_, w) in enumerate(models)), F.lit(0.0))
+    return df.withColumn("predicted", F.greatest(F.expm1(total), F.lit(0.0))).drop(*(f"_log{i}" for i in range(len(models))))
+
+
+def check_submission(submission: DataFrame, future: DataFrame, value: str = "sales") -> None:
+    """A forecast for every future row, none null, none negative (C-19); raises otherwise."""
+    s = submission.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("ids"), F.count_if(F.col(value).isNull()).alias("nulls"), F.count_if(F.col(value) < 0).alias("below")).first()
+    rows = future.count()
+    if (s["n"], s["ids"], s["nulls"], s["below"]) != (rows, rows, 0, 0):
+        raise ValueError(f"submission of {s['n']} rows ({s['ids']} ids) for {rows}: {s['nulls']} null, {s['below']} negative")
 
 
 def predict(model: PipelineModel, df: DataFrame, features: list[str]) -> DataFrame:

@@ -41,16 +41,16 @@ def build_train_final(panel: DataFrame, stores: DataFrame, holidays: DataFrame,
     encoding uses contiguous folds along that same order.
     """
     order = [spec.date, *spec.keys]
-    base = row_position(panel, order, "id")  # checkpointed: scalar bounds below scan it, not the sources
-    n = base.agg(F.count(F.lit(1))).scalar()
-    end = base.agg(F.max(spec.date)).scalar()
+    base = row_position(panel, order, "id")  # stored: the bounds and the encoder's sums read it, not the sources
+    base = base.withColumn("store_family", store_family(spec))
+    bounds = base.agg(F.count(F.lit(1)).alias("n"), F.max(spec.date).alias("end"))
+    base = base.withColumn("_fold", contiguous_fold(F.col("id"), bounds.select("n").scalar(), folds))
     f = add_temporal_features(base, spec.date)
     f = add_lag_features(f, spec, mode)
-    f = add_holiday_features(f, stores, holidays)
-    f = add_oil_features(f, oil, end=end)
+    f = add_holiday_features(f, stores, holidays, dates=base.select(spec.date))
+    f = add_oil_features(f, oil, end=bounds.select("end").scalar())
     f = add_store_features(f, stores, freq_base, count_base=base)
-    f = f.withColumn("store_family", store_family(spec)).withColumn("_fold", contiguous_fold(F.col("id"), n, folds))
-    f = target_encode_oof(f, "store_family", spec.target, "_fold", "store_family_te")
+    f = target_encode_oof(f, "store_family", spec.target, "_fold", "store_family_te", stats_on=base)
     return f.select(*TRAIN_FINAL_COLS)
 
 
@@ -83,27 +83,33 @@ def horizon_frame(history: DataFrame, start: dt.date, days: int = HORIZON_DAYS,
 
 def build_horizon_features(history: DataFrame, stores: DataFrame, holidays: DataFrame, oil: DataFrame,
                            start: dt.date, days: int = HORIZON_DAYS, spec: PanelSpec = DEFAULT_PANEL,
-                           lookback: int = 364) -> DataFrame:
-    """Direct-forecast features for the horizon rows (47 v3 features, calendar mode).
-
-    History is cut to `lookback` days before the horizon (the longest lag), unioned
-    with null-target horizon rows, and the same calendar-mode windows as training run
-    over it; only horizon rows are kept. Store frequencies use the store base, the
-    target encoding is fitted on the whole history.
+                           lookback: int = 364, future: DataFrame | None = None, mode: str = CALENDAR,
+                           freq_base: str = "stores") -> DataFrame:
+    """Direct-forecast features for the horizon rows (47 v3 features).
+
+    `future`: the rows to forecast (date, keys, onpromotion, and any other columns, such as
+    an id, which are kept); without it, every series for `days` days without promotion.
+    History is cut to `lookback` days before the horizon (the longest lag), unioned with the
+    future rows without target, and the same windows as in training (`mode`) run over it;
+    only horizon rows are kept. `freq_base` as in `build_train_final`, counted over the
+    history; the target encoding is fitted on the whole history.
     """
     cut = start - dt.timedelta(days=lookback)
-    hist = history.filter(F.col(spec.date) >= F.lit(cut)).select(spec.date, *spec.keys, spec.target, "onpromotion")
-    fut = horizon_frame(history, start, days, spec).withColumn(spec.target, F.lit(None).cast("double")).withColumn(
-        "onpromotion", F.lit(0.0))
-    u = hist.unionByName(fut)
+    hist = history.filter((F.col(spec.date) >= F.lit(cut)) & (F.col(spec.date) < F.lit(start))).select(
+        spec.date, *spec.keys, spec.target, "onpromotion")
+    if future is None:
+        future = horizon_frame(history, start, days, spec).withColumn("onpromotion", F.lit(0.0))
+    extra = [c for c in future.columns if c not in (*spec.grain, "onpromotion", spec.target)]
+    fut = future.select(*spec.grain, F.lit(None).cast("double").alias(spec.target), "onpromotion", *extra)
+    u = hist.unionByName(fut, allowMissingColumns=True)
     f = add_temporal_features(u, spec.date)
     lag_only = [int(c.split("_")[1]) for c in LAG_FEATURES if c.startswith("lag_") and c not in TOXIC_FEATURES]
-    f = add_lag_features(f, spec, CALENDAR, lags=sorted(set(lag_only) | set(SAFE_LAGS)), rolling=ROLLING_SAFE)
+    f = add_lag_features(f, spec, mode, lags=sorted(set(lag_only) | set(SAFE_LAGS)), rolling=ROLLING_SAFE)
     f = f.filter(F.col(spec.date) >= F.lit(start))
-    f = add_holiday_features(f, stores, holidays)
+    f = add_holiday_features(f, stores, holidays, dates=future.select(spec.date))
     f = add_oil_features(f, oil, end=F.lit(start + dt.timedelta(days=days - 1)))
-    f = add_store_features(f, stores, "stores")
+    f = add_store_features(f, stores, freq_base, count_base=history)
     hs = history.withColumn("store_family", store_family(spec))
     m = target_encode_fit(hs, "store_family", spec.target)
     f = target_encode_apply(f.withColumn("store_family", store_family(spec)), m, "store_family", "store_family_te")
-    return f.select(*V3_FEATURE_COLS)
+    return f.select(*extra, *V3_FEATURE_COLS)

@@ -59,6 +59,13 @@ def sales_gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.filter(~((F.month("date") == 12) & (F.dayofmonth("date") == 25)))
 
 
+def future(spark: SparkSession, sf_dir: str, start, days: int) -> DataFrame:
+    """The rows to forecast: id, date, series, and the promotions planned (those of four weeks before)."""
+    p = sales_panel(spark, sf_dir).where(F.col("date").between(F.date_sub(F.lit(start), 28), F.date_add(F.date_sub(F.lit(start), 28), days - 1)))
+    p = p.select(F.date_add("date", 28).alias("date"), "store_nbr", "family", "onpromotion")
+    return p.withColumn("id", F.concat_ws("_", F.col("date").cast("string"), F.col("store_nbr").cast("string"), "family"))
+
+
 def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store dimension (one row per nation): store_nbr, city, state, type, cluster."""
     n = table(spark, sf_dir, "nation", ["n_nationkey", "n_regionkey"])
