@@ -16,8 +16,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train, per_c
 
     Chosen by the smallest hash of the id. The ids are at most 2 * per_class, which bounds the
     broadcast and keeps the texts of all other documents in place. A document with
-    contradicting labels counts as the larger one; null labels and ids are left out.
+    contradicting labels counts as the larger one; null labels and ids are left out, rows that
+    repeat count once.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & train).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     some = [known.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for k in (0, 1)]
-    return docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(some[0].union(some[1])), "doc_id")
+    return docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(some[0].union(some[1])), "doc_id").distinct()

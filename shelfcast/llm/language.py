@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.textbytes import runs, text_array
@@ -78,9 +78,11 @@ class Centroids:
 def fit(training: DataFrame, per_language: int = 300, clusters: int = 4, quantile: float = 0.005) -> Centroids:
     """Centroids of `training` (doc_id, text, lang).
 
-    Frequencies come from all rows; centroids from up to `per_language` documents of each
-    language, those of the smallest hash of id and text.
+    Frequencies come from all rows; centroids from about `per_language` documents of each
+    language, chosen by a hash of id and text.
     """
+    spark = training.sparkSession
+    ship_package(spark)
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, df = 0, np.zeros(BUCKETS, np.int64)
@@ -101,10 +103,11 @@ def fit(training: DataFrame, per_language: int = 300, clusters: int = 4, quantil
         df[r["bucket"]] = r["df"]
     idf = np.log((1 + n) / (1 + df)) + 1
 
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "length")
-    chosen = training.select("doc_id", "lang", F.length("text").alias("length")).withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
-    ids = chosen.select(F.col("doc_id").alias("id"), F.col("lang").alias("of")).distinct()
-    texts = training.join(F.broadcast(ids), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("lang") == F.col("of"))).select("lang", "text")  # per_language ids each
+    # by a hash of id and text, about `per_language` rows of each language; equal texts count once
+    shares = [(r["lang"], min(1.0, per_language / r["count"])) for r in training.groupBy("lang").count().collect()]  # a row per language
+    share = F.broadcast(spark.createDataFrame(shares, "of string, share double"))
+    chosen = training.select("lang", "text", (F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / (1 << 30)).alias("place"))
+    texts = chosen.join(share, F.col("lang") == F.col("of")).where("place < share").select("lang", "text").distinct()
     rows = sorted((r["lang"], bytes(r["counts"])) for r in texts.mapInArrow(sampled, "lang string, counts binary").toLocalIterator())
     languages, centroids, least = [], [], {}
     for lang in sorted({r[0] for r in rows}):
