@@ -15,6 +15,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from math import exp, log, log1p
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -109,23 +110,38 @@ def _terms(words: set[str], shortest: int, longest: int) -> set[str]:
 def learn(rows: list[tuple[str, int]], exceptions: tuple[tuple[str, str], ...] = (), most: int = 256, times: int = 8, shortest: int = 4, longest: int = 7) -> Lexicon:
     """The lexicon of a sample of (text, label). Without documents of both classes it is empty."""
     folded = [(fold_text(t), y) for t, y in rows]
-    words = [set(WORD.findall(t)) for t, _ in folded]
     toxic, clean = [i for i, r in enumerate(folded) if r[1]], [i for i, r in enumerate(folded) if not r[1]]
     lexicon = Lexicon({}, {tuple(fold_text(w) for w in e) for e in exceptions}, offset=-2.0)
     if not toxic or not clean:
         return lexicon
     least = max(3, len(toxic) // 200)
+    terms_of = lambda i: _terms(set(WORD.findall(folded[i][0])), shortest, longest)
+    # counts by hash first (too large at most): rare terms, nearly all, are never held
+    cells = np.zeros(1 << 22, np.uint32)
+    for i in toxic:
+        cells[np.unique([crc32(t.encode()) & (1 << 22) - 1 for t in terms_of(i)]).astype(np.int64)] += 1
     in_toxic: dict[str, list[int]] = {}
     for i in toxic:
-        for term in _terms(words[i], shortest, longest):
-            in_toxic.setdefault(term, []).append(i)
+        for term in terms_of(i):
+            if cells[crc32(term.encode()) & (1 << 22) - 1] >= least:
+                in_toxic.setdefault(term, []).append(i)
     in_toxic = {t: at for t, at in in_toxic.items() if len(at) >= least}
     in_clean = dict.fromkeys(in_toxic, 0)
     for i in clean:
-        for term in _terms(words[i], shortest, longest) & in_clean.keys():
+        for term in terms_of(i) & in_clean.keys():
             in_clean[term] += 1
     odds = {t: log((len(at) + 0.5) / (len(toxic) + 1)) - log((in_clean[t] + 0.5) / (len(clean) + 1)) for t, at in in_toxic.items()}
     odds = {t: w for t, w in odds.items() if w >= 3.5}
+    # a word of copied passages has the same neighbours again and again; a term of its own has many
+    around: dict[str, set[int]] = {t: set() for t in odds}
+    for i in toxic:
+        words = ["", *WORD.findall(folded[i][0]), ""]
+        for before, word, after in zip(words, words[1:], words[2:], strict=False):
+            for term in _terms({word}, shortest, longest) & odds.keys():
+                around[term].add(crc32(f"{before} {after}".encode()))
+    odds = {t: w for t, w in odds.items() if 2 * len(around[t]) >= len(in_toxic[t])}
+    if not odds:
+        return lexicon
 
     # greedy cover: always the term that adds most to the documents not yet covered `times` times
     terms = sorted(odds, key=lambda t: (-odds[t] * len(in_toxic[t]), t[-1] != "$", -len(t), t))[: 16 * most]
@@ -151,15 +167,15 @@ def learn(rows: list[tuple[str, int]], exceptions: tuple[tuple[str, str], ...] =
         covered += fresh
 
     automaton = lexicon.automaton()
-    around: dict[tuple[str, str], list[int]] = {}
+    phrases: dict[tuple[str, str], list[int]] = {}
     for i, (text, y) in enumerate(folded):
         for at, _ in lexicon.matches(text, automaton):
             word = WORD.match(text, at)[0]
             before = re.search(r"([^\W\d_]+)[\s-]+$", text[max(0, at - 60) : at])
             after = re.match(r"[\s-]+([^\W\d_]+)", text[at + len(word) : at + len(word) + 60])
             for phrase in {(before[1], word) if before else None, (word, after[1]) if after else None} - {None}:
-                around.setdefault(phrase, [0, 0])[y] += 1
-    lexicon.exceptions |= {p for p, (n, bad) in around.items() if n >= 3 and not bad}
+                phrases.setdefault(phrase, [0, 0])[y] += 1
+    lexicon.exceptions |= {p for p, (n, bad) in phrases.items() if n >= 3 and not bad}
 
     x = np.array([log1p(lexicon.density(t, automaton)) for t, _ in folded])
     y = np.array([label for _, label in folded], float)
@@ -185,7 +201,7 @@ def lexicon_of(docs: DataFrame, labels: DataFrame, folds: int, held: int, per_cl
     return learn([(t, y) for _, t, y in rows], exceptions)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1, per_class: int = 4000, exceptions: tuple[tuple[str, str], ...] = ()) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1, per_class: int = 2000, exceptions: tuple[tuple[str, str], ...] = ()) -> DataFrame:
     """doc_id, score (0 to 1) and density for every row of `docs` (doc_id, text).
 
     The lexicon is learned from up to `per_class` documents of either class of `labels`
@@ -207,7 +223,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1,
     return docs.select("doc_id", "text").mapInArrow(work, f"doc_id {dict(docs.dtypes)['doc_id']}, score double, density double")
 
 
-def reject_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.7, folds: int = 3, held: int = 1, per_class: int = 4000, exceptions: tuple[tuple[str, str], ...] = ()) -> DataFrame:
+def reject_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.7, folds: int = 3, held: int = 1, per_class: int = 2000, exceptions: tuple[tuple[str, str], ...] = ()) -> DataFrame:
     """The rows of `docs`, with all columns, that `toxicity` scores below `limit`."""
     ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(lexicon_of(docs, labels, folds, held, per_class, exceptions))

@@ -28,7 +28,7 @@ def test_stages_against_brute_force(spark, tmp_path):
     rows = {r["doc_id"]: r["text"] for r in docs.collect()}
     n = len(rows)
 
-    lexicon = lexicon_of(docs, labels, 3, 1, 4000)
+    lexicon = lexicon_of(docs, labels, 3, 1, 2000)
     automaton = lexicon.automaton()
     rows = {i: t for i, t in rows.items() if lexicon.score(lexicon.density(fold_text(t or ""), automaton)) < 0.7}
     steps = [rows]
