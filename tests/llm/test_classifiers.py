@@ -48,7 +48,7 @@ def test_learning_prefers_shared_terms_and_finds_exceptions():
     letters = "abcdefghijklmnopqrstuvwxyz"
     other = lambda k: letters[k % 26] + letters[k // 26] + "q"
     bad = [(f"some filler{k} words here {other(k)} nasty{'abcdefgh'[k % 8]}x {other(k + 1)} end", 1) for k in range(60)]
-    bad += [(f"copied words of one kopjotext {other(k)}", 1) for k in range(12)]
+    bad += [(f"copied kopjotext words of one {other(k)}", 1) for k in range(12)]
     good = [(f"some filler{k} words here and good end", 0) for k in range(160)] + [(f"the nasty{'abcdefgh'[k % 8]}x weather", 0) for k in range(2)]
     lexicon = learn(bad + good)
     assert any(t.startswith("^nasty") for t in lexicon.weights) and not any("fiiie" in t or "words" in t or "kopjo" in t for t in lexicon.weights)
