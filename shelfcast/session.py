@@ -72,7 +72,18 @@ def materialize(df, name: str = "stage"):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*frames) -> None:
+    """Delete the files of frames that `materialize` wrote and nothing reads any more."""
+    for frame in frames:
+        if path := getattr(frame, "_scratch", None):
+            sc = frame.sparkSession.sparkContext
+            folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def ship_package(spark: SparkSession) -> None:
