@@ -7,13 +7,15 @@ about `CHUNK` bytes, which bounds the temporary arrays; one longer text is a run
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 #: A fixed 64-bit value for every byte.
@@ -86,6 +88,21 @@ def runs(column: pa.Array, limit: int = CHUNK, rows: int = 1 << 30) -> Iterator[
         row = end
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of some rows, which bounds what is held and handed on at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+    release()
+
+
+def release() -> None:
+    """Give memory that is free in this worker back: it stays alive, idle, while Spark sorts and joins."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_array(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
