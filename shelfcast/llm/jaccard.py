@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.llm.components import connected, contracted
+from shelfcast.llm.labels import most_frequent
 from shelfcast.llm.textbytes import list_column, release, shingle_sets, slices, text_array
 from shelfcast.session import discard, materialize, ship_package
 
@@ -48,7 +49,7 @@ class Similarity:
 
 
 def _common_tokens(docs: DataFrame, words: int, least: int, most: int) -> np.ndarray:
-    """The `most` tokens of the largest counts, of those that stand in `least` texts of a batch.
+    """The tokens of the largest counts, `most` at most, of those that stand in `least` texts of a batch.
 
     Only the order of tokens depends on it, never a result: any order is right, and this one
     puts tokens that many documents share last.
@@ -66,7 +67,7 @@ def _common_tokens(docs: DataFrame, words: int, least: int, most: int) -> np.nda
         release()
 
     found = docs.select("text").mapInArrow(local, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    rows = found.orderBy(F.desc("n"), "token").limit(most).select("token").collect()  # at most `most`
+    rows = most_frequent(found, most).select("token").collect()  # at most `most`
     return np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
 
 

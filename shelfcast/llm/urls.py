@@ -20,6 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.llm.labels import most_frequent
 from shelfcast.llm.textbytes import text_array
 from shelfcast.session import ship_package
 
@@ -49,7 +50,7 @@ def rule_of(host: Column, path: Column, rules: tuple[tuple[str, str], ...]) -> t
 
 
 def word_counts(pages: DataFrame, most: int) -> dict[str, int]:
-    """The `most` words of the largest counts over the text of all pages, a-z only."""
+    """The words (a-z only) of the largest counts over the text of all pages, `most` at most."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -60,7 +61,7 @@ def word_counts(pages: DataFrame, most: int) -> dict[str, int]:
                 yield pa.RecordBatch.from_arrays([words.field("values").cast(pa.string()), words.field("counts")], names=["word", "n"])
 
     found = pages.select("html").mapInArrow(count, "word string, n long").where(f"length(word) between 2 and {LONGEST}")
-    rows = found.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most).collect()  # at most `most`
+    rows = most_frequent(found.groupBy("word").agg(F.sum("n").alias("n")), most).collect()  # at most `most`
     return {r["word"]: r["n"] for r in rows}
 
 

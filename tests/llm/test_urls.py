@@ -3,6 +3,7 @@ from math import log
 
 import pytest
 
+from shelfcast.llm.labels import most_frequent
 from shelfcast.llm.urls import RULES, Segmenter, judge
 
 URLS = [
@@ -58,3 +59,9 @@ def test_segmentation_against_every_split(name):
         splits.append([name[a:b] for a, b in itertools.pairwise(at) if a < b])
     best = max(sum(map(cost, x)) for x in splits)
     assert abs(sum(map(cost, s.split(name))) - best) < 1e-9 and "".join(s.split(name)) == name and log(5 / 19) == s.logs["cheap"]
+
+
+def test_most_frequent_values_within_a_bound(spark):
+    rows = [(f"a{k}", n) for n, many in ((1, 50), (2, 20), (7, 5), (100, 3)) for k in range(many)]
+    frame = spark.createDataFrame(rows, "word string, n long")
+    assert [most_frequent(frame, m).count() for m in (100, 78, 77, 28, 27, 8, 3, 2)] == [78, 78, 28, 28, 8, 8, 3, 0]
