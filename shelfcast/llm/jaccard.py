@@ -78,30 +78,28 @@ def _is_in(values: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, like: Similarity, common) -> DataFrame:
-    """doc_id, n, core (tokens that are frequent), set_id (digest of the set), keys, and the leading tokens in the common order."""
+    """doc_id, n, core (tokens that are frequent), set_id (digest of the set) and keys."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            n, core, digests, keys, leading = [], [], [], [], []
+            n, core, digests, keys = [], [], [], []
             for tokens in shingle_sets(text_array(batch, "text"), like.words):
                 n.append(len(tokens))
                 digests.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).hexdigest())
                 keys.append([(tokens * np.uint64(m)).min() for m in KEYS] if len(tokens) else [])
-                often = _is_in(tokens, common.value)
-                core.append(int(often.sum()))
-                leading.append(np.concatenate([tokens[~often], tokens[often]])[: like.probe(len(tokens))] if len(tokens) else tokens)
+                core.append(int(_is_in(tokens, common.value).sum()))
             yield pa.RecordBatch.from_arrays(
-                [text_array(batch, "doc_id"), pa.array(n, pa.int64()), pa.array(core, pa.int64()), pa.array(digests, pa.string()), list_column([np.array(k, np.uint64) for k in keys]), list_column(leading)],
-                names=["doc_id", "n", "core", "set_id", "keys", "leading"],
+                [text_array(batch, "doc_id"), pa.array(n, pa.int64()), pa.array(core, pa.int64()), pa.array(digests, pa.string()), list_column([np.array(k, np.uint64) for k in keys])],
+                names=["doc_id", "n", "core", "set_id", "keys"],
             )
 
-    return docs.mapInArrow(build, "doc_id long, n long, core long, set_id string, keys array<long>, leading array<long>")
+    return docs.mapInArrow(build, "doc_id long, n long, core long, set_id string, keys array<long>")
 
 
-def _tokens(docs: DataFrame, wanted: DataFrame, words: int, bits: int = 24) -> DataFrame:
-    """rep, n and all tokens of the documents whose ids are in `wanted` (one column).
+def _sets_of(docs: DataFrame, wanted: DataFrame, words: int, bits: int, part) -> DataFrame:
+    """rep, n and `part` of the tokens of the documents whose ids are in `wanted` (one column), and of some others.
 
-    A bitmap of fixed size keeps most others from being hashed; the join leaves the exact ids.
+    A bitmap of fixed size keeps most others from being hashed; the caller joins the exact ids.
     """
     word = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - bits)
     flags = np.zeros(1 << (bits - 5), np.uint32)
@@ -115,12 +113,28 @@ def _tokens(docs: DataFrame, wanted: DataFrame, words: int, bits: int = 24) -> D
         for batch in slices(batches):
             batch = batch.filter(pa.array(seen[text_array(batch, "place").to_numpy()]))
             sets = list(shingle_sets(text_array(batch, "text"), words))
-            yield pa.RecordBatch.from_arrays([text_array(batch, "doc_id"), pa.array([len(s) for s in sets], pa.int64()), list_column(sets)], names=["rep", "n", "tokens"])
+            yield pa.RecordBatch.from_arrays([text_array(batch, "doc_id"), pa.array([len(s) for s in sets], pa.int64()), list_column([part(s) for s in sets])], names=["rep", "n", "tokens"])
 
     found = docs.select("doc_id", word.alias("place"), "text").mapInArrow(build, "rep long, n long, tokens array<long>")
     return found.where("n > 0")
 
 
+def _tokens(docs: DataFrame, wanted: DataFrame, words: int, bits: int = 24) -> DataFrame:
+    """rep, n and all tokens of the documents whose ids are in `wanted` (one column), and of some others."""
+    return _sets_of(docs, wanted, words, bits, lambda tokens: tokens)
+
+
+def _leading(docs: DataFrame, reps: DataFrame, like: Similarity, common, bits: int = 24) -> DataFrame:
+    """(rep, token) for the leading tokens, in the common order, of the sets of `reps` (one column, rep)."""
+
+    def leading(tokens: np.ndarray) -> np.ndarray:
+        often = _is_in(tokens, common.value)
+        return np.concatenate([tokens[~often], tokens[often]])[: like.probe(len(tokens))]
+
+    found = _sets_of(docs, reps, like.words, bits, leading).join(reps, "rep", "left_semi")
+    return found.select("rep", F.explode("tokens").alias("token"))
+
+
 def _overlap(a: str, b: str):
     return F.size(F.array_intersect(a, b)).cast("long")
 
@@ -255,10 +269,10 @@ def _compare(pairs: DataFrame, blobs: DataFrame, like: Similarity, partners: int
     return left.groupBy("big", "part").cogroup(right.groupBy("big", "part")).applyInArrow(compare, "a long, b long")
 
 
-def _open_groups(docs: DataFrame, sets: DataFrame, kin: DataFrame, labels: DataFrame, like: Similarity, group_tokens: int) -> DataFrame:
+def _open_groups(docs: DataFrame, sets: DataFrame, kin: DataFrame, labels: DataFrame, like: Similarity, common, group_tokens: int) -> DataFrame:
     """Links (stored) that connect whatever links between sets of different `labels` (node, label) connect."""
     alike = Window.partitionBy("token")
-    rows = sets.select("rep", F.explode("leading").alias("token"))
+    rows = _leading(docs, sets.select("rep"), like, common)
     rows = rows.select("*", F.min("rep").over(alike).alias("low"), F.max("rep").over(alike).alias("high")).where("low <> high").drop("low", "high")
     grouped = materialize(_grouped(sets, kin, labels, group_tokens), "groups")
     stats = materialize(grouped.groupBy("gid").agg(F.min("n").cast("int").alias("low"), F.max("n").cast("int").alias("high"), F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("size"), F.min("label").alias("first"), F.max("label").alias("last")), "stats")
@@ -317,7 +331,7 @@ def jaccard_components(docs: DataFrame, like: Similarity = Similarity(), common:
     often = spark.sparkContext.broadcast(_common_tokens(known, like.words, common_least, common))
     rows = materialize(_sets(docs, like, often), "sets")
     named = rows.where("n > 0 and doc_id is not null")
-    sets = materialize(named.groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("core").alias("core"), F.first("keys").alias("keys"), F.first("leading").alias("leading")), "distinct_sets")
+    sets = materialize(named.groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("core").alias("core"), F.first("keys").alias("keys")), "distinct_sets")
 
     member = rows.select("doc_id", "n", "set_id").join(sets.select("set_id", "rep"), "set_id", "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"))
     member = materialize(member, "members")
@@ -334,7 +348,7 @@ def jaccard_components(docs: DataFrame, like: Similarity = Similarity(), common:
     # groups need no whole components, only sets that surely are of one
     labels = materialize(contracted(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))).groupBy("a").agg(F.min("b").alias("b")), "labels")
     nodes = labels.select(F.col("a").alias("node"), F.col("b").alias("label")).union(labels.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct().join(labels.select(F.col("a").alias("node")), "node", "left_anti"))
-    more = _open_groups(docs, sets, kin, nodes, like, group_tokens)
+    more = _open_groups(docs, sets, kin, nodes, like, often, group_tokens)
     discard(sets, kin)
     final = connected(links.union(labels).union(more))
     out = member.join(final.withColumnRenamed("node", "rep"), "rep", "left")
