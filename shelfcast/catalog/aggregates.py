@@ -18,7 +18,7 @@ XSUM = "CAST(SUM(CAST({x} AS DECIMAL(38,6))) AS DOUBLE)"
 
 
 def daily(spark, sf):
-    return fx.sales_panel(spark, sf).groupBy("date").agg(exact_sum("sales").alias("total"))
+    return fx.sales_daily(spark, sf)
 
 
 def _stats_sql(x, digits=6):
@@ -114,17 +114,17 @@ SELECT s.*, round(SUM(CASE WHEN rank <= 5 THEN total END) OVER () / SUM(total) O
 
 @register("concentration_store", _conc_sql("store_nbr", "sales"), ids="A-06, W-13")
 def concentration_store(spark, sf):
-    return agg.concentration(fx.sales_panel(spark, sf), "store_nbr", "sales")
+    return agg.concentration(fx.sales_raw(spark, sf), "store_nbr", "sales")
 
 
 @register("concentration_family", _conc_sql("family", "sales"), ids="A-06, W-13")
 def concentration_family(spark, sf):
-    return agg.concentration(fx.sales_panel(spark, sf), "family", "sales")
+    return agg.concentration(fx.sales_raw(spark, sf), "family", "sales")
 
 
 @register("concentration_promo", _conc_sql("store_nbr", "onpromotion"), ids="A-06")
 def concentration_promo(spark, sf):
-    return agg.concentration(fx.sales_panel(spark, sf), "store_nbr", "onpromotion")
+    return agg.concentration(fx.sales_raw(spark, sf), "store_nbr", "onpromotion")
 
 
 STORE_METRICS_SQL = f"""
@@ -567,7 +567,7 @@ c AS (SELECT family, row_number() OVER (ORDER BY total DESC, family) AS rank,
   SUM(total) OVER (ORDER BY total DESC, family ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / SUM(total) OVER () AS cum FROM t)
 SELECT MIN(rank) AS n_families_80 FROM c WHERE cum >= 0.8"""), ids="A-29")
 def pareto80(spark, sf):
-    t = fx.sales_panel(spark, sf).groupBy("family").agg(F.sum("sales").alias("total"))
+    t = fx.sales_raw(spark, sf).groupBy("family").agg(F.sum("sales").alias("total"))
     s = agg.shares(t, "family", "total", digits=15)
     return s.where(F.col("cum_share") >= 0.8).agg(F.min("rank").alias("n_families_80"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfcast.functions.calendar import in_periods
-from shelfcast.functions.numeric import exact_avg, exact_sum
+from shelfcast.functions.numeric import exact_avg
 from shelfcast.catalog.sqlparts import exact_mean_sql
 from shelfcast.operators.panel import complete_panel, interpolate_linear
 from shelfcast.plans import holidays as hol
@@ -72,7 +72,7 @@ SELECT date, CASE WHEN date BETWEEN DATE '{SHOCK_PERIODS[0][0]}' AND DATE '{SHOC
   AS is_earthquake_period, CAST(SUM(CAST(sales AS DECIMAL(38,6))) AS DOUBLE) AS sales
 FROM sales_panel GROUP BY date"""), ids="P-10")
 def shock_period_flag(spark, sf):
-    d = fx.sales_panel(spark, sf).groupBy("date").agg(exact_sum("sales").alias("sales"))
+    d = fx.sales_daily(spark, sf).withColumnRenamed("total", "sales")
     return d.withColumn("is_earthquake_period", in_periods("date", SHOCK_PERIODS))
 
 
@@ -135,7 +135,7 @@ FROM d LEFT JOIN per ON per.date = d.date"""
 
 
 def analysis_table(spark, sf):
-    daily = fx.sales_panel(spark, sf).groupBy("date").agg(exact_sum("sales").alias("sales"))
+    daily = fx.sales_daily(spark, sf).withColumnRenamed("total", "sales")
     g = complete_panel(fx.oil(spark, sf), PanelSpec(keys=(), target="dcoilwtico"), flag_col=None)
     oi = interpolate_linear(g, "dcoilwtico").select("date", F.round("dcoilwtico", 6).alias("dcoilwtico"))
     t = hol.holiday_analysis(daily, oi, fx.holidays_events(spark))

@@ -35,7 +35,7 @@ SELECT month(date) AS month, """ + ", ".join(
     exact_mean_sql(f"CASE WHEN isodow(date) - 1 = {d} THEN total END", None, 6, 4) + f" AS d{d}" for d in range(7))
     + f" FROM {DAILY} GROUP BY 1"), ids="R-02")
 def pivot_month_dow(spark, sf):
-    d = fx.sales_panel(spark, sf).groupBy("date").agg(exact_sum("sales").alias("total"))
+    d = fx.sales_daily(spark, sf)
     g = d.withColumn("dow", F.weekday("date")).groupBy(F.month("date").alias("month")).pivot(
         "dow", list(range(7))).agg(exact_avg("total", 4))
     return g.select("month", *[F.col(str(i)).alias(f"d{i}") for i in range(7)])
@@ -45,14 +45,14 @@ def pivot_month_dow(spark, sf):
 SELECT month(date) AS month, year(date) AS year, {XSUM.format(x='total')} AS total FROM {DAILY} GROUP BY 1, 2"""), ids="R-03")
 def pivot_month_year(spark, sf):
     """Month by year in long form: as many years as the data has."""
-    d = fx.sales_panel(spark, sf).groupBy("date").agg(exact_sum("sales").alias("total"))
+    d = fx.sales_daily(spark, sf)
     return d.groupBy(F.month("date").alias("month"), F.year("date").alias("year")).agg(exact_sum("total").alias("total"))
 
 
 @register("year_week", with_views(f"""
 SELECT year(date) AS year, week(date) AS week, {exact_mean_sql('total', None, 6, 4)} AS mean_sales FROM {DAILY} GROUP BY 1, 2"""), ids="R-04")
 def year_week(spark, sf):
-    d = fx.sales_panel(spark, sf).groupBy("date").agg(exact_sum("sales").alias("total"))
+    d = fx.sales_daily(spark, sf)
     return d.groupBy(F.year("date").alias("year"), F.weekofyear("date").alias("week")).agg(
         exact_avg("total", 4).alias("mean_sales"))
 
@@ -64,7 +64,7 @@ t AS (SELECT p.family, s.type, {XSUM.format(x='p.sales')} AS total FROM sales_pa
 SELECT family, type, total, round(100.0 * total / SUM(total) OVER (PARTITION BY type), 6) AS pct_of_type FROM t"""), ids="R-05, J-06")
 def family_type_mix(spark, sf):
     from pyspark.sql import Window
-    p = fx.sales_panel(spark, sf)
+    p = fx.sales_raw(spark, sf)
     top = p.groupBy("family").agg(F.sum("sales").alias("t")).orderBy(F.col("t").desc(), "family").limit(10).select("family")
     j = p.join(top, "family", "left_semi").join(fx.stores(spark, sf).select("store_nbr", "type"), "store_nbr")
     t = j.groupBy("family", "type").agg(exact_sum("sales").alias("total"))
@@ -77,7 +77,7 @@ SELECT date, CASE WHEN family IN (SELECT family FROM top) THEN family ELSE 'Othe
 FROM sales_panel GROUP BY 1, 2"""), ids="R-06")
 def top8_other(spark, sf):
     p = fx.sales_panel(spark, sf)
-    top = p.groupBy("family").agg(F.sum("sales").alias("t")).orderBy(F.col("t").desc(), "family").limit(8).select(
+    top = fx.sales_raw(spark, sf).groupBy("family").agg(F.sum("sales").alias("t")).orderBy(F.col("t").desc(), "family").limit(8).select(
         F.col("family").alias("_top"))
     j = p.join(top, p.family == top._top, "left")  # top has at most 8 rows
     b = F.when(F.col("_top").isNotNull(), F.col("family")).otherwise(F.lit("Other"))
@@ -100,7 +100,7 @@ WITH t AS (SELECT store_nbr, {XSUM.format(x='sales')} AS total FROM sales_panel
 SELECT * FROM (SELECT 'top' AS side, store_nbr, total FROM t ORDER BY total DESC, store_nbr LIMIT 10)
 UNION ALL SELECT * FROM (SELECT 'bottom', store_nbr, total FROM t ORDER BY total ASC, store_nbr LIMIT 10)"""), ids="T-02")
 def top_bottom_stores(spark, sf):
-    t = fx.sales_panel(spark, sf).groupBy("store_nbr").agg(exact_sum("sales").alias("total"))
+    t = fx.sales_raw(spark, sf).groupBy("store_nbr").agg(exact_sum("sales").alias("total"))
     top = t.orderBy(F.col("total").desc(), "store_nbr").limit(10).select(F.lit("top").alias("side"), "store_nbr", "total")
     bot = t.orderBy(F.col("total").asc(), "store_nbr").limit(10).select(F.lit("bottom").alias("side"), "store_nbr", "total")
     return top.unionByName(bot)

@@ -55,7 +55,7 @@ SELECT dayname(date) AS day_name, isodow(date) - 1 AS day_of_week, COUNT(*) AS n
        {exact_mean_sql('total', None, 6, 6)} AS mean_sales
 FROM (SELECT date, CAST(SUM(CAST(sales AS DECIMAL(38,6))) AS DOUBLE) AS total FROM sales_panel GROUP BY date) GROUP BY 1, 2"""), ids="P-05, A-04")
 def dow_name(spark, sf):
-    daily = fx.sales_panel(spark, sf).groupBy("date").agg(exact_sum("sales").alias("total"))
+    daily = fx.sales_daily(spark, sf)
     return daily.groupBy(day_name("date").alias("day_name"), F.weekday("date").alias("day_of_week")).agg(
         F.count(F.lit(1)).alias("n_days"), exact_avg("total", 6).alias("mean_sales"))
 

@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfcast.functions.numeric import exact_sum
 from shelfcast.operators.panel import complete_panel
 from shelfcast.sources.tables import table
-from shelfcast.spec import DEFAULT_PANEL
+from shelfcast.spec import DEFAULT_PANEL, PanelSpec
 
 
 def _day(c: str) -> Column:
@@ -53,6 +54,12 @@ def sales_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sales_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(date, total): the panel's sales by day. Days without sales come from a date spine, not from a series x day grid."""
+    totals = sales_raw(spark, sf_dir).groupBy("date").agg(exact_sum("sales").alias("total"))
+    return complete_panel(totals, PanelSpec(keys=(), target="total"), fill={"total": 0.0}, flag_col=None)
+
+
 def sales_gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`sales_panel` without 25 December: row lags and calendar lags differ on it."""
     p = sales_panel(spark, sf_dir)
