@@ -14,12 +14,11 @@ def contracted(edges: DataFrame) -> DataFrame:
     First the larger neighbours of each node (large star), then the smaller ones (small star);
     both keep the components and shorten all paths to the smallest node.
     """
-    both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = edges.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
     large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
     least = large.groupBy("a").agg(F.min("b").alias("least"))
-    small = large.join(least, "a")
-    small = small.select("a", F.col("least").alias("b")).union(small.where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b")))
+    small = large.join(least, "a").select(F.inline(F.array(F.struct("a", F.col("least").alias("b")), F.struct(F.col("b").alias("a"), F.col("least").alias("b")))))
     return small.where("a <> b").distinct()
 
 
@@ -31,7 +30,7 @@ def connected(links: DataFrame) -> DataFrame:
     """
     edges = materialize(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "edges")
     while True:
-        ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("bears")).union(edges.select(F.col("b"), F.lit(0), F.lit(1)))
+        ends = edges.select(F.inline(F.array(*(F.struct(F.col(c).alias("node"), F.lit(hangs).alias("hangs"), F.lit(1 - hangs).alias("bears")) for c, hangs in (("a", 1), ("b", 0))))))
         state = ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("bears").alias("bears"))
         if not state.where("hangs + bears > 1").limit(1).count():
             break

@@ -104,8 +104,8 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, words: int, bits: int, part) ->
     word = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - bits)
     flags = np.zeros(1 << (bits - 5), np.uint32)
     parts = wanted.select(F.col(wanted.columns[0]).alias("doc_id")).select(F.shiftright(word, 5).alias("word"), (word % 32).cast("int").alias("bit")).groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("flags"))
-    for row in parts.toLocalIterator():  # at most 2**(bits - 5) rows
-        flags[row["word"]] = row["flags"]
+    found = parts.toArrow()  # at most 2**(bits - 5) rows of 16 bytes
+    flags[found["word"].to_numpy()] = found["flags"].to_numpy()
     shared = docs.sparkSession.sparkContext.broadcast(flags)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -347,7 +347,8 @@ def jaccard_components(docs: DataFrame, like: Similarity = Similarity(), common:
     discard(tokens, stars)
     # groups need no whole components, only sets that surely are of one
     labels = materialize(contracted(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))).groupBy("a").agg(F.min("b").alias("b")), "labels")
-    nodes = labels.select(F.col("a").alias("node"), F.col("b").alias("label")).union(labels.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct().join(labels.select(F.col("a").alias("node")), "node", "left_anti"))
+    own = F.inline(F.array(*(F.struct(F.col(c).alias("node"), F.col("b").alias("label")) for c in ("a", "b"))))
+    nodes = labels.select(own).groupBy("node").agg(F.min("label").alias("label"))
     more = _open_groups(docs, sets, kin, nodes, like, often, group_tokens)
     discard(sets, kin)
     final = connected(links.union(labels).union(more))
