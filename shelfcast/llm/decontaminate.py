@@ -121,8 +121,8 @@ def _bitmap(prints: DataFrame, bits: int) -> np.ndarray:
     top = F.shiftrightunsigned("hash", 64 - bits)
     words = prints.select((F.shiftright(top, 5)).alias("word"), (top % 32).cast("int").alias("bit")).groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("flags"))
     flags = np.zeros(1 << (bits - 5), np.uint32)
-    for row in words.toLocalIterator():  # at most 2**(bits - 5) rows
-        flags[row["word"]] = row["flags"]
+    found = words.toArrow()  # at most 2**(bits - 5) rows of 16 bytes
+    flags[found["word"].to_numpy()] = found["flags"].to_numpy()
     return flags
 
 
