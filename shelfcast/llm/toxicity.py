@@ -6,7 +6,8 @@ words or word beginnings. They are learned from labelled documents: terms that a
 frequent in toxic ones, chosen greedily until the toxic documents are covered several times,
 weighted by their log odds. Phrases around a term that only clean documents have are
 exceptions. The weights of a document's terms, divided by its length, go through a logistic
-curve fitted on the same sample.
+curve fitted on the same sample. Near copies of a text are one document in all these counts:
+a text that was copied a thousand times says as much about its words as one.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.labels import fold, labelled_sample
-from shelfcast.llm.textbytes import text_array
+from shelfcast.llm.textbytes import shingle_sets, text_array
 from shelfcast.session import materialize, ship_package
 
 #: Letters of other scripts that look like Latin ones.
@@ -107,48 +108,64 @@ def _terms(words: set[str], shortest: int, longest: int) -> set[str]:
     return out
 
 
+def families(texts: list[str], most: int = 256) -> list[list[int]]:
+    """Places of the texts by family: a text and the others that share over half of its three-word runs.
+
+    Similarity is Jaccard's, exact for texts of up to `most` runs, else of the `most` smallest
+    hashes of each. A text without words is a family of its own.
+    """
+    sketches = [runs[:most] for runs in shingle_sets(pa.array(texts, pa.large_string()), 3)]
+    sizes = np.array([len(s) for s in sketches], np.int64)
+    values, owner = np.concatenate([np.zeros(0, np.uint64), *sketches]), np.repeat(np.arange(len(texts)), sizes)
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    out, left = [], np.ones(len(texts), bool)
+    for i, own in enumerate(sketches):
+        if left[i]:
+            low, high = np.searchsorted(values, own, "left"), np.searchsorted(values, own, "right")
+            size = high - low
+            shared = np.bincount(owner[np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(low, size)], minlength=len(texts))
+            near = left & (3 * shared > sizes + len(own))
+            near[i] = True
+            left &= ~near
+            out.append(np.flatnonzero(near).tolist())
+    return out
+
+
 def learn(rows: list[tuple[str, int]], exceptions: tuple[tuple[str, str], ...] = (), most: int = 256, times: int = 8, shortest: int = 4, longest: int = 7) -> Lexicon:
     """The lexicon of a sample of (text, label). Without documents of both classes it is empty."""
     folded = [(fold_text(t), y) for t, y in rows]
-    toxic, clean = [i for i, r in enumerate(folded) if r[1]], [i for i, r in enumerate(folded) if not r[1]]
+    # near copies are one document: a family of places in `folded`
+    toxic, clean = ([[at[k] for k in f] for f in families([folded[i][0] for i in at])] for at in ([i for i, r in enumerate(folded) if bool(r[1]) == y] for y in (True, False)))
     lexicon = Lexicon({}, {tuple(fold_text(w) for w in e) for e in exceptions}, offset=-2.0)
     if not toxic or not clean:
         return lexicon
     least = max(3, len(toxic) // 200)
-    terms_of = lambda i: _terms(set(WORD.findall(folded[i][0])), shortest, longest)
+    terms_of = lambda family: set().union(*(_terms(set(WORD.findall(folded[i][0])), shortest, longest) for i in family))
     # counts by hash first (too large at most): rare terms, nearly all, are never held
     cells = np.zeros(1 << 22, np.uint32)
-    for i in toxic:
-        cells[np.unique([crc32(t.encode()) & (1 << 22) - 1 for t in terms_of(i)]).astype(np.int64)] += 1
+    for family in toxic:
+        cells[np.unique([crc32(t.encode()) & (1 << 22) - 1 for t in terms_of(family)]).astype(np.int64)] += 1
     in_toxic: dict[str, list[int]] = {}
-    for i in toxic:
-        for term in terms_of(i):
+    for k, family in enumerate(toxic):
+        for term in terms_of(family):
             if cells[crc32(term.encode()) & (1 << 22) - 1] >= least:
-                in_toxic.setdefault(term, []).append(i)
+                in_toxic.setdefault(term, []).append(k)
     in_toxic = {t: at for t, at in in_toxic.items() if len(at) >= least}
     in_clean = dict.fromkeys(in_toxic, 0)
-    for i in clean:
-        for term in terms_of(i) & in_clean.keys():
+    for family in clean:
+        for term in terms_of(family) & in_clean.keys():
             in_clean[term] += 1
     odds = {t: log((len(at) + 0.5) / (len(toxic) + 1)) - log((in_clean[t] + 0.5) / (len(clean) + 1)) for t, at in in_toxic.items()}
     odds = {t: w for t, w in odds.items() if w >= 3.5}
-    # a word of copied passages has the same neighbours again and again; a term of its own has many
-    around: dict[str, set[int]] = {t: set() for t in odds}
-    for i in toxic:
-        words = ["", *WORD.findall(folded[i][0]), ""]
-        for before, word, after in zip(words, words[1:], words[2:], strict=False):
-            for term in _terms({word}, shortest, longest) & odds.keys():
-                around[term].add(crc32(f"{before} {after}".encode()))
-    odds = {t: w for t, w in odds.items() if 2 * len(around[t]) >= len(in_toxic[t])}
     if not odds:
         return lexicon
 
     # greedy cover: always the term that adds most to the documents not yet covered `times` times
     terms = sorted(odds, key=lambda t: (-odds[t] * len(in_toxic[t]), t[-1] != "$", -len(t), t))[: 16 * most]
-    place = {i: k for k, i in enumerate(toxic)}
     stands = np.zeros((len(terms), len(toxic)), np.float32)
     for k, term in enumerate(terms):
-        stands[k, [place[i] for i in in_toxic[term]]] = 1
+        stands[k, in_toxic[term]] = 1
     weight, covered, open_ = np.array([odds[t] for t in terms]), np.zeros(len(toxic)), np.ones(len(terms), bool)
     chosen: list[int] = []
     while open_.any() and len(lexicon.weights) < most:
@@ -168,18 +185,23 @@ def learn(rows: list[tuple[str, int]], exceptions: tuple[tuple[str, str], ...] =
 
     automaton = lexicon.automaton()
     phrases: dict[tuple[str, str], list[int]] = {}
-    for i, (text, y) in enumerate(folded):
-        for at, _ in lexicon.matches(text, automaton):
-            word = WORD.match(text, at)[0]
-            before = re.search(r"([^\W\d_]+)[\s-]+$", text[max(0, at - 60) : at])
-            after = re.match(r"[\s-]+([^\W\d_]+)", text[at + len(word) : at + len(word) + 60])
-            for phrase in {(before[1], word) if before else None, (word, after[1]) if after else None} - {None}:
+    weight = np.zeros(len(folded))
+    for y, side in enumerate((clean, toxic)):
+        for family in side:
+            weight[family] = 0.5 / len(side) / len(family)
+            around = set()
+            for text in (folded[i][0] for i in family):
+                for at, _ in lexicon.matches(text, automaton):
+                    word = WORD.match(text, at)[0]
+                    before = re.search(r"([^\W\d_]+)[\s-]+$", text[max(0, at - 60) : at])
+                    after = re.match(r"[\s-]+([^\W\d_]+)", text[at + len(word) : at + len(word) + 60])
+                    around |= {(before[1], word) if before else None, (word, after[1]) if after else None} - {None}
+            for phrase in around:
                 phrases.setdefault(phrase, [0, 0])[y] += 1
     lexicon.exceptions |= {p for p, (n, bad) in phrases.items() if n >= 3 and not bad}
 
     x = np.array([log1p(lexicon.density(t, automaton)) for t, _ in folded])
     y = np.array([label for _, label in folded], float)
-    weight = np.where(y == 1, 0.5 / len(toxic), 0.5 / len(clean))
     slope, offset = 1.0, -2.0
     for _ in range(50):  # Newton's method for the logistic curve, with a small ridge
         p = 1 / (1 + np.exp(-(slope * x + offset)))
@@ -205,8 +227,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1,
     """doc_id, score (0 to 1) and density for every row of `docs` (doc_id, text).
 
     The lexicon is learned from up to `per_class` documents of either class of `labels`
-    (doc_id, toxic), without those whose crc32(doc_id) modulo `folds` is `held`; every whole
-    text is scored. Null and empty texts have density 0. Without labels of both classes all
+    (doc_id, toxic), without those whose crc32(doc_id) modulo `folds` is `held`, near copies
+    counted once; every whole text is scored. Null and empty texts have density 0. Without labels of both classes all
     scores are the same low value. Rows that repeat are scored each for itself, a null doc_id
     stays null, other columns play no part, an empty table gives no rows.
     """

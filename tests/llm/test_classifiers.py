@@ -9,7 +9,7 @@ from helpers import docs
 
 from shelfcast.llm.language import fit, identify
 from shelfcast.llm.quality import BLOCK, FEATURES, Network, encode_inputs, quality, train
-from shelfcast.llm.toxicity import Lexicon, fold_text, learn, reject_toxic, toxicity
+from shelfcast.llm.toxicity import Lexicon, families, fold_text, learn, reject_toxic, toxicity
 
 DATA = "/root/testdata/sf0.01"
 ODD = [(1, None), (2, ""), (3, " \n\n "), (None, "plain words"), (4, "repeated row"), (4, "repeated row"), (5, "a very long text " * 50000), (6, "12 %% 34"), (7, "漢字 и é")]
@@ -57,6 +57,26 @@ def test_learning_prefers_shared_terms_and_finds_exceptions():
     assert learn([("only", 1)]).weights == {} and learn([]).score(0.0) < 0.7
 
 
+def test_copies_and_fixed_phrases_keep_their_terms():
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    other = lambda k: letters[k % 26] + letters[k // 26 % 26] + letters[k // 676] + "q"
+    own = lambda k: " ".join(other(9 * k + j) for j in range(9))
+    good = [(f"some filler{k} words here and good end", 0) for k in range(160)] + [(f"the nasty{'abcdefgh'[k % 8]}x weather", 0) for k in range(2)]
+    bad = [(f"some filler{k} words here badword{k % 2} and nasty{'abcdefgh'[k % 8]}x end", 1) for k in range(60)]
+    lexicon = learn(bad + good)
+    assert any(t.startswith("^nasty") for t in lexicon.weights) and not any("fiiie" in t or "words" in t for t in lexicon.weights)
+
+    copied = "this wretched dwarfoon text stands kopjotext everywhere again and again"
+    bad = [(copied, 1)] * 1000 + [(f"{other(k)} dwarfoon {own(k + 1)}", 1) for k in range(50)]
+    bad += [(f"{own(k + 100)} you utter gonkface you {other(k)}", 1) for k in range(50)]  # always in one phrase
+    clean = [(f"{own(k + 300)} and good end", 0) for k in range(400)]
+    lexicon = learn(bad + clean)
+    a = lexicon.automaton()
+    score = lambda t: lexicon.score(lexicon.density(fold_text(t), a))
+    assert score("a dwarfoon came") >= 0.7 and score("a gonkface came") >= 0.7 and score("kopjotext stands everywhere") == score("nothing at all")
+    assert families(["a b c d", "a b c d", "", "a b c x", "", "x a b c d"]) == [[0, 1, 5], [2], [3], [4]] and families([]) == []
+
+
 def test_toxicity_awkward_rows(spark, tables):
     rows = toxicity(docs(spark, ODD), tables[1]).collect()
     assert len(rows) == len(ODD) and all(0 <= r["score"] <= 1 for r in rows)
