@@ -155,14 +155,22 @@ def _ceil_div(a: str, b: int) -> str:
     return f"(({a}) + {b - 1}L) div {b}L"
 
 
-def _can_link(like: Similarity, large: str, small: str, met: str) -> str:
-    """SQL: sets of these sizes, `met` of whose leading tokens are the same, may link.
-
-    In the common order one of the two leading parts ends first; its tokens that aren't in
-    the other part aren't in the other set. Such a part is of n - ceil(num * n / den) + 1 tokens.
+def _can_link(like: Similarity, least: str, large: str, low: str, met: str) -> str:
+    """SQL: sets may link of which the larger has `least` to `large` tokens and the smaller `low` at least.
+
+    `met` of their leading tokens are the same. In the common order one of the two leading
+    parts ends first; its tokens that aren't in the other part aren't in the other set. Such
+    a part is of n - ceil(num * n / den) + 1 tokens. For a larger set of n tokens the bound is
+    sharpest at the smallest partner, max(low, ceil(num * n / den)). Both of its terms are
+    rounded up, so that it isn't monotone in n; without rounding it falls by
+    num**2 / (den * (den + num)) for every token less, and rounding makes up for less than one.
     """
-    need = _ceil_div(f"{like.num}L * ({large} + {small})", like.den + like.num)
-    return f"{met} + {_ceil_div(f'{like.num}L * {large}', like.den)} - 1 >= {need}"
+    bounds = []
+    for step in range(like.den * (like.den + like.num) // like.num**2 + 1):
+        n = f"greatest({large} - {step}L, {least})"
+        part = _ceil_div(f"{like.num}L * {n}", like.den)
+        bounds.append(f"{part} - ({_ceil_div(f'{like.num}L * ({n} + greatest({low}, {part}))', like.den + like.num)})")
+    return f"{met} - 1 + {f'greatest({", ".join(bounds)})' if len(bounds) > 1 else bounds[0]} >= 0"
 
 
 def _kin(sets: DataFrame) -> DataFrame:
@@ -286,9 +294,8 @@ def _open_groups(docs: DataFrame, sets: DataFrame, kin: DataFrame, labels: DataF
     sides = [F.first(c).alias(c) for c in ("low_x", "high_x", "low_y", "high_y")]
     across = x.join(y, "token").where("x < y").where(fits).groupBy("x", "y").agg(F.count(F.lit(1)).alias("met"), *sides)
     within = matrix.where("several").select(*(F.col(c).alias(f"{c}_{side}" if c != "gid" else side) for c in ("gid", "low", "high") for side in ("x", "y"))).groupBy("x", "y").agg(F.count(F.lit(1)).alias("met"), *sides)
-    met = across.union(within).withColumn("large", F.greatest("high_x", "high_y"))
-    met = met.withColumn("small", F.greatest(F.least("low_x", "low_y").cast("long"), F.expr(_ceil_div(f"{like.num}L * large", like.den))))
-    met = met.where(_can_link(like, "large", "small", "met")).select("x", "y")
+    met = across.union(within).withColumns({"least": F.greatest("low_x", "low_y"), "large": F.greatest("high_x", "high_y"), "low": F.least("low_x", "low_y")})
+    met = met.where(_can_link(like, "least", "large", "low", "met")).select("x", "y")
     one = lambda side: stats.select(F.col("gid").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("tokens", "size", "first", "last")))
     met = met.join(one("x"), "x").join(one("y"), "y").where("not (first_x = last_x and first_y = last_y and first_x = first_y)")  # one component already
     x_is_big = F.col("tokens_x") >= F.col("tokens_y")

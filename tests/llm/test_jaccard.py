@@ -1,10 +1,13 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import components, docs, jaccard_components, shingles
 
 from shelfcast.llm import jaccard
 from shelfcast.llm.components import connected
+from shelfcast.llm.textbytes import shingle_sets
 
 
 def cases():
@@ -38,6 +41,38 @@ def test_against_brute_force(spark, like, group_tokens):
     assert sorted(map(str, found)) == sorted(f"Row(doc_id={i}, n_shingles={len(shingles(t, like.words))}, component_id={want.get(i)})" for i, t in rows)
 
 
+@pytest.mark.parametrize("num,den,small", [(85, 100, 35), (8, 10, 33)])
+def test_groups_of_mixed_sizes_at_the_threshold(spark, num, den, small):
+    names = [f"w{k}" for k in range(400)]
+    names = [names[k] for k in np.argsort([next(shingle_sets(pa.array([n]), 1))[0] for n in names])]  # in the order of tokens
+    rows = []
+    for k in range(4):  # sets of 39 and 40 tokens are one group; `small` shares all its tokens but one with the first
+        own, shared = names[k * 100 : k * 100 + 40 - small + 1], names[k * 100 + 50 : k * 100 + 50 + small - 1]
+        a = own[: 39 - len(shared)] + shared
+        rows += [(10 * k, " ".join([*shared, names[k * 100 + 99]])), (10 * k + 1, " ".join(a)), (10 * k + 2, " ".join([own[39 - len(shared)], *a]))]
+    want = jaccard_components(rows, 1, num, den)
+    assert all(want[10 * k + j] == 10 * k for k in range(4) for j in range(3))
+    found = jaccard.jaccard_components(docs(spark, rows), jaccard.Similarity(1, num, den)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == want
+
+
+@pytest.mark.parametrize("num,den", [(85, 100), (8, 10), (1, 2), (9, 10), (2, 3), (1, 1)])
+def test_bound_on_groups_against_every_pair_of_sizes(spark, num, den):
+    up = lambda a, b: -(-a // b)
+    rng, rows = random.Random(3), []
+    for _ in range(300):
+        low_x, low_y = rng.randrange(1, 90), rng.randrange(1, 90)
+        high_x, high_y = low_x + rng.randrange(0, 9), low_y + rng.randrange(0, 9)
+        fits = [(max(a, b), min(a, b)) for a in range(low_x, high_x + 1) for b in range(low_y, high_y + 1) if den * min(a, b) >= num * max(a, b)]
+        if fits:  # common leading tokens that some pair of sizes needs at least
+            need = min(up(num * (n + m), num + den) - up(num * n, den) + 1 for n, m in fits)
+            rows += [(max(low_x, low_y), max(high_x, high_y), min(low_x, low_y), need, True)]
+            if low_x == high_x and low_y == high_y:
+                rows += [(max(low_x, low_y), max(high_x, high_y), min(low_x, low_y), need - 1, False)]
+    found = spark.createDataFrame(rows, "least int, large int, low int, met int, may boolean").selectExpr("may", f"{jaccard._can_link(jaccard.Similarity(4, num, den), 'least', 'large', 'low', 'met')} as found").collect()
+    assert len(found) > 20 and all(r["found"] == r["may"] for r in found)
+
+
 def test_one_of_each_group_stays(spark):
     rows = cases()
     want = jaccard_components(rows, 5, 8, 10)
