@@ -49,6 +49,17 @@ def test_naive_bayes_follows_the_rules_words(spark):
     assert rows[60]["verdict"] == "block" and "p:cheap p:pills" in rows[60]["words"] and rows[61]["verdict"] == "allow"
 
 
+def test_rare_words_of_large_tables_count(spark):
+    letters = "bcdfghjklmnpqrst"
+    others = " ".join("x" + "".join(letters[k >> 4 * j & 15] for j in range(5)) + "x" for k in range(70000))
+    urls = ["http://a.net/zebraquilt/9/zebraquilt", "http://zebraquilt.net/é", "http://a.net/zebraquilt/9/zebraquilt"]
+    frame = spark.createDataFrame([(k, u, f"{others} zebra quilt" if k == 1 else None) for k, u in enumerate(urls)], "page_id long, url string, html string")
+    found = {r["page_id"]: r["words"] for r in judge(frame).collect()}
+    assert found == {0: "h:a h:net p:zebra p:quilt p:#1 p:zebra p:quilt", 1: "h:zebra h:quilt h:net p:é", 2: found[0]}
+    odd = {r["page_id"]: r["words"] for r in judge(pages(spark, ["http://a.net/a b/**/ü²/²", None])).collect()}
+    assert odd[0] == "h:a h:net p:a p:  p:b p:** p:ü² p:#1"
+
+
 @pytest.mark.parametrize("name", ["cheappills", "blogpills", "zzzq", "cheapzpills", "a", ""])
 def test_segmentation_against_every_split(name):
     s = Segmenter({"cheap": 5, "pills": 7, "blog": 3, "ch": 1, "ills": 2})
