@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm.chat import format_chats, held_out
+from shelfcast.llm.collocations import collocations
 from shelfcast.llm.decontaminate import contamination
+from shelfcast.llm.forest import near_duplicates
 from shelfcast.llm.jaccard import Similarity, jaccard_components
 from shelfcast.llm.labels import fold
 from shelfcast.llm.language import fit, identify
@@ -16,6 +18,7 @@ from shelfcast.llm.quality import quality
 from shelfcast.llm.search import search_documents
 from shelfcast.llm.secrets import digest, scan
 from shelfcast.llm.toxicity import toxicity
+from shelfcast.llm.trie import conversation_trie
 from shelfcast.llm.urls import judge
 
 LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -126,5 +129,78 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(docs, tokenizer_json=public_tokenizers.path("byte_bpe_50k.json"), ranks_file=public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_secret_scans, op3_language_id, op4_benchmark_decontamination, op5_url_filters, op6_quality_classifier, op7_toxicity, op8_ngram_jaccard_join, op9_topk_search, op10_packing)}
-ORACLES = {"op4_benchmark_decontamination": OP4_SQL, "op8_ngram_jaccard_join": OP8_SQL, "op9_topk_search": OP9_SQL}
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), Similarity(words=3, num=85, den=100))
+
+
+OP11_SQL = f"select *, doc_id = component_id kept from ({OP8_SQL.replace('least(len(w), 4)', 'least(len(w), 3)').replace('greatest(len(w) - 3, 1)', 'greatest(len(w) - 2, 1)')})"
+
+
+def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+CRC32_SQL = (
+    "xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(cast(conv_id as varchar), ''), lambda x: ord(x)::bigint)), "
+    "lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"
+)
+OP12_SQL = f"""
+with t as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) - 1 pos
+  from conversations where conv_id is not null
+),
+c as (select conv_id, count(*) len, {CRC32_SQL} % 6 h, conv_id - conv_id % 100 base from t group by conv_id),
+r as (
+  select c.conv_id, t.pos + 1 d, role, text from c join t on t.conv_id = c.base and t.pos < c.h
+  union all
+  select c.conv_id, t.pos - c.h + least(c.h, coalesce(b.len, 0)) + 1, role, text from c left join c b on b.conv_id = c.base join t on t.conv_id = c.conv_id and t.pos >= c.h
+),
+p as (
+  select conv_id, d, len(text) chars, sha256(string_agg(sha256(role) || sha256(text), '') over (partition by conv_id order by d)) nm from r
+  union all select conv_id, 0, 0, '' from c
+),
+q as (select p.*, lag(nm) over (partition by conv_id order by d) up, d = max(d) over (partition by conv_id) ends from p),
+n as (
+  select d, nm, any_value(up) up, any_value(chars) chars, min(conv_id) conv_id, count(*) n_convs,
+    sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (ends), '')) ends_sha256
+  from q group by d, nm
+),
+k as (select d - 1 d, up nm, count(*) n_children from n where d > 0 group by all),
+m as (select n.*, coalesce(n_children, 0) n_children, case when d > 0 then (n_convs - 1) * chars else 0 end saved from n left join k using (d, nm)),
+s as (select v.d, v.nm, sum(cast(u.n_children = 0 as int)) n_leaves, sum(u.saved) saved from m u join p v on v.conv_id = u.conv_id and v.d <= u.d group by all)
+select m.conv_id, m.d as depth, above.conv_id parent_conv_id, m.n_convs, cast(m.n_children as bigint) n_children, cast(s.n_leaves as bigint) n_leaves, cast(s.saved as bigint) saved_tokens, m.ends_sha256
+from m join s using (d, nm) left join m above on above.d = m.d - 1 and above.nm = m.up
+"""
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = rf"""
+with t as (select coalesce(lang, 'und') lang, unnest(regexp_extract_all({LOWER_SQL}, '[^.,;:!?\x0A-\x0D]+')) p from documents),
+w as (select lang, regexp_extract_all(p, '[^\x20\x09]+') w from t),
+f as (select lang, m, array_to_string(w[i : i + m - 1], ' ') g, count(*) c from (select lang, w, m, unnest(range(1, len(w) - m + 2)) i from w, (values (1), (2), (3)) s(m)) group by all),
+n as (select lang, sum(c) n from f where m = 1 group by lang),
+c as (select lang, m, g, c a, string_split(g, ' ') w from f where m > 1 and c >= 10),
+x as (
+  select c.lang, c.m, c.g, c.w, a, k, u.c l, v.c r, (1000000::hugeint * a * a) // (u.c::hugeint * v.c) score
+  from (select *, unnest(range(1, m)) k from c) c join f u on u.lang = c.lang and u.g = array_to_string(w[1 : k], ' ') join f v on v.lang = c.lang and v.g = array_to_string(w[k + 1 :], ' ')
+),
+b as (select * from x qualify row_number() over (partition by lang, g order by score, k) = 1),
+o as (select lang, sub, max(a) longer from (select lang, a, array_to_string(w[i : i + 1], ' ') sub from (select *, unnest([1, 2]) i from c where m = 3)) group by all),
+z as (select b.* from b left join o on o.lang = b.lang and o.sub = b.g where coalesce(100 * longer < 50 * a, true)),
+k as (select *, row_number() over (partition by lang order by score desc, a desc, g) as pos from z)
+select k.lang, pos as rank, g phrase, a, l, r, cast(n as bigint) n, cast(score as bigint) score from k join n using (lang) where pos <= 2000
+"""
+
+
+EVERY = (
+    op1_chat_formatting, op2_secret_scans, op3_language_id, op4_benchmark_decontamination, op5_url_filters, op6_quality_classifier, op7_toxicity,
+    op8_ngram_jaccard_join, op9_topk_search, op10_packing, op11_minhash_near_dedup, op12_conversation_prefix_trie, op13_phrase_collocations,
+)
+QUERIES = {f.__name__: f for f in EVERY}
+ORACLES = {
+    "op4_benchmark_decontamination": OP4_SQL, "op8_ngram_jaccard_join": OP8_SQL, "op9_topk_search": OP9_SQL,
+    "op11_minhash_near_dedup": OP11_SQL, "op12_conversation_prefix_trie": OP12_SQL, "op13_phrase_collocations": OP13_SQL,
+}

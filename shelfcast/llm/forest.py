@@ -5,8 +5,8 @@ prefix stand nearer together. Every region of sets with a common prefix is as de
 be: a short prefix does where few sets share it, a longer one where many do, so that a dense
 region costs no more for each set than a sparse one. All pairs of a region of up to `leaf` sets
 are candidates. In a region that is still larger at the full depth, first the neighbours in the
-sorted order are candidates; when their links are known, blocks of its sets that lie in
-different components are compared by their sketches, so nothing is capped.
+sorted order are candidates; when their links are known, its sets are compared in blocks, unless
+two blocks are of one component, so nothing is capped.
 
 Two sets of similarity s share d values of one of T trees with a probability of 1 - (1 - s**d)**T:
 1 - 2e-7 for 0.85 at the deepest (6 of 32), more wherever the region is shallower. Candidates are
@@ -18,16 +18,16 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.components import connected
 from shelfcast.llm.flags import Flags
-from shelfcast.llm.jaccard import Similarity, _links, _tokens
+from shelfcast.llm.jaccard import Similarity, _compare, _links, _side, _tokens
 from shelfcast.llm.textbytes import mix, shingle_sets, slices, text_array
 from shelfcast.session import discard, materialize, ship_package
 
@@ -152,12 +152,12 @@ def _pairs_of_leaves(members: DataFrame, like: Similarity) -> DataFrame:
     return pairs.where(f"x.rep <> y.rep and {_near(like)}").select(F.greatest("x.rep", "y.rep").alias("a"), F.least("x.rep", "y.rep").alias("b"), F.expr(_apart("x", "y")).cast("int").alias("apart"))
 
 
-def _compare(like: Similarity, left: tuple, right: tuple) -> pa.RecordBatch:
-    """Pairs (a, b, apart) that may link, of sets (reps, sizes, sketches) held against others row by row, or all against all."""
+def _facing(like: Similarity, left: tuple, right: tuple) -> pa.RecordBatch:
+    """Pairs (a, b, apart) that may link, of sets (reps, sizes, sketches) held against others row by row."""
     (ra, na, sa), (rb, nb, sb) = left, right
-    apart = np.bitwise_count(sa ^ sb).sum(-1, dtype=np.int32)
+    apart = np.bitwise_count((sa ^ sb).view(np.uint64)).sum(1, dtype=np.int32)
     fit = (apart <= furthest(like)) & (like.den * np.minimum(na, nb) >= like.num * np.maximum(na, nb)) & (ra != rb)
-    a, b = (np.broadcast_to(r, fit.shape)[fit] for r in (ra, rb))
+    a, b = ra[fit], rb[fit]
     return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b)), pa.array(apart[fit])], names=["a", "b", "apart"])
 
 
@@ -181,52 +181,48 @@ def _neighbours(crowd: DataFrame, like: Similarity) -> DataFrame:
             head = first[np.searchsorted(first, np.arange(len(keys)), "right") - 1]
             head_row = tuple(c[head[-1] : head[-1] + 1] for c in here)
             for other in (at - 1, head[at]):
-                yield _compare(like, tuple(c[at] for c in here), tuple(c[other] for c in here))
+                yield _facing(like, tuple(c[at] for c in here), tuple(c[other] for c in here))
             last = (np.repeat(keys[-1:], 2), tuple(np.concatenate([h, c[-1:]]) for h, c in zip(head_row, here, strict=True)))
 
     order = ["key", *SKETCH, "rep"]
     return crowd.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(scan, PAIRS)
 
 
-def _between_components(crowd: DataFrame, labels: DataFrame, like: Similarity, block: int = 256) -> DataFrame:
-    """Pairs (a, b) of different components that may link, of all pairs of every crowded region.
+def _between_components(docs: DataFrame, crowd: DataFrame, labels: DataFrame, like: Similarity, block_tokens: int = 1 << 16) -> DataFrame:
+    """Links (stored) that connect what links of any pair of any crowded region connect.
 
-    A region is sorted by component and cut into blocks; blocks of one and the same component
-    aren't held against each other. Each pair of blocks is a row of its own.
+    A region is sorted by component and cut into blocks of about `block_tokens` shingles. Two
+    blocks are held against each other, set by set, unless both are of one component. Each
+    pair of blocks is a row of its own.
     """
-    known = crowd.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    known = crowd.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("key", F.coalesce("label", "rep").alias("label"), "rep", "n")
     order = ["key", "label", "rep"]
-    fields = ["rep", "n", *SKETCH, "label"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, last = TaskContext.get().partitionId() << 33, 0, None
         for batch in batches:
-            keys = text_array(batch, "key").to_numpy()
-            cuts = np.unique(np.concatenate([np.flatnonzero(keys[1:] != keys[:-1]) + 1, np.arange(0, len(keys), block), [len(keys)]])) if len(keys) else np.zeros(1, np.int64)
-            begin, offsets = cuts[:-1], pa.array(cuts.astype(np.int32))
-            label = text_array(batch, "label").to_numpy()
-            lists = [pa.ListArray.from_arrays(offsets, text_array(batch, c)) for c in fields]
-            yield pa.RecordBatch.from_arrays([pa.array(keys[begin]), pa.array(label[begin]), pa.array(label[cuts[1:] - 1] if len(begin) else label), *lists], names=["key", "low", "high", *fields])
-
-    schema = "key long, low long, high long, " + ", ".join(f"{c} array<long>" for c in fields)
-    blocks = known.select(*order, "n", *SKETCH).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(cut, schema)
-    blocks = materialize(blocks.withColumn("id", F.monotonically_increasing_id()), "blocks")
-    meta = lambda side: blocks.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("id", "low", "high")))
-    met = meta("x").join(meta("y"), "key").where("id_x <= id_y and not (low_x = high_x and low_y = high_y and low_x = low_y)").select("id_x", "id_y")
-    one = lambda side: blocks.select(F.col("id").alias(f"id_{side}"), *(F.col(c).alias(f"{c}_{side}") for c in fields))
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 64):
-            for i in range(batch.num_rows):
-                x, y = ({c: text_array(batch, f"{c}_{side}")[i].values.to_numpy() for c in fields} for side in ("x", "y"))
-                sides = [(s["rep"], s["n"], np.stack([s[c] for c in SKETCH], 1), s["label"]) for s in (x, y)]
-                left, right = ((r[a], n[a], s[a]) for (r, n, s, _), a in zip(sides, ((slice(None), None), (None, slice(None))), strict=True))
-                found = _compare(like, left, right)
-                label = [dict(zip(s[0].tolist(), s[3].tolist(), strict=True)) for s in sides]
-                both = label[0] | label[1]
-                apart = [both[a] != both[b] for a, b in zip(found.column(0).to_pylist(), found.column(1).to_pylist(), strict=True)]
-                yield found.filter(pa.array(apart, pa.bool_()))
-
-    return met.join(one("x"), "id_x").join(one("y"), "id_y").drop("id_x", "id_y").mapInArrow(compare, PAIRS)
+            blocks = []
+            for key, n in zip(text_array(batch, "key").to_pylist(), text_array(batch, "n").to_pylist(), strict=True):
+                if key != last or held + n > block_tokens:
+                    block, held, last = block + 1, 0, key
+                held += n
+                blocks.append(block)
+            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), *(text_array(batch, c) for c in order)], names=["block", *order])
+
+    blocks = known.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(cut, "block long, key long, label long, rep long")
+    blocks = materialize(blocks, "blocks")
+    stats = blocks.groupBy("block", "key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    side = lambda c: stats.select("key", *(F.col(x).alias(f"{x}_{c}") for x in ("block", "low", "high")))
+    met = side("x").join(side("y"), "key").where("block_x <= block_y and not (low_x = high_x and low_y = high_y and low_x = low_y)")
+    met = materialize(met.select(F.col("block_x").alias("big"), F.col("block_y").alias("small")), "met")
+    wanted = materialize(blocks.join(met.select(F.col("big").alias("block")).union(met.select("small")), "block", "left_semi").select(F.col("rep").alias("h"), "block", "label"), "wanted")
+    tokens = _side(_tokens(docs, wanted.select("h").distinct(), like.words), "h")
+    held = wanted.join(tokens, "h").groupBy("block").agg(F.collect_list(F.struct("h", "n_h", "label", "of_h")).alias("held"))  # about block_tokens
+    each = lambda name: F.transform("held", lambda h: h[name])
+    blobs = held.select("block", each("h").alias("reps"), each("n_h").alias("sizes"), each("label").alias("labels"), F.flatten(each("of_h")).alias("tokens"))
+    links = materialize(_compare(met, blobs, like), "links")
+    discard(blocks, met, wanted)
+    return links
 
 
 def _best(pairs: DataFrame) -> DataFrame:
@@ -278,21 +274,16 @@ def near_duplicates(docs: DataFrame, like: Similarity = Similarity(), leaf: int
     same = member.join(several.select("doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
 
     few, many = _regions(sets, leaf)
-    pairs = [_pairs_of_leaves(_members(sets, few, many, crowded=False), like)]
-    crowd = None
-    if len(many) == len(DEPTHS) and many[-1].any:
+    pairs = materialize(_pairs_of_leaves(_members(sets, few, many, crowded=False), like).distinct(), "pairs")
+    crowded, near = len(many) == len(DEPTHS) and many[-1].any, pairs
+    if crowded:
         crowd = materialize(_members(sets, few, many, crowded=True), "crowd")
-        pairs.append(_neighbours(crowd, like))
-    pairs = materialize(reduce(DataFrame.union, pairs).groupBy("a", "b").agg(F.min("apart").alias("apart")), "pairs")
+        near = pairs.union(_neighbours(crowd, like))
     discard(sets)
-
-    links = _confirmed(docs, materialize(_best(pairs), "best"), like)
-    rest = materialize(_across(pairs, connected(links)), "rest")
-    links = links.union(_confirmed(docs, rest, like))
-    if crowd is not None:
-        seen = pairs.select("a", "b")
-        more = materialize(_between_components(crowd, connected(links), like).select("a", "b").distinct().join(seen, ["a", "b"], "left_anti"), "rest")
-        links = links.union(_confirmed(docs, more, like))
+    links = _confirmed(docs, materialize(_best(near), "best"), like)
+    links = links.union(_confirmed(docs, materialize(_across(pairs, connected(links)), "rest"), like))
+    if crowded:
+        links = links.union(_between_components(docs, crowd, connected(links), like))
     final = connected(links.union(same))
     out = member.join(final.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "rep"))
