@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.llm.flags import without
 from shelfcast.llm.textbytes import ALNUM_WORD, gram_hashes, list_column, range_hashes, runs, text_array, word_hashes
 from shelfcast.session import materialize, ship_package
 
@@ -191,10 +192,14 @@ def contamination(docs: DataFrame, items: DataFrame, keys: list[str] | None = No
 
 
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of `docs` (doc_id, text), with all columns, that aren't contaminated by `items`."""
+    """The rows of `docs` (doc_id, text), with all columns, that aren't contaminated by `items` (item_id, text).
+
+    A row goes if its own text is contaminated: of rows that repeat a doc_id, also a null one,
+    each is judged for itself. Null and empty texts stay; without items all rows stay.
+    """
     mark = "text_mark"
     while mark in docs.columns:
         mark += "_"
     marked = docs.withColumn(mark, F.xxhash64("text"))
-    bad = contamination(marked, items, ["doc_id", mark]).where("contaminated").select(F.col("doc_id").alias("bad_id"), F.col(mark).alias("bad_mark")).distinct()
-    return marked.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.col(mark) == F.col("bad_mark")), "left_anti").drop(mark)
+    bad = contamination(marked, items, ["doc_id", mark]).where("contaminated")
+    return without(marked, bad, ["doc_id", mark]).drop(mark)

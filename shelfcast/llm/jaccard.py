@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.llm.components import connected, contracted
+from shelfcast.llm.flags import without
 from shelfcast.llm.labels import most_frequent
 from shelfcast.llm.textbytes import list_column, release, shingle_sets, slices, text_array
 from shelfcast.session import discard, materialize, ship_package
@@ -371,7 +372,8 @@ def deduplicate(docs: DataFrame, like: Similarity = Similarity(), **settings) ->
     """
     found = jaccard_components(docs, like, **settings)
     found = materialize(found.where("doc_id is not null").select("doc_id", "component_id"), "components")
-    kept = docs.join(found.where("doc_id = component_id").select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns)
-    if found.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        kept = kept.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.xxhash64("text")).alias("row")).select("row.*")
-    return kept.union(docs.where("doc_id is null"))
+    kept = without(docs.withColumn("doc_id", F.col("doc_id").cast("long")), found.where("doc_id <> component_id").select("doc_id"), ["doc_id"])
+    if not found.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        return kept
+    one = kept.where("doc_id is not null").groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.xxhash64("text")).alias("row")).select("row.*")
+    return one.union(kept.where("doc_id is null"))
