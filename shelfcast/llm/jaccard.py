@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.components import connected, contracted
@@ -280,15 +280,16 @@ def _compare(pairs: DataFrame, blobs: DataFrame, like: Similarity, partners: int
 
 def _open_groups(docs: DataFrame, sets: DataFrame, kin: DataFrame, labels: DataFrame, like: Similarity, common, group_tokens: int) -> DataFrame:
     """Links (stored) that connect whatever links between sets of different `labels` (node, label) connect."""
-    alike = Window.partitionBy("token")
-    rows = _leading(docs, sets.select("rep"), like, common)
-    rows = rows.select("*", F.min("rep").over(alike).alias("low"), F.max("rep").over(alike).alias("high")).where("low <> high").drop("low", "high")
+    leading = materialize(_leading(docs, sets.select("rep"), like, common), "leading")
+    shared = leading.groupBy("token").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low <> high").select("token")
+    rows = leading.join(shared, "token", "left_semi")
     grouped = materialize(_grouped(sets, kin, labels, group_tokens), "groups")
     stats = materialize(grouped.groupBy("gid").agg(F.min("n").cast("int").alias("low"), F.max("n").cast("int").alias("high"), F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("size"), F.min("label").alias("first"), F.max("label").alias("last")), "stats")
     # the matrix: which tokens stand in the union of each group's leading tokens, and if in several sets
     sized = grouped.select("rep", "gid").join(stats.select("gid", "low", "high"), "gid")
     matrix = rows.join(sized, "rep").groupBy("token", "gid").agg(F.first("low").alias("low"), F.first("high").alias("high"), (F.count(F.lit(1)) > 1).alias("several"))
     matrix = materialize(matrix, "matrix")
+    discard(leading)
 
     x, y = (matrix.select("token", F.col("gid").alias(side), F.col("low").alias(f"low_{side}"), F.col("high").alias(f"high_{side}")) for side in ("x", "y"))
     fits = f"{like.den}L * high_x >= {like.num}L * low_y and {like.den}L * high_y >= {like.num}L * low_x"
