@@ -232,11 +232,9 @@ def sink_splits(spark, sf):
 
 
 @register("sink_verify", with_views("""
-SELECT 6 AS n_columns, true AS same_columns, COUNT(*) AS rows_read, COUNT(*) AS rows_expected, true AS ok FROM sales_panel"""), ids="S-08")
+SELECT 6 AS n_columns, true AS same_columns, COUNT(*) AS rows_read, COUNT(*) AS rows_expected, true AS same_rows, true AS ok FROM sales_panel"""), ids="S-08")
 def sink_verify(spark, sf):
-    df = fx.sales_panel(spark, sf)
-    path = sinks.write_table(df, sinks.shared_path(spark, "panel"))
-    return sinks.verify_written(spark, path, df)
+    return sinks.write_verified(fx.sales_panel(spark, sf), sinks.shared_path(spark, "panel"))
 
 
 @register("scan_typed_csv", with_views("SELECT date, CAST(dcoilwtico AS FLOAT) AS dcoilwtico FROM oil"), ids="S-01, S-05")

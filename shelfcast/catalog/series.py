@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from shelfcast.functions import stats as st
 from shelfcast.functions.numeric import EPS, chi2_sf, exact_sum
 from shelfcast.operators import series as ts
-from shelfcast.operators.aggregates import pct_rank_avg
+from shelfcast.operators.quantiles import summarize
+from shelfcast.operators.ranks import average_rank
+from shelfcast.operators.unitroot import unit_root_tests
 from shelfcast.operators.joins import anti_join
 from shelfcast.operators.panel import complete_panel, ffill_bfill
 from shelfcast.registry import register
@@ -122,25 +124,41 @@ SERIES = ["store_nbr", "family"]
 
 @register("adf_per_series", None, ids="TS-08, TS-10")
 def adf_per_series(spark, sf):
-    return ts.unit_root_tests(fx.sales_panel(spark, sf), "sales", SERIES, tests=("adf",)).select(
+    return unit_root_tests(fx.sales_panel(spark, sf), "sales", SERIES, tests=("adf",)).select(
         *SERIES, "n_obs", "adf_stat", "adf_lag", "adf_pvalue", "adf_reject")
 
 
-@register("kpss_per_series", None, ids="TS-09")
+# bandwidth and weights from the lagged products of the centred values
+KPSS_SQL = """
+WITH s AS (SELECT store_nbr, family, COUNT(*) AS n, list(sales ORDER BY date) AS x, avg(sales) AS m FROM sales_panel WHERE sales IS NOT NULL GROUP BY 1, 2),
+e AS (SELECT store_nbr, family, n, list_transform(x, lambda v: v - m) AS e FROM s),
+p AS (SELECT *, list_transform(range(0, CAST(floor(power(n, 2.0 / 9)) AS INTEGER) + 1), lambda k: list_sum(list_transform(range(1, n - k + 1), lambda i: e[i] * e[i + k]))) AS c FROM e WHERE n >= 3),
+b AS (SELECT *, c[1] + 2 * list_sum(c[2:]) AS s0, 2 * list_sum(list_transform(range(1, len(c)), lambda k: k * c[k + 1])) AS s1 FROM p WHERE c[1] > 0),
+l AS (SELECT *, CAST(least(floor(1.1447 * power(power(s1 / s0, 2) * n, 1.0 / 3)), n - 1) AS INTEGER) AS lags FROM b),
+v AS (SELECT *, (c[1] + 2 * COALESCE(list_sum(list_transform(range(1, lags + 1), lambda k: (1 - k / (lags + 1.0)) * list_sum(list_transform(range(1, n - k + 1), lambda i: e[i] * e[i + k])))), 0)) / n AS spread FROM l),
+q AS (SELECT store_nbr, family, SUM(ps * ps) AS q FROM (SELECT store_nbr, family, SUM(sales - m) OVER (PARTITION BY store_nbr, family ORDER BY date) AS ps
+      FROM sales_panel JOIN s USING (store_nbr, family) WHERE sales IS NOT NULL) GROUP BY 1, 2),
+k AS (SELECT e.store_nbr, e.family, CAST(e.n AS INTEGER) AS n_obs, q.q / e.n / e.n / v.spread AS stat, v.lags FROM e JOIN q USING (store_nbr, family) LEFT JOIN v USING (store_nbr, family))
+SELECT store_nbr, family, n_obs, round(stat, 6) AS kpss_stat, lags AS kpss_lags, round(pv, 6) AS kpss_pvalue, COALESCE(pv < 0.05, false) AS kpss_reject
+FROM (SELECT *, CASE WHEN stat <= 0.347 THEN 0.1 WHEN stat <= 0.463 THEN 0.1 - (stat - 0.347) / 0.116 * 0.05 WHEN stat <= 0.574 THEN 0.05 - (stat - 0.463) / 0.111 * 0.025
+  WHEN stat <= 0.739 THEN 0.025 - (stat - 0.574) / 0.165 * 0.015 WHEN stat IS NOT NULL THEN 0.01 END AS pv FROM k)"""
+
+
+@register("kpss_per_series", with_views(KPSS_SQL), ids="TS-09")
 def kpss_per_series(spark, sf):
-    return ts.unit_root_tests(fx.sales_panel(spark, sf), "sales", SERIES, tests=("kpss",)).select(
-        *SERIES, "n_obs", "kpss_stat", "kpss_lags", "kpss_pvalue", "kpss_reject")
+    t = unit_root_tests(fx.sales_panel(spark, sf), "sales", SERIES, tests=("kpss",))
+    return t.select(*SERIES, "n_obs", F.round("kpss_stat", 6).alias("kpss_stat"), "kpss_lags", F.round("kpss_pvalue", 6).alias("kpss_pvalue"), "kpss_reject")
 
 
 @register("stationarity_verdict", None, ids="TS-10")
 def stationarity_verdict(spark, sf):
-    return ts.unit_root_tests(fx.sales_panel(spark, sf), "sales", SERIES).select(*SERIES, "adf_reject", "kpss_reject", "verdict")
+    return unit_root_tests(fx.sales_panel(spark, sf), "sales", SERIES).select(*SERIES, "adf_reject", "kpss_reject", "verdict")
 
 
 @register("recommend_d", None, ids="TS-11, W-12")
 def recommend_d(spark, sf):
     """The smallest order of differencing, 0 to 2, at which both tests call a series stationary (null: none)."""
-    tests = ts.unit_root_tests(fx.sales_panel(spark, sf), "sales", SERIES, diffs=(0, 1, 2))
+    tests = unit_root_tests(fx.sales_panel(spark, sf), "sales", SERIES, diffs=(0, 1, 2))
     ok = F.col("adf_reject") & ~F.col("kpss_reject")
     return tests.groupBy(*SERIES).agg(F.min(F.when(ok, F.col("d"))).alias("recommended_d"))
 
@@ -188,7 +206,7 @@ def representative_df(spark, sf):
     # one row per series; materialised once because the five picks read it repeatedly
     from shelfcast.session import materialize
     sv = materialize(stt.join(ac, keys).join(val, keys, "left_semi"), "series-selection")
-    med = sv.agg(F.percentile("cv", 0.5)).scalar()
+    med = F.lit(summarize(sv, {"cv": [0.5]})["cv"].quantiles[0])
     order = {"mean_desc": [F.col("mean").desc()], "mean_asc": [F.col("mean").asc()],
              "acf": [F.col("acf_lag7").desc()], "zero": [F.col("zero_ratio").desc()], "cv": [F.col("cv").desc()]}
     steps = [(1, "high_stable", F.col("cv") <= med, "mean_desc"),
@@ -234,7 +252,7 @@ SELECT store_nbr, total, CAST(rank() OVER (ORDER BY total DESC) + (COUNT(*) OVER
 FROM {STORE_TOT_SQL}"""), ids="W-14")
 def store_rank(spark, sf):
     t = store_totals(spark, sf)
-    return t.select("store_nbr", "total", pct_rank_avg("total").cast("int").alias("rank"))
+    return average_rank(t, "total", "rank").select("store_nbr", "total", F.col("rank").cast("int").alias("rank"))
 
 
 RANK_STD_SQL = f"""
@@ -245,7 +263,7 @@ RANK_STD_SQL = f"""
 
 def rank_std_df(spark, sf):
     y = fx.sales_panel(spark, sf).groupBy("store_nbr", F.year("date").alias("y")).agg(exact_sum("sales").alias("t"))
-    r = y.select("store_nbr", pct_rank_avg("t", "y").alias("rk"))
+    r = average_rank(y, "t", "rk", ["y"])
     return r.groupBy("store_nbr").agg(F.stddev_samp("rk").alias("rank_std"))
 
 
@@ -294,14 +312,11 @@ FROM g, nn, tt GROUP BY nn.n, tt.tt"""
 
 
 def kruskal_df(spark, sf):
-    """H statistic from average ranks; N and the tie term are windows over the per-store
-    table (one row per store), so the fact plan is not repeated in scalar subqueries."""
+    """H statistic from average ranks, N and the tie term, which come from the counts of the distinct totals."""
     t = store_totals(spark, sf)
-    everything = Window.partitionBy()
-    ties = F.count(F.lit(1)).over(Window.partitionBy("total"))
-    r = t.select("type", pct_rank_avg("total", desc=False).alias("rk"),
-                 F.count(F.lit(1)).over(everything).alias("_n"),
-                 F.sum(ties * ties - 1).over(everything).alias("_tie"))  # sum over rows of c^2-1 = sum over values of c^3-c
+    r = average_rank(t, "total", "rk", desc=False)
+    ties = t.groupBy("total").agg(F.count(F.lit(1)).alias("c")).agg(F.sum("c").alias("n"), F.sum(F.expr("c * c * c - c")).alias("tie"))
+    r = r.select("type", "rk", ties.select("n").scalar().alias("_n"), ties.select("tie").scalar().alias("_tie"))
     g = r.groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.sum("rk").alias("rs"), F.first("_n").alias("_n"),
                               F.first("_tie").alias("_tie"))
     n = F.first("_n").cast("double")

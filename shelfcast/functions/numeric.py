@@ -42,6 +42,11 @@ def decimal_mean(x, over=None, scale: int = 6) -> Column:
     units, n = F.sum(c(x).cast(f"decimal(38,{scale})")), F.count(c(x))
     if over is not None:
         units, n = units.over(over), n.over(over)
+    return decimal_quotient(units, n, scale)
+
+
+def decimal_quotient(units: Column, n: Column, scale: int) -> Column:
+    """units (decimal of `scale` digits) / n, half-up to scale + 4 digits; null where n is 0."""
     # a quotient of wide decimals keeps six digits behind the point: shift the others in front of it
     shift = scale - 2
     shifted = F.try_divide((units * F.lit(10**shift).cast("decimal(5,0)")).cast("decimal(34,2)"), n.cast("decimal(20,0)"))

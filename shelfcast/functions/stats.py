@@ -1,140 +1,16 @@
-"""Small numeric helpers used inside grouped Arrow functions and on 1-row results.
+"""The exact distribution of the Mann-Whitney statistic, for a row of statistics at a time.
 
-They act on one series (a few thousand values) or on a handful of statistics;
-the distributed work (grouping, ranking, sums) stays in Spark.
+The distributed work (grouping, ranking, sums) stays in Spark.
 """
 
 from __future__ import annotations
 
 import math
 
-import numpy as np
-
-# MacKinnon (1994) response-surface coefficients for the ADF test with a
-# constant and one variable (tau_c, N = 1): bounds, switch point, small-p and large-p polynomials.
-ADF_C_TAU_MAX = 2.74
-ADF_C_TAU_MIN = -18.83
-ADF_C_TAU_STAR = -1.61
-ADF_C_SMALLP = [2.1659, 1.4412, 0.038269]
-ADF_C_LARGEP = [1.7339, 0.93202, -0.12745, -0.010368]
-# KPSS (1992) level-stationarity critical values and their significance levels.
-KPSS_C_CRIT = [0.347, 0.463, 0.574, 0.739]
-KPSS_C_PVALS = [0.10, 0.05, 0.025, 0.01]
-#: A residual sum of squares below this share of the series' own counts as a perfect fit.
-PERFECT = 1e-20
-
-
-def norm_cdf(x: float) -> float:
-    return 0.5 * math.erfc(-x / math.sqrt(2.0))
-
-
 def norm_sf(x: float) -> float:
     return 0.5 * math.erfc(x / math.sqrt(2.0))
 
 
-def _ols(y: np.ndarray, x: np.ndarray):
-    beta, *_ = np.linalg.lstsq(x, y, rcond=None)
-    resid = y - x @ beta
-    ssr = float(resid @ resid)
-    n, k = x.shape
-    return beta, ssr, n, k
-
-
-def _aic(ssr: float, n: int, k: int) -> float:
-    llf = -n / 2.0 * (math.log(2 * math.pi) + math.log(ssr / n) + 1)
-    return -2 * llf + 2 * k
-
-
-def adf_pvalue(stat: float) -> float:
-    if stat > ADF_C_TAU_MAX:
-        return 1.0
-    if stat < ADF_C_TAU_MIN:
-        return 0.0
-    coef = ADF_C_SMALLP if stat <= ADF_C_TAU_STAR else ADF_C_LARGEP
-    return norm_cdf(sum(c * stat ** i for i, c in enumerate(coef)))
-
-
-def adf_test(x: np.ndarray, maxlag: int | None = None) -> dict:
-    """Augmented Dickey-Fuller with a constant; lag chosen by AIC on a common sample."""
-    x = np.asarray(x, dtype=float)
-    n = len(x)
-    if n < 10 or np.nanstd(x) == 0:
-        return {"stat": None, "lag": None, "pvalue": None}
-    if maxlag is None:
-        maxlag = int(math.ceil(12.0 * (n / 100.0) ** 0.25))
-        maxlag = min(n // 2 - 2, maxlag)
-    dx = np.diff(x)
-
-    def design(lags: int, nobs_fix: int | None = None):
-        m = len(dx) - lags if nobs_fix is None else nobs_fix
-        y = dx[-m:]
-        cols = [x[-m - 1:-1]]
-        for i in range(1, lags + 1):
-            cols.append(dx[-m - i:-i])
-        return y, np.column_stack(cols + [np.ones(m)])
-
-    none = {"stat": None, "lag": None, "pvalue": None}
-    nobs = len(dx) - maxlag
-    best, best_aic = 0, np.inf
-    for lag in range(0, maxlag + 1):
-        y, xm = design(lag, nobs)
-        _, ssr, nn, k = _ols(y, xm)
-        if nn <= k or ssr <= PERFECT * max(float(y @ y), float(x @ x)):
-            return none  # the lags explain every change: no residual to test with
-        a = _aic(ssr, nn, k)
-        if a < best_aic:
-            best, best_aic = lag, a
-    y, xm = design(best)
-    beta, ssr, nn, k = _ols(y, xm)
-    if ssr <= PERFECT * max(float(y @ y), float(x @ x)):
-        return none
-    sigma2 = ssr / (nn - k)
-    cov = sigma2 * np.linalg.pinv(xm.T @ xm)
-    if not cov[0, 0] > 0:
-        return none
-    stat = float(beta[0] / math.sqrt(cov[0, 0]))
-    return {"stat": stat, "lag": int(best), "pvalue": adf_pvalue(stat)}
-
-
-def kpss_test(x: np.ndarray) -> dict:
-    """KPSS level-stationarity test with the automatic (Hobijn et al. 1998) bandwidth."""
-    x = np.asarray(x, dtype=float)
-    n = len(x)
-    if n < 3:
-        return {"stat": None, "lags": None, "pvalue": None}
-    e = x - x.mean()
-    covlags = int(n ** (2.0 / 9.0))
-    s0 = float(e @ e) / n
-    s1 = 0.0
-    for i in range(1, covlags + 1):
-        prod = float(e[i:] @ e[: n - i]) / (n / 2.0)
-        s0 += prod
-        s1 += i * prod
-    if s0 == 0:
-        return {"stat": None, "lags": None, "pvalue": None}
-    s_hat = s1 / s0
-    lags = int(1.1447 * (s_hat * s_hat) ** (1.0 / 3.0) * n ** (1.0 / 3.0))
-    lags = min(lags, n - 1)
-    eta = float(np.sum(np.cumsum(e) ** 2)) / (n * n)
-    sig = float(e @ e)
-    for i in range(1, lags + 1):
-        sig += 2 * float(e[i:] @ e[: n - i]) * (1 - i / (lags + 1.0))
-    sig /= n
-    stat = eta / sig
-    p = float(np.interp(stat, KPSS_C_CRIT, KPSS_C_PVALS))
-    return {"stat": stat, "lags": lags, "pvalue": p}
-
-
-def verdict(adf_reject: bool, kpss_reject: bool) -> str:
-    if adf_reject and not kpss_reject:
-        return "stationary"
-    if not adf_reject and kpss_reject:
-        return "non-stationary"
-    if adf_reject and kpss_reject:
-        return "trend-stationary"
-    return "difference-stationary"
-
-
 def mann_whitney_p(u1: float, n1: int, n2: int, tie_term: float) -> float:
     """Two-sided p of the Mann-Whitney U.
 

@@ -7,10 +7,11 @@ day), never over the fact itself.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions.numeric import EPS, exact_sum
+from shelfcast.operators.ranks import running
 
 
 def group_stats(df: DataFrame, by, value: str, digits: int = 6, median: bool = False) -> DataFrame:
@@ -29,34 +30,20 @@ def group_stats(df: DataFrame, by, value: str, digits: int = 6, median: bool = F
 def shares(df: DataFrame, key, value: str, digits: int = 9) -> DataFrame:
     """Share of total, rank (desc, key tie-break) and cumulative share over aggregated rows (A-06, W-13)."""
     keys = [key] if isinstance(key, str) else list(key)
-    order = [F.col(value).desc(), *[F.col(k) for k in keys]]
-    w = Window.orderBy(*order)
-    total = F.sum(value).over(Window.partitionBy())
-    cum = F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return df.select(*keys, value, F.round(F.try_divide(F.col(value), total), digits).alias("share"),
-                     F.row_number().over(w).alias("rank"), F.round(F.try_divide(cum, total), digits).alias("cum_share"))
+    total = df.agg(exact_sum(value)).scalar()
+    s = running(df.select(*keys, value), [F.col(value).desc(), *keys], {"_cum": value}, "_pos")
+    return s.select(*keys, value, F.round(F.try_divide(F.col(value), total), digits).alias("share"),
+                    (F.col("_pos") + 1).cast("int").alias("rank"), F.round(F.try_divide(F.col("_cum"), total), digits).alias("cum_share"))
 
 
 def concentration(df: DataFrame, key, value: str, digits: int = 9) -> DataFrame:
     """Totals per key -> share, rank, cumulative share, top-5/top-10 share and max/min ratio."""
     keys = [key] if isinstance(key, str) else list(key)
-    t = df.groupBy(*keys).agg(exact_sum(value).alias("total"))
-    s = shares(t, keys, "total", digits)
-    top5 = F.sum(F.when(F.col("rank") <= 5, F.col("total"))).over(Window.partitionBy())
-    top10 = F.sum(F.when(F.col("rank") <= 10, F.col("total"))).over(Window.partitionBy())
-    tot = F.sum("total").over(Window.partitionBy())
-    return s.select("*", F.round(F.try_divide(top5, tot), digits).alias("top5_share"), F.round(F.try_divide(top10, tot), digits).alias("top10_share"),
-                    F.round(F.try_divide(F.max("total").over(Window.partitionBy()), F.min("total").over(Window.partitionBy())),
-                            digits).alias("max_min_ratio"))
-
-
-def pct_rank_avg(value: Column | str, partition=None, desc: bool = True) -> Column:
-    """Average-tie rank (pandas `rank(method='average')`), descending by default (W-14)."""
-    v = F.col(value) if isinstance(value, str) else value
-    part = [partition] if isinstance(partition, str) else list(partition or [])
-    w = Window.partitionBy(*part).orderBy(v.desc() if desc else v.asc())
-    ties = Window.partitionBy(*part, v)
-    return F.rank().over(w) + (F.count(F.lit(1)).over(ties) - 1) / 2.0
+    s = shares(df.groupBy(*keys).agg(exact_sum(value).alias("total")), keys, "total", digits)
+    top = lambda n: exact_sum(F.when(F.col("rank") <= n, F.col("total")))
+    whole = s.agg(F.round(F.try_divide(top(5), exact_sum("total")), digits).alias("top5_share"), F.round(F.try_divide(top(10), exact_sum("total")), digits).alias("top10_share"),
+                  F.round(F.try_divide(F.max("total"), F.min("total")), digits).alias("max_min_ratio"))
+    return s.select("*", *(whole.select(c).scalar().alias(c) for c in whole.columns))
 
 
 def cv(std: Column, mean: Column) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.session import materialize
+from shelfcast.operators.ranks import running
 
 
 # ---------------------------------------------------------------- row position / folds
@@ -18,21 +18,10 @@ from shelfcast.session import materialize
 def row_position(df: DataFrame, order: list[str], out_col: str = "row_pos") -> DataFrame:
     """0-based position of every row in a total order, computed without a single-partition window.
 
-    The frame is range-partitioned and sorted on `order` (a unique key, so a hot
-    leading value is still split across tasks), each row gets its offset inside
-    its partition, and partition start offsets come from a prefix sum over the
-    per-partition counts (one row per partition). The sorted frame with its
-    ids is written once to the shared folder, so both uses read the same ids.
+    The frame is range-partitioned and sorted on `order` (a unique key, so a hot leading
+    value is still split across tasks) and written once to the shared folder, see `running`.
     """
-    mid = F.monotonically_increasing_id()
-    s = materialize(df.orderBy(*order).withColumn("_mid", mid), "row-position")
-    s = s.withColumn("_pid", F.shiftright("_mid", 33)).withColumn("_off", F.col("_mid").bitwiseAND((1 << 33) - 1))
-    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    starts = counts.select(
-        "_pid", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                           F.lit(0)).alias("_start"))
-    return s.join(starts, "_pid").withColumn(out_col, F.col("_start") + F.col("_off")).drop(
-        "_pid", "_off", "_start", "_mid")
+    return running(df, order, position=out_col)
 
 
 def contiguous_fold(pos: Column, n: Column, k: int) -> Column:
@@ -53,10 +42,10 @@ def kfold_contiguous(df: DataFrame, order: list[str], k: int = 5, fold_col: str
 # ---------------------------------------------------------------- label / frequency
 
 def label_mapping(values: DataFrame, col: str, code_col: str | None = None) -> DataFrame:
-    """Sorted distinct values -> 0..k-1 (the window runs on distinct values only)."""
+    """Sorted distinct values, of any number -> 0..k-1."""
     code_col = code_col or f"{col}_code"
     d = values.select(col).where(F.col(col).isNotNull()).distinct()
-    return d.select(col, (F.dense_rank().over(Window.orderBy(col)) - 1).cast("int").alias(code_col))
+    return running(d, [col], position=code_col).select(col, F.col(code_col).cast("int"))
 
 
 def label_encode(df: DataFrame, col: str, fit_on: list[DataFrame] | None = None, code_col: str | None = None,
@@ -134,10 +123,10 @@ def target_encode_oof(df: DataFrame, key: str, target: str, fold_col: str = "fol
     fk = src.groupBy(fold_col, key).agg(F.sum(target).alias("_fs"), F.count(target).alias("_fn"))
     per_key = Window.partitionBy(key)
     fk = fk.select("*", F.sum("_fs").over(per_key).alias("_ts"), F.sum("_fn").over(per_key).alias("_tn"))
-    # per-fold totals (k rows) from the (fold, key) sums; global totals as a window over those k rows
+    # per-fold totals (k rows) from the (fold, key) sums; global totals as the sums of those k rows
     ff = fk.groupBy(fold_col).agg(F.sum("_fs").alias("_ps"), F.sum("_fn").alias("_pn"))
-    everything = Window.partitionBy()
-    ff = ff.select("*", F.sum("_ps").over(everything).alias("_gs"), F.sum("_pn").over(everything).alias("_gn"))
+    whole = ff.agg(F.sum("_ps").alias("s"), F.sum("_pn").alias("n"))
+    ff = ff.select("*", whole.select("s").scalar().alias("_gs"), whole.select("n").scalar().alias("_gn"))
     ff = ff.select(fold_col, "_ps", "_pn", F.try_divide(F.col("_gs") - F.col("_ps"), F.col("_gn") - F.col("_pn")).alias("_fp"))
     stats = fk.join(ff, fold_col)
     n_oof = F.col("_tn") - F.col("_fn")

@@ -2,9 +2,7 @@
 
 Column-wise reports are computed in ONE aggregate pass over the data (partial
 aggregation on every task) and then turned long with `stack`; nothing is
-collected. Exact quantiles of an ungrouped column use a distributed sort:
-range partitioning splits any hot value across tasks, positions come from
-per-partition counts, and only the <= 2 rows per probability are kept.
+collected. Exact quantiles of ungrouped columns come from `operators/quantiles.py`.
 """
 
 from __future__ import annotations
@@ -12,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.operators.encoders import row_position
+from shelfcast.operators.quantiles import summarize
 
 
 def _stack(row: DataFrame, names: list[str], fields: list[str], name_col: str = "column") -> DataFrame:
@@ -23,27 +21,9 @@ def _stack(row: DataFrame, names: list[str], fields: list[str], name_col: str =
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float], prefix: str = "q") -> DataFrame:
-    """One row: linear-interpolated exact quantiles (pandas / numpy default) of a column."""
-    v = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    s = row_position(v, ["_v"], "_pos")
-    n = s.agg(F.count(F.lit(1))).scalar()
-    wanted = []
-    for p in probs:
-        h = (n - 1) * F.lit(p)
-        wanted += [F.floor(h), F.ceil(h)]
-    # keep only the needed positions (<= 2 per probability) before the final 1-row aggregate
-    cond = None
-    for w in wanted:
-        c = F.col("_pos") == w
-        cond = c if cond is None else (cond | c)
-    picked = s.where(cond)
-    outs = []
-    for p in probs:
-        h = (n - 1) * F.lit(p)
-        lo_v = F.max(F.when(F.col("_pos") == F.floor(h), F.col("_v")))
-        hi_v = F.max(F.when(F.col("_pos") == F.ceil(h), F.col("_v")))
-        outs.append((lo_v + (h - F.floor(h)) * (hi_v - lo_v)).alias(f"{prefix}{_pname(p)}"))
-    return picked.agg(*outs)
+    """One row: linear-interpolated exact quantiles (pandas / numpy default) of a column. Starts jobs."""
+    found = summarize(df, {col: probs})[col].quantiles
+    return df.sparkSession.range(1).select(*(F.lit(v).cast("double").alias(f"{prefix}{_pname(p)}") for p, v in zip(probs, found, strict=True)))
 
 
 def _pname(p: float) -> str:
@@ -51,18 +31,16 @@ def _pname(p: float) -> str:
 
 
 def describe(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
-    """count, mean, std (n-1), min, 25/50/75 %, max per column, one row per column (C-01)."""
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__count"), F.round(F.avg(x), digits).alias(f"{c}__mean"),
-                 F.round(F.stddev_samp(x), digits).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 F.max(x).alias(f"{c}__max")]
-    base = df.agg(*aggs)
+    """count, mean, std (n-1), min, 25/50/75 %, max per column, one row per column (C-01). Starts jobs."""
+    found = summarize(df, {c: [0.25, 0.5, 0.75] for c in cols})
+    rows = []
     for c in cols:
-        q = exact_quantiles(df, c, [0.25, 0.5, 0.75])
-        base = base.select("*", *[F.round(q.select(f"q{k}").scalar(), digits).alias(f"{c}__p{k}") for k in (25, 50, 75)])
-    return _stack(base, cols, ["count", "mean", "std", "min", "p25", "p50", "p75", "max"])
+        s = found[c]
+        exact = lambda v: F.lit(v).cast("double")
+        rounded = lambda v: F.round(F.lit(v).cast("double"), digits)
+        values = {"mean": rounded(s.mean), "std": rounded(s.std), "min": exact(s.min), **{f"p{k}": rounded(q) for k, q in zip((25, 50, 75), s.quantiles, strict=True)}, "max": exact(s.max)}
+        rows.append(F.struct(F.lit(c).alias("column"), F.lit(s.count).cast("long").alias("count"), *(v.alias(k) for k, v in values.items())))
+    return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
 
 
 def missing_summary(df: DataFrame, cols: list[str] | None = None, threshold: float | None = None) -> DataFrame:

@@ -1,21 +1,15 @@
-"""Time-series analysis operators (TS-02..TS-12).
+"""Time-series analysis operators (TS-02..TS-07).
 
-Everything is per series (`keys`, possibly empty for one aggregated series) and
-runs as windows partitioned by the series keys, or as grouped Arrow functions
-(`applyInPandas`) where a per-series numeric routine is needed (PACF recursion,
-ADF / KPSS regressions). A group is one series: its size is the number of days.
+Everything is per series (`keys`, possibly empty for one aggregated series) and runs as
+windows partitioned by the series keys and as array functions over a series' aggregates.
+A group is one series: its size is the number of days. Unit-root tests: `unitroot.py`.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.functions import stats as st
-from shelfcast.session import ship_package
-
 
 def _w(keys, order="date"):
     return Window.partitionBy(*keys).orderBy(order) if keys else Window.orderBy(order)
@@ -107,7 +101,7 @@ def lag_autocorr(df: DataFrame, value: str, lag: int, keys, date: str = "date",
     return g.select(*keys, F.when(ok, F.coalesce(F.col("_r"), F.lit(0.0))).otherwise(0.0).alias(f"acf_lag{lag}"))
 
 
-# ---------------------------------------------------------------- grouped numeric routines
+# ---------------------------------------------------------------- recursions over a series' aggregates
 
 def pacf_from_acf(acf_df: DataFrame, keys=()) -> DataFrame:
     """Partial autocorrelations from the ACF table by the Durbin-Levinson recursion (keys, lag, pacf).
@@ -130,42 +124,3 @@ def pacf_from_acf(acf_df: DataFrame, keys=()) -> DataFrame:
     start = F.struct(F.slice(F.array(null), 1, 0).alias("phi"), one.alias("v"), F.array(one).alias("out"))
     found = F.aggregate(F.sequence(F.lit(1), F.size(r) - 1), start, step)["out"]
     return rows.select(*keys, F.posexplode(found).alias("lag", "pacf"))
-
-
-def unit_root_tests(df: DataFrame, value: str, keys=(), date: str = "date", diffs=(0,), tests=("adf", "kpss")) -> DataFrame:
-    """ADF (constant, lag by AIC) and KPSS (level, automatic bandwidth) per series and order of differencing (TS-08..TS-10).
-
-    One `applyInPandas` group per series; the routines are small numpy least squares. A series
-    too short, constant or perfectly explained by its own lags has null statistics and no
-    rejection. Columns of a test that isn't asked for are null.
-    """
-    keys = list(keys)
-    key_types = df.select(*keys).dtypes
-    schema = ", ".join([f"{k} {t}" for k, t in key_types] + [
-        "d int", "n_obs int", "adf_stat double", "adf_lag int", "adf_pvalue double", "adf_reject boolean",
-        "kpss_stat double", "kpss_lags int", "kpss_pvalue double", "kpss_reject boolean", "verdict string"])
-    ship_package(df.sparkSession)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        y = pdf.sort_values(date)[value].to_numpy(dtype=float)
-        y = y[~np.isnan(y)]
-        rows = []
-        for d in diffs:
-            z = np.diff(y, n=d)
-            a = st.adf_test(z) if "adf" in tests else {"stat": None, "lag": None, "pvalue": None}
-            k = st.kpss_test(z) if "kpss" in tests else {"stat": None, "lags": None, "pvalue": None}
-            adf_rej = None if "adf" not in tests else a["pvalue"] is not None and a["pvalue"] < 0.05
-            kpss_rej = None if "kpss" not in tests else k["pvalue"] is not None and k["pvalue"] < 0.05
-            both = adf_rej is not None and kpss_rej is not None
-            rows.append({kk: pdf[kk].iloc[0] for kk in keys} | dict(
-                d=d, n_obs=len(z), adf_stat=a["stat"], adf_lag=a["lag"], adf_pvalue=a["pvalue"], adf_reject=adf_rej,
-                kpss_stat=k["stat"], kpss_lags=k["lags"], kpss_pvalue=k["pvalue"], kpss_reject=kpss_rej,
-                verdict=st.verdict(adf_rej, kpss_rej) if both else None))
-        return pd.DataFrame(rows)
-
-    src = df.select(*keys, date, value)
-    if not keys:
-        src = src.withColumn("_g", F.lit(1))
-        return src.groupBy("_g").applyInPandas(lambda p: run(p.drop(columns="_g")), schema)
-    return src.groupBy(*keys).applyInPandas(run, schema)
-

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.calendar import TEMPORAL_FEATURES
 from shelfcast.operators.encoders import contiguous_fold, row_position, target_encode_apply, target_encode_fit, target_encode_oof
+from shelfcast.operators.recent import lag_at, recent_days, rolling_at
 from shelfcast.operators.windows import CALENDAR, ROWS
 from shelfcast.plans.external import OIL_FEATURES, STORE_FEATURES, add_oil_features, add_store_features
 from shelfcast.plans.features import (LAG_FEATURES, ROLLING_SAFE, SAFE_FEATURES, SAFE_LAGS, TOXIC_FEATURES,
@@ -89,23 +90,30 @@ def build_horizon_features(history: DataFrame, stores: DataFrame, holidays: Data
 
     `future`: the rows to forecast (date, keys, onpromotion, and any other columns, such as
     an id, which are kept); without it, every series for `days` days without promotion.
-    History is cut to `lookback` days before the horizon (the longest lag), unioned with the
-    future rows without target, and the same windows as in training (`mode`) run over it;
-    only horizon rows are kept. `freq_base` as in `build_train_final`, counted over the
+    Calendar lags and rolling values are places in one array per series of the last `lookback`
+    days (the longest lag), which the future rows look up. In rows mode, the history of those
+    days is unioned with the future rows, as row lags count both, and windows run over it.
+    `freq_base` as in `build_train_final`, counted over the
     history; the target encoding is fitted on the whole history.
     """
-    cut = start - dt.timedelta(days=lookback)
-    hist = history.filter((F.col(spec.date) >= F.lit(cut)) & (F.col(spec.date) < F.lit(start))).select(
-        spec.date, *spec.keys, spec.target, "onpromotion")
     if future is None:
         future = horizon_frame(history, start, days, spec).withColumn("onpromotion", F.lit(0.0))
     extra = [c for c in future.columns if c not in (*spec.grain, "onpromotion", spec.target)]
-    fut = future.select(*spec.grain, F.lit(None).cast("double").alias(spec.target), "onpromotion", *extra)
-    u = hist.unionByName(fut, allowMissingColumns=True)
-    f = add_temporal_features(u, spec.date)
     lag_only = [int(c.split("_")[1]) for c in LAG_FEATURES if c.startswith("lag_") and c not in TOXIC_FEATURES]
-    f = add_lag_features(f, spec, mode, lags=sorted(set(lag_only) | set(SAFE_LAGS)), rolling=ROLLING_SAFE)
-    f = f.filter(F.col(spec.date) >= F.lit(start))
+    lags = sorted(set(lag_only) | set(SAFE_LAGS))
+    if mode == CALENDAR:
+        state = recent_days(history, start, lookback, spec)
+        ahead = F.datediff(F.col(spec.date), F.lit(start))
+        f = add_temporal_features(future.drop(spec.target), spec.date).join(state, list(spec.keys), "left")
+        f = f.select("*", *(lag_at("recent", ahead, n).alias(f"lag_{n}") for n in lags),
+                     *(rolling_at("recent", ahead, w, o, s, m, spec.decimals).alias(k) for k, (w, o, s, m) in ROLLING_SAFE.items())).drop("recent")
+    else:  # row lags count the rows of history and horizon together
+        cut = start - dt.timedelta(days=lookback)
+        hist = history.filter((F.col(spec.date) >= F.lit(cut)) & (F.col(spec.date) < F.lit(start))).select(
+            spec.date, *spec.keys, spec.target, "onpromotion")
+        fut = future.select(*spec.grain, F.lit(None).cast("double").alias(spec.target), "onpromotion", *extra)
+        f = add_temporal_features(hist.unionByName(fut, allowMissingColumns=True), spec.date)
+        f = add_lag_features(f, spec, mode, lags=lags, rolling=ROLLING_SAFE).filter(F.col(spec.date) >= F.lit(start))
     f = add_holiday_features(f, stores, holidays, dates=future.select(spec.date))
     f = add_oil_features(f, oil, end=F.lit(start + dt.timedelta(days=days - 1)))
     f = add_store_features(f, stores, freq_base, count_base=history)

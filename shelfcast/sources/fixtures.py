@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from shelfcast.functions.numeric import exact_sum
 from shelfcast.operators.panel import complete_panel
+from shelfcast.sources.segments import stored
 from shelfcast.sources.tables import table
 from shelfcast.spec import DEFAULT_PANEL, PanelSpec
 
@@ -23,7 +24,15 @@ def _day(c: str) -> Column:
     return F.to_date(F.col(c))
 
 
+SALES_TABLES = ("lineitem", "part", "supplier")
+
+
 def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`sales_cells`, stored: summed once per session, whatever number of reports reads it."""
+    return stored(spark, sf_dir, "sales-cells", SALES_TABLES, lambda: sales_cells(spark, sf_dir))
+
+
+def sales_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(store_nbr, family, date) -> sales, onpromotion from lineitem x part x supplier.
 
     Sales are summed as decimal(18,4) so the total does not depend on the order of
@@ -56,8 +65,11 @@ def sales_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sales_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(date, total): the panel's sales by day. Days without sales come from a date spine, not from a series x day grid."""
-    totals = sales_raw(spark, sf_dir).groupBy("date").agg(exact_sum("sales").alias("total"))
-    return complete_panel(totals, PanelSpec(keys=(), target="total"), fill={"total": 0.0}, flag_col=None)
+    def build() -> DataFrame:
+        totals = sales_raw(spark, sf_dir).groupBy("date").agg(exact_sum("sales").alias("total"))
+        return complete_panel(totals, PanelSpec(keys=(), target="total"), fill={"total": 0.0}, flag_col=None)
+
+    return stored(spark, sf_dir, "sales-by-day", SALES_TABLES, build)
 
 
 def sales_gappy(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcast.session import ensure_checkpoint_dir
@@ -42,26 +43,43 @@ def align_schema(df: DataFrame, reference_columns: list[str]) -> DataFrame:
     return df.select(*reference_columns)
 
 
-def verify_written(spark: SparkSession, path: str, expected: DataFrame, fmt: str = "parquet") -> DataFrame:
-    """Read back: same column names and row count as the frame that was written (S-08)."""
-    back = spark.read.option("header", True).csv(path) if fmt == "csv" else spark.read.parquet(path)
-    from pyspark.sql import functions as F
-
-    same_cols = [c.lower() for c in back.columns] == [c.lower() for c in expected.columns]
-    n_back = back.agg(F.count(F.lit(1))).scalar()
-    n_exp = expected.agg(F.count(F.lit(1))).scalar()
-    return spark.range(1).select(F.lit(len(back.columns)).alias("n_columns"), F.lit(same_cols).alias("same_columns"),
-                                 n_back.alias("rows_read"), n_exp.alias("rows_expected"), (n_back == n_exp).alias("ok"))
-
-
-def schema_contract(df: DataFrame, expected: list[str], removed: list[str] = ()) -> DataFrame:
-    """Expected present, removed absent, extra / missing columns; raises on violation (C-17)."""
-    cols = df.columns
-    missing = [c for c in expected if c not in cols]
-    extra = [c for c in cols if c not in expected]
-    leaked = [c for c in removed if c in cols]
-    if missing or leaked:
-        raise ValueError(f"schema contract violated: missing={missing} removed-but-present={leaked}")
+def checksum(columns: list[str]):
+    """Order-independent sum of the rows' hashes, as a decimal: equal for equal rows in any order."""
+    return F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))
+
+
+def write_verified(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
+    """Write `df`, counting and hashing its rows on the way, and compare them with what the files hold (S-08).
+
+    n_columns, same_columns, rows_read, rows_expected, same_rows, ok. The source runs once; the
+    files are read back. A CSV file has no types, so its rows are compared by number only.
+    """
     spark = df.sparkSession
-    return spark.createDataFrame([(len(cols), len(expected), ",".join(extra), True)],
-                                 "n_columns int, n_expected int, extra string, ok boolean")
+    seen = Observation("written")
+    write_table(df.observe(seen, F.count(F.lit(1)).alias("n"), checksum(df.columns).alias("sum")), path, fmt)
+    back = spark.read.option("header", True).csv(path) if fmt == "csv" else spark.read.parquet(path)
+    same_cols = [c.lower() for c in back.columns] == [c.lower() for c in df.columns]
+    here = back.agg(F.count(F.lit(1)).alias("rows_read"), (checksum(back.columns) if same_cols else F.lit(None).cast("decimal(38,0)")).alias("_sum"))
+    wanted = F.lit(seen.get["sum"]).cast("decimal(38,0)")
+    same_rows = F.lit(None).cast("boolean") if fmt == "csv" else F.col("_sum").eqNullSafe(wanted)
+    n = F.lit(seen.get["n"]).cast("long")
+    return here.select(F.lit(len(back.columns)).alias("n_columns"), F.lit(same_cols).alias("same_columns"), "rows_read", n.alias("rows_expected"), same_rows.alias("same_rows"),
+                       (F.lit(same_cols) & (F.col("rows_read") == n) & F.coalesce(same_rows, F.lit(True))).alias("ok"))
+
+
+def schema_contract(df: DataFrame, expected: dict[str, str], removed: list[str] = (), nullable: list[str] = ()) -> DataFrame:
+    """Held against the rows of `df`, a row per expected column: column, type, expected_type, n_rows, nulls, ok (C-17).
+
+    Raises if a column is missing, has another type, or one of `removed` is there. ok: no
+    nulls, or the column may have them (`nullable`). Columns that aren't expected are allowed.
+    """
+    types = dict(df.dtypes)
+    missing = [c for c in expected if c not in types]
+    leaked = [c for c in removed if c in types]
+    other = [f"{c}: {types[c]} instead of {t}" for c, t in expected.items() if c in types and types[c] != t]
+    if missing or leaked or other:
+        raise ValueError(f"schema contract violated: missing={missing} removed-but-present={leaked} types={other}")
+    row = df.agg(F.count(F.lit(1)).alias("n"), *(F.count_if(F.col(c).isNull()).alias(f"nulls_{i}") for i, c in enumerate(expected)))
+    one = [F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("type"), F.lit(t).alias("expected_type"), F.col("n").alias("n_rows"), F.col(f"nulls_{i}").alias("nulls"),
+                    ((F.col(f"nulls_{i}") == 0) | F.lit(c in nullable)).alias("ok")) for i, (c, t) in enumerate(expected.items())]
+    return row.select(F.inline(F.array(*one)))

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions import stats as st
 from shelfcast.functions.numeric import chi2_sf, exact_avg, normal_sf
-from shelfcast.operators.series import pacf_from_acf, unit_root_tests
+from shelfcast.operators.series import pacf_from_acf
+from shelfcast.operators.unitroot import unit_root_tests
 
 
 def test_chi2_and_normal_tails(spark):
@@ -62,13 +63,6 @@ def test_mann_whitney_with_ties():
         assert st.mann_whitney_p(u, n1, n2, ties) == pytest.approx(want)
 
 
-def test_unit_root_tests_direction():
-    rng = np.random.default_rng(0)
-    walk, noise = np.cumsum(rng.normal(size=400)), rng.normal(size=400)
-    assert st.adf_test(noise)["pvalue"] < 0.05 < st.adf_test(walk)["pvalue"]
-    assert st.kpss_test(walk)["pvalue"] < 0.05 < st.kpss_test(noise)["pvalue"]
-
-
 def test_unit_roots_of_series_without_residual(spark):
     once = [0.0] * 500
     once[3] = 5.0
