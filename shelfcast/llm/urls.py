@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.textbytes import text_array
+from shelfcast.llm.textbytes import slices, text_array
 from shelfcast.session import discard, materialize, ship_package
 
 #: (verdict, host and path): a rule fits its host and all subdomains, and paths that start with its path.
@@ -101,21 +101,30 @@ def splits(names: DataFrame, counts: DataFrame) -> DataFrame:
     """piece, words (an array) for every distinct `piece` of `names`, under the counts (word, n) of all words."""
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
-    def substrings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def substrings(batches: Iterator[pa.RecordBatch], part: int = 4096) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                of = [(p, w) for p in text_array(batch.slice(at, 500), "piece").to_pylist() for w in {p[a:b] for a in range(len(p) - 1) for b in range(a + 2, min(len(p), a + LONGEST) + 1)}]
-                yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in of], pa.string()), pa.array([w for _, w in of], pa.string())], names=["piece", "word"])
+            ids, words = [], []
+            for name, piece in zip(text_array(batch, "name").to_pylist(), text_array(batch, "piece").to_pylist(), strict=True):
+                for at in range(0, len(piece), part):  # the substrings that start in a part, of any length up to the longest word
+                    here = piece[at : at + part + LONGEST - 1]
+                    of = {here[a:b] for a in range(min(part, len(here) - 1)) for b in range(a + 2, min(len(here), a + LONGEST) + 1)}
+                    ids += [name] * len(of)
+                    words += of
+                    if len(ids) > 1 << 17:
+                        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(words, pa.string())], names=["name", "word"])
+                        ids, words = [], []
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(words, pa.string())], names=["name", "word"])
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 256):
             rows = zip(text_array(batch, "piece").to_pylist(), text_array(batch, "known").to_pylist(), strict=True)
             found = [(p, Segmenter({k["word"]: k["n"] for k in known or ()}, total).split(p)) for p, known in rows]
             yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in found], pa.string()), pa.array([w for _, w in found], pa.list_(pa.string()))], names=["piece", "words"])
 
-    names = names.select("piece").distinct()
-    known = names.mapInArrow(substrings, "piece string, word string").join(counts, "word").groupBy("piece").agg(F.collect_list(F.struct("word", "n")).alias("known"))
-    return names.join(known, "piece", "left").mapInArrow(split, "piece string, words array<string>")
+    # numbered once, as stored: a name isn't repeated beside each of its substrings
+    names = materialize(names.select("piece").distinct().withColumn("name", F.monotonically_increasing_id()), "distinct_names")
+    known = names.mapInArrow(substrings, "name long, word string").join(counts, "word").groupBy("name").agg(F.collect_set(F.struct("word", "n")).alias("known"))
+    return names.join(known, "name", "left").select("piece", "known").mapInArrow(split, "piece string, words array<string>")
 
 
 def _named(parsed: DataFrame, counts: DataFrame) -> DataFrame:
@@ -156,8 +165,9 @@ def judge(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, buckets:
     A null url or one without `://` has empty host and path. verdict: the longest fitting
     rule's; without one, block if naive Bayes finds it likelier than allow (score: that
     probability), allow also if the rules decide no url of both kinds. Null pages have no
-    words; all words of all pages count, however rare. Rows that repeat are judged each for itself, a null page_id stays, other columns
-    play no part, an empty table gives no rows.
+    words; all words of all pages count, however rare. A name of any length is split as a whole;
+    only the words that it has are held for it. Rows that repeat are judged each for itself, a
+    null page_id stays, other columns play no part, an empty table gives no rows.
     """
     spark = pages.sparkSession
     ship_package(spark)

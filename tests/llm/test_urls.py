@@ -76,3 +76,11 @@ def test_most_frequent_values_within_a_bound(spark):
     rows = [(f"a{k}", n) for n, many in ((1, 50), (2, 20), (7, 5), (100, 3)) for k in range(many)]
     frame = spark.createDataFrame(rows, "word string, n long")
     assert [most_frequent(frame, m).count() for m in (100, 78, 77, 28, 27, 8, 3, 2)] == [78, 78, 28, 28, 8, 8, 3, 0]
+
+
+def test_names_of_any_length(spark):
+    long = "cheappills" * 10000  # 100,000 letters
+    rows = {r["page_id"]: r for r in judge(pages(spark, [f"http://a.net/{long}", f"http://{long}.net/x", "http://a.net/cheappills", None])).collect()}
+    assert rows[0]["words"].split() == ["h:a", "h:net"] + ["p:cheap", "p:pills"] * 10000
+    assert rows[1]["words"].split() == ["h:cheap", "h:pills"] * 10000 + ["h:net", "p:x"]
+    assert rows[1]["host"] == f"{long}.net" and rows[2]["words"] == "h:a h:net p:cheap p:pills"
