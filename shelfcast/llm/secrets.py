@@ -9,8 +9,10 @@ the string is on the allow list or lies inside a pattern's span.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 from math import log2
 
 import pyarrow as pa
@@ -43,14 +45,16 @@ CLASSES = (
 KINDS = (*BASE_KINDS, *(c.kind for c in CLASSES))
 
 #: Strings that are no secrets: without a digit or without a letter, identifiers and dates made
-#: of short parts, universally unique ids, paths of plain words, samples and placeholders.
+#: of short parts, universally unique ids, paths of plain words.
 ALLOW = (
     r"[^0-9]*",
     r"[^A-Za-z]*",
     r"(?:[A-Za-z]+|[0-9]+)(?:[-_/=+]+(?:[A-Za-z]+|[0-9]+))*[-_/=+]*",
     r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}",
-    r"(?i:.*(?:example|sample|dummy|placeholder|x{6,}|0123456789|abcdef0?123).*)",
 )
+#: A part of a string, between separators, in which one of these stands is a sample or a placeholder; other parts are scanned.
+PLACEHOLDER = re.compile(r"example|sample|dummy|placeholder|x{6,}|0123456789|abcdef0?123", re.IGNORECASE)
+PART = re.compile(r"[^/+=_-]+")
 
 
 def entropy_spans(text: str, window: int, bits: float) -> list[tuple[int, int]]:
@@ -77,19 +81,41 @@ def entropy_spans(text: str, window: int, bits: float) -> list[tuple[int, int]]:
     return spans
 
 
+def _within(spans: list[tuple[int, int, str]]):
+    """Whether a range lies in one of the spans: the furthest end of those that start before it decides."""
+    starts = sorted(s[:2] for s in spans)
+    ends = list(accumulate((e for _, e in starts), max))
+    starts = [a for a, _ in starts]
+    return lambda a, b: (k := bisect_right(starts, a)) > 0 and ends[k - 1] >= b
+
+
+def _without_placeholders(start: int, run: str) -> Iterator[tuple[int, str]]:
+    """The pieces of a run, and where they start, that its parts with placeholders leave."""
+    if not PLACEHOLDER.search(run):
+        yield start, run
+        return
+    begin = 0
+    for part in PART.finditer(run):
+        if PLACEHOLDER.search(part[0]):
+            yield start + begin, run[begin : part.start()]
+            begin = part.end()
+    yield start + begin, run[begin:]
+
+
 def find_spans(text: str, allow: re.Pattern, classes: tuple[CharClass, ...] = CLASSES) -> list[tuple[int, int, str]]:
     """(start, end, kind) in code points, by start and then by kind as listed."""
     found = [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
     found += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
     found += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
-    inside = lambda a, b: any(x <= a and b <= y for x, y, _ in found)
     for c in classes:
+        inside = _within(found)  # those of one class lie apart
         for m in c.candidate.finditer(text):
-            if inside(m.start(), m.end()) or allow.fullmatch(m[0]):
-                continue
-            for a, b in entropy_spans(m[0], c.window, c.bits):
-                if not allow.fullmatch(m[0][a:b]) and not inside(m.start() + a, m.start() + b):
-                    found.append((m.start() + a, m.start() + b, c.kind))
+            for at, run in _without_placeholders(m.start(), m[0]):
+                if len(run) < c.window or allow.fullmatch(run) or inside(at, at + len(run)):
+                    continue
+                for a, b in entropy_spans(run, c.window, c.bits):
+                    if not allow.fullmatch(run[a:b]) and not inside(at + a, at + b):
+                        found.append((at + a, at + b, c.kind))
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 

@@ -59,6 +59,22 @@ def test_added_spans_and_allow_list():
         assert spans(clean) == []
 
 
+def test_placeholders_suppress_their_own_part_only():
+    allow, secret = compiled(ALLOW), "Zk9vQ2x1c3RlclNlY3JldEtleTEyMzQ1Njc4OTA"
+    spans = lambda t: [t[a:b] for a, b, _ in find_spans(t, allow)]
+    for around in ("sample/{}", "{}/example", "/usr/EXAMPLE/{}", "dummy={}-placeholder"):
+        assert [s.strip("/=-") for s in spans(around.format(secret))] == [secret]
+    assert spans(f"sample{secret}") == spans("xxxxxxxxxx/0123456789abcdef0123/sample") == []
+
+
+def test_text_of_many_secrets():
+    rng, allow = random.Random(3), compiled(ALLOW)
+    made = ["".join(rng.choice("abcdefABCDEF0123456789ghijkGHIJK") for _ in range(32)) + f"{k}z" for k in range(30000)]
+    text = " ".join(f"{m} token={m}" for m in made)
+    spans = find_spans(text, allow)  # a second or two; a comparison of all with all would take minutes
+    assert sum(k == "assign" for _, _, k in spans) == 30000 and sum(k == "entropy_base64" for _, _, k in spans) > 25000
+
+
 def test_redaction_keeps_everything_else(spark):
     frame = docs(spark, TEXTS)
     out = redact(frame, length="n_chars")
