@@ -252,10 +252,25 @@ def schema_align(spark, sf):
     return sinks.align_schema(p, header)
 
 
-@register("dq_schema_contract", None, ids="C-17, U-05")
+# The contract of the horizon's 47 features. All others are double.
+_TEXTS = ["family", "type", "city", "state", "store_family"]
+_INTEGERS = ["store_nbr", "year", "month", "day", "day_of_week", "week_of_year", "quarter", "is_weekend", "is_month_start", "is_month_end", "is_payday",
+             "is_national_holiday", "is_regional_holiday", "is_local_holiday", "is_transferred_holiday", "holiday_type", "is_carnaval_feature",
+             "days_to_next_holiday", "days_after_last_holiday", "is_earthquake_period", "cluster", "store_type_enc", "store_type_encoded"]
+HORIZON_TYPES = {c: "date" if c == "date" else "string" if c in _TEXTS else "int" if c in _INTEGERS else "double" for c in tf.V3_FEATURE_COLS}
+_HORIZON_NULLABLE = ["oil_price_lag_7", "oil_price_lag_14", "oil_price_rolling_mean_28", "oil_price_change_pct"]
+
+
+@register("dq_schema_contract", with_views(f"""
+WITH fut AS ({FUTURE_SQL}),
+u AS (SELECT date, store_nbr, family, sales FROM sales_panel WHERE date >= DATE '{H0}' - INTERVAL 364 DAY AND date < DATE '{H0}' UNION ALL SELECT date, store_nbr, family, sales FROM fut),
+l AS (SELECT date, """ + ", ".join(f"max(sales) OVER ({_HPART.format(n, n)}) AS lag_{n}" for n in _HLAGS) + f""" FROM u),
+h AS (SELECT * FROM l WHERE date >= DATE '{H0}')
+""" + " UNION ALL ".join(f"SELECT 'lag_{n}' AS column, 'double' AS type, 'double' AS expected_type, COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE lag_{n} IS NULL) AS nulls, COUNT(*) FILTER (WHERE lag_{n} IS NULL) = 0 AS ok FROM h" for n in _HLAGS)), ids="C-17, U-05")
 def dq_schema_contract(spark, sf):
+    """Names and types of all 47 features are held against the contract; the report is of the lags' rows (lag_14 isn't known from the 15th day on)."""
     h = horizon_df(spark, sf)
-    return sinks.schema_contract(h, tf.V3_FEATURE_COLS, TOXIC_FEATURES)
+    return sinks.schema_contract(h, HORIZON_TYPES, TOXIC_FEATURES, _HORIZON_NULLABLE).where(F.col("column").startswith("lag_"))
 
 
 @register("clean_columns", with_views("SELECT date, store_nbr, transactions FROM transactions"), ids="C-04")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from shelfcast.catalog.sqlparts import rolling_sql
 from shelfcast.operators import profile as prof
 from shelfcast.operators.windows import lag_col
-from shelfcast.plans.cleaning import clean_transactions, dedup_sum, drop_negative
+from shelfcast.plans.cleaning import clean_transactions, dedup_sum, drop_negative, split_valid
 from shelfcast.plans.features import LAGS, ROLLING_SAFE, SAFE_LAGS, add_lag_features, add_safe_features
 from shelfcast.registry import register
 from shelfcast.sources import fixtures as fx
@@ -78,24 +78,49 @@ def feature_ranges(spark, sf):
     return prof.value_ranges(f, ["year", "month", "day_of_week", "week_of_year", "lag_364"])
 
 
-_RAW_TX_SQL = """(SELECT strftime(date, '%Y-%m-%d') AS date, CAST(store_nbr AS VARCHAR) AS store_nbr,
-   CAST(transactions AS VARCHAR) AS transactions FROM transactions)"""
+# The raw file as it might come: some dates that aren't one, counts as words, fractions or negative
+# numbers, stores left out, blanks around values, rows that stand twice. By rule, from the rows themselves.
+_RAW_TX_SQL = """(WITH b AS (SELECT date, store_nbr, transactions, store_nbr * 7 + day(date) * 3 + month(date) AS z FROM transactions),
+  d AS (SELECT *, 1 AS copy FROM b UNION ALL SELECT *, 2 FROM b WHERE z % 17 = 0)
+  SELECT CASE WHEN z % 41 = 1 THEN strftime(date, '%Y-13-%d') WHEN z % 41 = 2 THEN 'unknown' WHEN z % 41 = 3 THEN NULL ELSE strftime(date, '%Y-%m-%d') END AS date,
+    CASE WHEN z % 37 = 1 THEN '' WHEN z % 37 = 2 THEN 'S' || store_nbr WHEN z % 37 = 3 THEN ' ' || store_nbr || ' ' ELSE CAST(store_nbr AS VARCHAR) END AS store_nbr,
+    CASE WHEN z % 31 = 1 THEN 'n/a' WHEN z % 31 = 2 THEN CAST(transactions AS VARCHAR) || '.5' WHEN z % 31 = 3 THEN CAST(-transactions AS VARCHAR)
+      WHEN z % 31 = 4 THEN CAST(transactions AS VARCHAR) || '.0' ELSE CAST(transactions AS VARCHAR) END AS transactions FROM d)"""
 
 
 def _raw_tx(spark, sf):
-    t = fx.transactions(spark, sf)
-    return t.select(F.date_format("date", "yyyy-MM-dd").alias("date"), F.col("store_nbr").cast("string").alias("store_nbr"),
-                    F.col("transactions").cast("string").alias("transactions"))
+    t = fx.transactions(spark, sf).withColumn("z", F.col("store_nbr") * 7 + F.dayofmonth("date") * 3 + F.month("date"))
+    t = t.withColumn("copy", F.explode(F.when(F.col("z") % 17 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
+    z, store, n = F.col("z"), F.col("store_nbr").cast("string"), F.col("transactions").cast("string")
+    day = F.when(z % 41 == 1, F.date_format("date", "yyyy-'13'-dd")).when(z % 41 == 2, "unknown").when(z % 41 == 3, F.lit(None)).otherwise(F.date_format("date", "yyyy-MM-dd"))
+    store = F.when(z % 37 == 1, "").when(z % 37 == 2, F.concat(F.lit("S"), store)).when(z % 37 == 3, F.concat(F.lit(" "), store, F.lit(" "))).otherwise(store)
+    n = F.when(z % 31 == 1, "n/a").when(z % 31 == 2, F.concat(n, F.lit(".5"))).when(z % 31 == 3, (-F.col("transactions")).cast("string")).when(z % 31 == 4, F.concat(n, F.lit(".0"))).otherwise(n)
+    return t.select(day.alias("date"), store.alias("store_nbr"), n.alias("transactions"))
 
 
-@register("coerce_drop", with_views(f"""
-SELECT CAST(date AS DATE) AS date, CAST(TRY_CAST(store_nbr AS DOUBLE) AS INTEGER) AS store_nbr,
-  TRY_CAST(transactions AS DOUBLE) AS transactions
-FROM {_RAW_TX_SQL} WHERE TRY_CAST(date AS DATE) IS NOT NULL AND TRY_CAST(store_nbr AS DOUBLE) IS NOT NULL
-  AND TRY_CAST(transactions AS DOUBLE) IS NOT NULL"""), ids="C-05, C-06")
+_TYPED_SQL = """t AS (SELECT *, TRY_CAST(trim(date) AS DATE) AS d, TRY_CAST(trim(store_nbr) AS DOUBLE) AS s, TRY_CAST(trim(transactions) AS DOUBLE) AS n FROM """ + _RAW_TX_SQL + """),
+m AS (SELECT *, CASE WHEN d IS NULL THEN 'bad date' WHEN s IS NULL OR s <> floor(s) THEN 'bad store' WHEN n IS NULL OR n <> floor(n) THEN 'bad count' WHEN n < 0 THEN 'negative count' END AS reason FROM t)"""
+
+
+@register("coerce_drop", with_views(f"""WITH {_TYPED_SQL}
+SELECT d AS date, CAST(s AS INTEGER) AS store_nbr, CAST(n AS BIGINT) AS transactions FROM m WHERE reason IS NULL"""), ids="C-05, C-06")
 def coerce_drop(spark, sf):
-    d = prof.coerce(_raw_tx(spark, sf), dates=["date"], numbers={"store_nbr": "double", "transactions": "double"})
-    return d.withColumn("store_nbr", F.col("store_nbr").cast("int"))
+    return split_valid(_raw_tx(spark, sf)).rows
+
+
+@register("clean_rejects", with_views(f"""WITH {_TYPED_SQL}
+SELECT date, store_nbr, transactions, reason FROM m WHERE reason IS NOT NULL"""), ids="C-05, C-06, C-07")
+def clean_rejects(spark, sf):
+    return split_valid(_raw_tx(spark, sf)).rejects
+
+
+@register("clean_counts", with_views(f"""WITH {_TYPED_SQL}
+SELECT 'rows' AS what, COUNT(*) AS n FROM m UNION ALL SELECT 'accepted', COUNT(*) FILTER (WHERE reason IS NULL) FROM m
+""" + "".join(f"UNION ALL SELECT '{r}', COUNT(*) FILTER (WHERE reason = '{r}') FROM m " for r in ("bad date", "bad store", "bad count", "negative count"))), ids="C-05, C-06, C-07")
+def clean_counts(spark, sf):
+    """Observed in the one pass that types the rows, not counted afterwards."""
+    counts = split_valid(_raw_tx(spark, sf)).counts
+    return spark.range(1).select(F.inline(F.array(*(F.struct(F.lit(k).alias("what"), F.lit(v).cast("long").alias("n")) for k, v in counts.items()))))
 
 
 @register("drop_negative", with_views("""
@@ -106,24 +131,14 @@ def drop_negative_q(spark, sf):
     return drop_negative(t, "transactions")
 
 
-@register("dedup_sum", with_views("""
-SELECT CAST(o.o_orderdate AS DATE) AS date, c.c_mktsegment AS segment, COUNT(*) AS transactions
-FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2"""), ids="C-08")
+@register("dedup_sum", with_views(f"""WITH {_TYPED_SQL}
+SELECT d AS date, CAST(s AS INTEGER) AS store_nbr, CAST(SUM(n) AS BIGINT) AS transactions FROM m WHERE reason IS NULL GROUP BY 1, 2"""), ids="C-08")
 def dedup_sum_q(spark, sf):
-    from shelfcast.sources.tables import table
-    o = table(spark, sf, "orders", ["o_custkey", "o_orderdate"])
-    c = table(spark, sf, "customer", ["c_custkey", "c_mktsegment"])
-    rows = o.join(c, o.o_custkey == c.c_custkey).select(F.to_date("o_orderdate").alias("date"),
-                                                         F.col("c_mktsegment").alias("segment"),
-                                                         F.lit(1).cast("long").alias("transactions"))
-    return dedup_sum(rows, ["date", "segment"], "transactions")
-
-
-@register("clean_transactions", with_views("""
-WITH t AS (SELECT CAST(date AS DATE) AS date, CAST(TRY_CAST(store_nbr AS DOUBLE) AS INTEGER) AS store_nbr,
-                  CAST(TRY_CAST(transactions AS DOUBLE) AS BIGINT) AS transactions
-           FROM """ + _RAW_TX_SQL + """ WHERE TRY_CAST(transactions AS DOUBLE) >= 0),
-d AS (SELECT date, store_nbr, SUM(transactions) AS transactions FROM t GROUP BY 1, 2)
+    return dedup_sum(split_valid(_raw_tx(spark, sf)).rows, ["date", "store_nbr"], "transactions")
+
+
+@register("clean_transactions", with_views(f"""WITH {_TYPED_SQL},
+d AS (SELECT d AS date, CAST(s AS INTEGER) AS store_nbr, CAST(SUM(n) AS BIGINT) AS transactions FROM m WHERE reason IS NULL GROUP BY 1, 2)
 SELECT strftime(CAST(g.d AS DATE), '%Y-%m-%d') AS date, k.store_nbr, CAST(COALESCE(d.transactions, 0) AS BIGINT) AS transactions,
   CASE WHEN d.store_nbr IS NULL THEN 1 ELSE 0 END AS is_imputed
 FROM (SELECT DISTINCT store_nbr FROM d) k CROSS JOIN (SELECT MIN(date) d0, MAX(date) d1 FROM d) b
@@ -133,6 +148,19 @@ def clean_transactions_q(spark, sf):
     return clean_transactions(_raw_tx(spark, sf))
 
 
+@register("dq_raw_duplicates", with_views("""
+SELECT COUNT(*) AS dup_keys, COALESCE(SUM(c - 1), 0) AS dup_rows FROM (SELECT date, store_nbr, COUNT(*) AS c FROM """ + _RAW_TX_SQL + """ WHERE date IS NOT NULL GROUP BY 1, 2 HAVING COUNT(*) > 1)"""), ids="C-12")
+def dq_raw_duplicates(spark, sf):
+    return prof.duplicate_key_count(_raw_tx(spark, sf).where("date is not null"), ["date", "store_nbr"])
+
+
+@register("dq_raw_nulls", with_views("""
+SELECT 'date' AS column, COUNT(*) FILTER (WHERE date IS NULL) AS nulls, COUNT(*) AS n_rows FROM """ + _RAW_TX_SQL + """
+UNION ALL SELECT 'transactions', COUNT(*) FILTER (WHERE transactions IS NULL), COUNT(*) FROM """ + _RAW_TX_SQL), ids="C-13")
+def dq_raw_nulls(spark, sf):
+    return prof.null_counts(_raw_tx(spark, sf), ["date", "transactions"])
+
+
 @register("dq_duplicate_keys", with_views("""
 SELECT COUNT(*) AS dup_keys, COALESCE(SUM(c - 1), 0) AS dup_rows FROM (
   SELECT date, store_nbr, family, COUNT(*) AS c FROM sales_panel GROUP BY 1, 2, 3 HAVING COUNT(*) > 1)"""), ids="C-12")

@@ -54,6 +54,14 @@ def _values(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(F.inline(F.array(*one))).where(F.col("x").isNotNull() & ~F.isnan("x"))
 
 
+def _total(values) -> float:
+    values = list(values)
+    try:
+        return math.fsum(values)
+    except (OverflowError, ValueError):  # beyond the largest number, or infinite values of both signs
+        return sum(values)
+
+
 def _ranks(n: int, p: float) -> tuple[int, int]:
     h = (n - 1) * p
     return math.floor(h), math.ceil(h)
@@ -81,8 +89,8 @@ def summarize(df: DataFrame, probs: dict[str, list[float]], few: int = FEW, fine
     for i, c in enumerate(cols):
         own = [r for r in rows if r["column"] == i]
         n = sum(r["n"] for r in own)
-        mean = math.fsum(r["n"] * r["mean"] for r in own) / n if n else None
-        around = math.fsum(r["n"] * (r["var"] + (r["mean"] - mean) ** 2) for r in own)
+        mean = _total(r["n"] * r["mean"] for r in own) / n if n else None
+        around = _total(r["n"] * (r["var"] + (r["mean"] - mean) * (r["mean"] - mean)) for r in own)
         out[c] = Summary(n, mean, math.sqrt(around / (n - 1)) if n > 1 else None, min((r["low"] for r in own), default=None), max((r["high"] for r in own), default=None), [])
         known[i] = {}
         open_parts[i] = (_cut(i, own, 0), {k for p in probs[c] for k in _ranks(n, p)} if n else set())

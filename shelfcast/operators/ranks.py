@@ -41,7 +41,7 @@ def running(df: DataFrame, order: list, sums: dict[str, str] | None = None, posi
 
 
 def average_rank(df: DataFrame, value: str, out: str, by: list[str] | None = None, desc: bool = True) -> DataFrame:
-    """`df` with the rank of `value` within `by`, equal values sharing the mean of their ranks (W-14).
+    """`df` with the rank of `value` within `by`, equal values sharing the mean of their ranks (W-14). Null groups and values are values, nulls ranked last if `desc`.
 
     The distinct values are counted and ranked, so a value that stands in most rows is one row.
     """
@@ -51,8 +51,8 @@ def average_rank(df: DataFrame, value: str, out: str, by: list[str] | None = Non
     order = [*by, F.col(value).desc() if desc else F.col(value).asc()]
     upto = running(counted, order, {"_upto": "_ties"}, "_pos")
     if by:
-        first = upto.groupBy(*by).agg(F.min(F.col("_upto") - F.col("_ties")).alias("_before"))
-        upto = upto.join(first, by)
+        first = upto.groupBy(*(F.col(k).alias(f"_b{i}") for i, k in enumerate(by))).agg(F.min(F.col("_upto") - F.col("_ties")).alias("_before"))
+        upto = upto.join(first, [F.col(k).eqNullSafe(F.col(f"_b{i}")) for i, k in enumerate(by)])
     else:
         upto = upto.withColumn("_before", F.lit(0.0))
     ranked = upto.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), (F.col("_upto") - F.col("_before") - (F.col("_ties") - 1) / 2.0).alias(out))

@@ -1,14 +1,20 @@
-"""Transaction cleaning job (C-04..C-09, C-11): typed, de-duplicated, completed panel."""
+"""Transaction cleaning job (C-04..C-09, C-11..C-13): typed, de-duplicated, completed panel, and what was rejected."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shelfcast.operators.panel import complete_panel
-from shelfcast.operators.profile import clean_columns, coerce
+from shelfcast.operators.profile import clean_columns
+from shelfcast.session import materialize
 from shelfcast.spec import PanelSpec
 
+#: Why a row is rejected: the first of these that holds.
+REASONS = ("bad date", "bad store", "bad count", "negative count")
+
 
 def drop_negative(df: DataFrame, col: str) -> DataFrame:
     """Invalid (negative) counts become missing and are dropped (C-07)."""
@@ -20,13 +26,47 @@ def dedup_sum(df: DataFrame, keys: list[str], col: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.sum(col).alias(col))
 
 
+@dataclass
+class Cleaned:
+    """Rows that are valid, rows that aren't (as they came, with `reason`), and counts: rows, accepted, and one per reason."""
+
+    rows: DataFrame
+    rejects: DataFrame
+    counts: dict[str, int]
+
+
+def typed(raw: DataFrame) -> DataFrame:
+    """raw (date, store_nbr, transactions as text) with day, store, n (null where they can't be read) and `reason` (null: valid)."""
+    df = clean_columns(raw, ["date", "store_nbr", "transactions"])
+    number = lambda c: F.expr(f"try_cast(trim({c}) as double)")
+    day, store, n = F.try_to_date(F.trim(F.col("date"))), number("store_nbr"), number("transactions")
+    whole = lambda v: v.isNotNull() & ~F.isnan(v) & (v == F.floor(v)) & (F.abs(v) < 1e9)
+    df = df.select("*", day.alias("_day"), store.alias("_store"), n.alias("_n"))
+    bad: list[Column] = [F.col("_day").isNull(), ~F.coalesce(whole(F.col("_store")), F.lit(False)), ~F.coalesce(whole(F.col("_n")), F.lit(False)), F.col("_n") < 0]
+    reason = F.coalesce(*(F.when(b, r) for b, r in zip(bad, REASONS, strict=True)))
+    return df.withColumn("reason", reason)
+
+
+def split_valid(raw: DataFrame) -> Cleaned:
+    """One pass over the raw rows: valid and rejected ones are written apart, their numbers are observed on the way (C-05..C-07).
+
+    Starts a job. A raw row is either in `rows` (date, store_nbr, transactions, typed) or in
+    `rejects` (date, store_nbr, transactions as they came, and the first reason that holds).
+    """
+    seen = Observation("cleaning")
+    marked = typed(raw)
+    each = [F.count_if(F.col("reason") == r).alias(f"r{i}") for i, r in enumerate(REASONS)]
+    marked = marked.select("date", "store_nbr", "transactions", "_day", "_store", "_n", "reason", F.col("reason").isNull().alias("valid"))
+    stored = materialize(marked.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if("valid").alias("accepted"), *each), "typed")
+    got = seen.get
+    counts = {"rows": got["rows"], "accepted": got["accepted"], **{r: got[f"r{i}"] for i, r in enumerate(REASONS)}}
+    valid = stored.where("valid").select(F.col("_day").alias("date"), F.col("_store").cast("int").alias("store_nbr"), F.col("_n").cast("long").alias("transactions"))
+    return Cleaned(valid, stored.where("not valid").select("date", "store_nbr", "transactions", "reason"), counts)
+
+
 def clean_transactions(raw: DataFrame, date_string: bool = True) -> DataFrame:
     """raw (date, store_nbr, transactions as text) -> complete daily store panel with `is_imputed`."""
-    df = clean_columns(raw, ["date", "store_nbr", "transactions"])
-    df = coerce(df, dates=["date"], numbers={"store_nbr": "double", "transactions": "double"})
-    df = df.withColumn("store_nbr", F.col("store_nbr").cast("int"))
-    df = drop_negative(df, "transactions").withColumn("transactions", F.col("transactions").cast("long"))
-    df = dedup_sum(df, ["date", "store_nbr"], "transactions")
+    df = dedup_sum(split_valid(raw).rows, ["date", "store_nbr"], "transactions")
     panel = complete_panel(df, PanelSpec(keys=("store_nbr",), target="transactions"),
                            fill={"transactions": 0}, flag_col="is_imputed")
     if date_string:
