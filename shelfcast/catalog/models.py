@@ -91,7 +91,10 @@ def model_roundtrip(spark, sf):
     a = mdl.predict(m, t.where("split = 'test'"), FEATURES).select("date", "store_nbr", "family", F.col("predicted").alias("a"))
     b = mdl.predict(loaded, t.where("split = 'test'"), FEATURES).select("date", "store_nbr", "family", F.col("predicted").alias("b"))
     j = a.join(b, ["date", "store_nbr", "family"])
-    return j.agg(F.count(F.lit(1)).alias("rows"), F.max(F.abs(F.col("a") - F.col("b"))).alias("max_abs_diff"))
+    report = materialize(j.agg(F.count(F.lit(1)).alias("rows"), F.max(F.abs(F.col("a") - F.col("b"))).alias("max_abs_diff")), "roundtrip")
+    if (report.first()["max_abs_diff"] or 0.0) != 0.0:
+        raise ValueError("the loaded model predicts otherwise than the saved one")
+    return report
 
 
 def future_df(spark, sf):

@@ -12,8 +12,8 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "shelfcast") -> SparkSession:
-    """Session for tests and the local bench. A cluster job passes its own session instead."""
+def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "shelfcast", heap: str = "16g") -> SparkSession:
+    """Session for tests and the local bench, with a JVM of `heap`. A cluster job passes its own session instead."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
@@ -24,7 +24,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", heap)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     spark = builder.getOrCreate()
