@@ -42,7 +42,8 @@ BANDS = 1 << (ID_BITS - SIDE_BITS)
 TILES = BANDS * BANDS
 #: Occurrences that a task counts at a time, and entries of a tile from which on it is dense.
 HELD, DENSE = 1 << 22, CELLS >> 3
-SALTS = 16
+#: Parts of a hot tile that are summed at a time.
+FAN_IN = 8
 BLOB = "tile long, salt int, cells binary, counts binary"
 
 
@@ -176,12 +177,12 @@ def _blobs(parts: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def _counted(docs: DataFrame, levels: list[Level], hot: np.ndarray, buckets: int) -> DataFrame:
+def _counted(docs: DataFrame, levels: list[Level], hot: np.ndarray, buckets: int, salts: int) -> DataFrame:
     """Counts by tile and task of the phrases of a word more than `levels` has sizes."""
     size = len(levels) + 1
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        salt = TaskContext.get().partitionId() % SALTS
+        salt = TaskContext.get().partitionId() % salts
         codes, others, held = [], [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -345,12 +346,18 @@ def frequent_phrases(docs: DataFrame, longest: int = 3, least: int = 10, ids: in
     out, before = [words], head["n"]
     for size in range(2, longest + 1):
         hot = _hot_tiles(before, head["n"], total)
-        blobs = _counted(docs, levels, hot, 64 + (total >> 20))
-        sums = materialize(_merged(blobs, size, hot, least, last=False), "tiles")
+        salts = 1 + total // (FAN_IN * HELD)
+        blobs = _counted(docs, levels, hot, 64 + (total >> 20), salts)
+        sums = [materialize(_merged(blobs, size, hot, least, last=salts == 1), "tiles")]
         of_hot = F.col("tile").isin(np.flatnonzero(hot).tolist()) if hot.sum() < 1000 else F.col("tile") < TILES
-        frequent = _decoded(sums.where(~of_hot).union(_merged(sums.where(of_hot), size, hot, least, last=True)), levels)
+        done, rest = (sums[0].where(~of_hot), sums[0].where(of_hot)) if salts > 1 else (sums[0], sums[0].limit(0))
+        while salts > 1:  # a hot tile's sums, a few at a time: no task reads more, at any size
+            salts = -(-salts // FAN_IN)
+            sums.append(materialize(_merged(rest.withColumn("salt", (F.col("salt") % salts).cast("int")), size, hot, least, last=salts == 1), "tiles"))
+            rest = sums[-1]
+        frequent = _decoded(done.union(rest), levels)
         frequent = materialize(frequent, "phrases")
-        discard(sums)
+        discard(*sums)
         names = [f"k{k}" for k in range(1, size + 1)]
         out.append(frequent.select(*names, "key", "n"))
         if size < longest:

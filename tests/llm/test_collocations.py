@@ -91,7 +91,9 @@ def test_dense_and_hot_tiles_and_small_flushes(spark, monkeypatch):
 
 def test_hot_tiles_over_salts(spark, monkeypatch):
     hot = np.ones(module.TILES, bool)
-    monkeypatch.setattr(module, "_hot_tiles", lambda *_: hot)  # every tile is summed over its salts first
+    monkeypatch.setattr(module, "_hot_tiles", lambda *_: hot)  # every tile is summed over its salts, in several rounds
+    monkeypatch.setattr(module, "HELD", 150)
+    monkeypatch.setattr(module, "FAN_IN", 4)
     rows = cases(9)
     assert found(spark, rows) == brute([r[1:] for r in rows])
 
