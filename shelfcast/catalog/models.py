@@ -248,6 +248,18 @@ def scan_typed_csv(spark, sf):
     return sinks.read_typed_csv(spark, path, schema)
 
 
+@register("scan_narrow", with_views("""
+SELECT date, CAST(store_nbr AS SMALLINT) AS store_nbr, family, CAST(sales AS FLOAT) AS sales, CAST(onpromotion AS SMALLINT) AS onpromotion FROM sales_raw"""), ids="S-05, S-01")
+def scan_narrow(spark, sf):
+    """Sales from a CSV file into the narrow types that hold them, declared at read."""
+    from pyspark.sql import types as T
+    rows = fx.sales_raw(spark, sf).select("date", "store_nbr", "family", "sales", F.col("onpromotion").cast("int").alias("onpromotion"))
+    path = sinks.write_table(rows, sinks.shared_path(spark, "sales-csv"), fmt="csv")
+    schema = T.StructType([T.StructField("date", T.DateType()), T.StructField("store_nbr", T.ShortType()), T.StructField("family", T.StringType()),
+                           T.StructField("sales", T.FloatType()), T.StructField("onpromotion", T.ShortType())])
+    return sinks.read_typed_csv(spark, path, schema)
+
+
 @register("schema_align", with_views("SELECT is_imputed, onpromotion, sales, family, store_nbr, date FROM sales_panel"), ids="S-04, P-20")
 def schema_align(spark, sf):
     p = fx.sales_panel(spark, sf)
