@@ -79,7 +79,8 @@ def fit(training: DataFrame, per_language: int = 300, clusters: int = 4, quantil
     """Centroids of `training` (doc_id, text, lang).
 
     Frequencies come from all rows; centroids from about `per_language` documents of each
-    language, chosen by a hash of id and text.
+    language, chosen by a hash of id and text: about that many rows of trigram counts for each
+    language come to the driver. A language of fewer documents is learned from those it has.
     """
     spark = training.sparkSession
     ship_package(spark)

@@ -246,7 +246,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1,
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.7, folds: int = 3, held: int = 1, per_class: int = 2000, exceptions: tuple[tuple[str, str], ...] = ()) -> DataFrame:
-    """The rows of `docs`, with all columns, that `toxicity` scores below `limit`."""
+    """The rows of `docs` (doc_id, text), with all columns, that `toxicity` scores below `limit`.
+
+    Each row is judged for itself, also one that repeats or has a null doc_id. A null text is
+    empty, an empty one stays. Without labels of both kinds the lexicon is empty and all rows stay.
+    """
     ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(lexicon_of(docs, labels, folds, held, per_class, exceptions))
 

@@ -109,7 +109,7 @@ def test_passages_do_not_depend_on_neighbours():
     assert all(np.allclose(a, b) for a, b in zip(together, alone, strict=True))
 
 
-def test_attention_gradients_by_differences():
+def test_training_finds_the_passage_that_tells():
     rng = np.random.default_rng(1)
     bags = [(rng.normal(size=(n, FEATURES)).astype(np.float32), int(k % 2)) for k, n in enumerate([1, 2, 3, 4, 5, 2, 3, 4])]
     for x, y in bags:
