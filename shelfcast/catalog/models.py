@@ -64,7 +64,7 @@ def feature_importance(spark, sf):
 
 
 @register("param_search", None, ids="M-02, M-03, V-03")
-def param_search(spark, sf, trials: int = 2, rounds: int = 2):
+def param_search(spark, sf, trials: int = 9, rounds: int = 9):
     """Search, refit of the best parameters on train and val, and the gaps to the first model (val and test)."""
     t, first = _first_model(spark, sf, rounds)
     train, val, rest = _parts(t)
@@ -73,7 +73,7 @@ def param_search(spark, sf, trials: int = 2, rounds: int = 2):
     scores = [mdl.predict(m, rest, FEATURES).groupBy("split").agg(F.lit(name).alias("model"), *metric_columns("sales", "predicted"))
               for name, m in (("baseline", first), ("tuned", tuned))]
     gaps = metrics_gap(scores[0].unionByName(scores[1]))
-    return gaps.select("*", F.lit(len(found)).alias("trials"), F.lit(min(r for _, r in found)).alias("best_val_rmsle"))
+    return gaps.select("*", F.lit(trials).alias("trials"), F.lit(len(found)).alias("fits"), F.lit(min(e for _, most, e in found if most == rounds)).alias("best_val_rmsle"))
 
 
 def _boosters(t, rounds=SMALL):

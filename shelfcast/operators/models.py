@@ -10,17 +10,18 @@ from __future__ import annotations
 
 import math
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import QuantileDiscretizer, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
-from shelfcast.operators.evaluate import metric_columns
-from shelfcast.session import ship_package
+from shelfcast.session import discard, materialize, ship_package
 
 NULL_SENTINEL = -1.0
 
@@ -88,19 +89,67 @@ def sample_params(space: dict, rng: random.Random) -> dict:
     return out
 
 
-def search(train: DataFrame, val: DataFrame, features: list[str], trials: int = TRIALS, rounds: int = ROUNDS,
-           seed: int = 42, space: dict | None = None, codes_from: DataFrame | None = None) -> tuple[list[tuple[dict, float]], dict]:
-    """Random search (M-02): every trial is fitted with early stopping on `val` and scored there.
+def search_matrix(train: DataFrame, val: DataFrame, features: list[str], label: str = "sales_log", bins: int = 64, codes_from: DataFrame | None = None) -> DataFrame:
+    """The rows of both parts as (features, label, _val), stored: what every trial of a search reads.
 
-    Returns the trials with their RMSLE and the best parameters. Trials run one after another;
-    each is a distributed fit.
+    Text features are codes, all others the numbers of up to `bins` bins of equal frequency of
+    the train part (values outside its range belong to the outer bins, null counts as -1, NaN has a
+    bin of its own).
+    """
+    strings = [c for c, t in train.select(*features).dtypes if t == "string"]
+    numeric = [c for c in features if c not in strings]
+    both = impute(train.withColumn("_val", F.lit(False)).unionByName(val.withColumn("_val", F.lit(True))), features)
+    plain = []
+    if strings:
+        codes = StringIndexer(inputCols=strings, outputCols=[f"{c}__idx" for c in strings], handleInvalid="keep", stringOrderType="alphabetAsc")
+        both = codes.fit((train if codes_from is None else codes_from).select(*strings)).transform(both)
+        plain = [(F.col(f"{c}__idx") + F.lit(0.0)).alias(f"{c}__code") for c in strings]
+    if numeric:
+        cut = QuantileDiscretizer(inputCols=numeric, outputCols=[f"{c}__bin" for c in numeric], numBuckets=bins, relativeError=0.25 / bins, handleInvalid="keep")
+        both = cut.fit(both.where("not _val")).transform(both)
+        # bins are ordered numbers for the trees, not categories
+        plain += [(F.col(f"{c}__bin") + F.lit(0.0)).alias(f"{c}__code") for c in numeric]
+    assembled = VectorAssembler(inputCols=[f"{c}__code" for c in strings + numeric], outputCol="features")
+    return materialize(assembled.transform(both.select(*plain, F.col(label).alias("label"), "_val")).select("features", "label", "_val"), "search-matrix")
+
+
+def rungs(trials: int, rounds: int, eta: int = 3) -> list[tuple[int, int]]:
+    """(trials, rounds) of each rung: as many trials as the last have fewer rounds, so that every rung costs about the same."""
+    levels = 0
+    while trials // eta ** (levels + 1) >= 1 and rounds // eta ** (levels + 1) >= 1:
+        levels += 1
+    return [(max(1, trials // eta**k), max(1, rounds // eta ** (levels - k))) for k in range(levels + 1)]
+
+
+def search(train: DataFrame, val: DataFrame, features: list[str], trials: int = TRIALS, rounds: int = ROUNDS, seed: int = 42, space: dict | None = None,
+           codes_from: DataFrame | None = None, eta: int = 3, parallel: int = 4) -> tuple[list[tuple[dict, int, float]], dict]:
+    """Random search by successive halving (M-02): all trials get few rounds, the best `eta`-th of them `eta` times as many, and so on to `rounds`.
+
+    Every fit ends early when its error on `val` no longer falls. Trials of a rung are
+    concurrent jobs, `parallel` at a time, over one stored matrix (`search_matrix`). Returns one
+    (parameters, rounds, RMSLE on val) for every fit, in the order of rungs and then of the
+    draws, and the best parameters of the last rung. Parameters of equal error: the ones drawn first.
     """
     rng, found = random.Random(seed), []
-    for _ in range(trials):
-        params = sample_params(space or SEARCH_SPACE, rng)
-        model = fit_gbt(train, features, val=val, params=params, rounds=rounds, codes_from=codes_from)
-        found.append((params, predict(model, val, features).agg(metric_columns("sales", "predicted")[0].alias("r")).first()["r"]))
-    return found, min(found, key=lambda x: x[1])[0]
+    alive = [sample_params(space or SEARCH_SPACE, rng) for _ in range(trials)]
+    matrix = search_matrix(train, val, features, codes_from=codes_from)
+    held = matrix.where("_val")
+    # predictions below 0 on the log scale are forecasts of 0
+    error = F.sqrt(F.avg(F.pow(F.greatest("pred", F.lit(0.0)) - F.greatest("label", F.lit(0.0)), F.lit(2.0)))).alias("e")
+
+    def trial(params: dict, most: int) -> float:
+        p = {"maxIter": most, "seed": seed, "maxBins": 64, **BASELINE, **params}
+        return GBTRegressor(featuresCol="features", labelCol="label", predictionCol="pred", validationIndicatorCol="_val", **p).fit(matrix).transform(held).agg(error).first()["e"]
+
+    for count, most in rungs(trials, rounds, eta):
+        alive = alive[:count]
+        with ThreadPoolExecutor(parallel) as pool:
+            jobs = [pool.submit(inheritable_thread_target(matrix.sparkSession)(trial), params, most) for params in alive]
+            errors = [j.result() for j in jobs]
+        found += [(params, most, e) for params, e in zip(alive, errors, strict=True)]
+        alive = [alive[i] for i in sorted(range(len(alive)), key=lambda i: (math.inf if errors[i] is None else errors[i], i))]
+    discard(matrix)
+    return found, alive[0]
 
 
 def blended(models: list[tuple[PipelineModel, float]], df: DataFrame, features: list[str]) -> DataFrame:

@@ -65,5 +65,23 @@ def test_fit_stop_and_blend(spark):
     one, two = ({(r["x"], r["c"]): r["pred_log"] for r in mdl.predict(m, val, ["x", "c"]).collect()} for m in (a, b))
     for r in out:
         assert r["predicted"] == pytest.approx(max(math.expm1(0.3 * one[r["x"], r["c"]] + 0.7 * two[r["x"], r["c"]]), 0.0))
-    found, best = mdl.search(train, val, ["x", "c"], trials=2, rounds=2, codes_from=df)
-    assert len(found) == 2 and best in [p for p, _ in found]
+
+
+def test_successive_halving(spark):
+    assert mdl.rungs(45, 1000) == [(45, 37), (15, 111), (5, 333), (1, 1000)] and mdl.rungs(9, 9) == [(9, 1), (3, 3), (1, 9)]
+    assert mdl.rungs(1, 50) == [(1, 50)] and mdl.rungs(20, 1) == [(20, 1)] and mdl.rungs(2, 9) == [(2, 9)]
+    rows = [(float(k * 37 % 101) if k % 17 else None, "ab"[k % 2], float(k * 37 % 101) ** 2 + 10 * (k % 2), k % 5 == 0) for k in range(500)]
+    df = spark.createDataFrame(rows, "x double, c string, sales double, held boolean").withColumn("sales_log", F.log1p("sales"))
+    train, val = df.where("not held").drop("held"), df.where("held").drop("held")
+    matrix = mdl.search_matrix(train, val, ["x", "c"], bins=8)
+    bins = {r["features"][1] for r in matrix.collect()}
+    assert matrix.count() == 500 and bins == set(map(float, range(len(bins)))) and 7 <= len(bins) <= 8
+    space = {**mdl.SEARCH_SPACE, "minInstancesPerNode": ("int", 2, 40)}
+    found, best = mdl.search(train, val, ["x", "c"], trials=6, rounds=4, eta=2, space=space, codes_from=df)
+    assert [m for _, m, _ in found] == [1] * 6 + [2] * 3 + [4]
+    rng = random.Random(42)
+    assert [p for p, _, _ in found[:6]] == [mdl.sample_params(space, rng) for _ in range(6)]
+    order = sorted(found[:6], key=lambda x: x[2])
+    assert [p for p, _, _ in found[6:9]] == [p for p, _, _ in order[:3]] and best == min(found[6:9], key=lambda x: x[2])[0] == found[9][0]
+    again, _ = mdl.search(train, val, ["x", "c"], trials=6, rounds=4, eta=2, space=space, codes_from=df, parallel=1)
+    assert [(p, m) for p, m, _ in again] == [(p, m) for p, m, _ in found] and [e for *_, e in again] == pytest.approx([e for *_, e in found])
