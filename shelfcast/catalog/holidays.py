@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfcast.functions.calendar import in_periods
-from shelfcast.functions.numeric import exact_avg
+from shelfcast.functions.numeric import exact_avg, exact_sum
 from shelfcast.catalog.sqlparts import exact_mean_sql
 from shelfcast.operators.panel import complete_panel, interpolate_linear
 from shelfcast.plans import holidays as hol
@@ -221,3 +221,62 @@ SELECT event_seq, type, COALESCE(CASE type WHEN 'Holiday' THEN 1 WHEN 'Event' TH
   WHEN 'Transfer' THEN 4 WHEN 'Bridge' THEN 5 WHEN 'Work Day' THEN 0 END, 0) AS type_code FROM {_IN_RANGE}"""), ids="P-13")
 def map_encode(spark, sf):
     return _in_range(spark, sf).select("event_seq", "type", hol.map_code("type", hol.TYPE_CODES).cast("int").alias("type_code"))
+
+
+# ---------------------------------------------------------------- the calendar where it holds: reports that grow with the sales
+
+EXPOSED_SQL = """
+WITH sd AS (SELECT store_nbr, date, CAST(SUM(CAST(sales AS DECIMAL(38,6))) AS DOUBLE) AS sales, COUNT(*) AS n_rows FROM sales_raw GROUP BY 1, 2),
+x AS (SELECT sd.store_nbr, sd.date, h.event_seq, h.type, h.locale, h.description, h.transferred, sd.sales, sd.n_rows
+  FROM sd JOIN holidays_events h ON h.date = sd.date LEFT JOIN stores s ON s.store_nbr = sd.store_nbr
+  WHERE h.locale = 'National' OR (h.locale = 'Regional' AND h.locale_name = s.state) OR (h.locale = 'Local' AND h.locale_name = s.city))
+"""
+
+
+def _exposed(spark, sf):
+    return hol.exposure(fx.sales_raw(spark, sf), fx.stores(spark, sf), fx.holidays_events(spark))
+
+
+def _frequency(df, by):
+    """Store days, distinct days, sales and share of all store days per value, and whether it comes once only or is the most common."""
+    g = df.groupBy(by).agg(F.count(F.lit(1)).alias("store_days"), F.count_distinct("date").alias("n_days"), exact_sum("sales").alias("sales"))
+    total, top = (g.agg(f("store_days").alias("t")).select("t").scalar() for f in (F.sum, F.max))
+    return g.select("*", F.round(100 * F.col("store_days") / total, 4).alias("pct"), (F.col("n_days") == 1).alias("single"), (F.col("store_days") == top).alias("most_common"))
+
+
+def _frequency_sql(by):
+    return with_views(EXPOSED_SQL.rstrip() + f""",
+g AS (SELECT {by}, COUNT(*) AS store_days, COUNT(DISTINCT date) AS n_days, CAST(SUM(CAST(sales AS DECIMAL(38,6))) AS DOUBLE) AS sales FROM x GROUP BY {by})
+SELECT *, round(100 * store_days / (SELECT SUM(store_days) FROM g), 4) AS pct, n_days = 1 AS single, store_days = (SELECT max(store_days) FROM g) AS most_common FROM g""")
+
+
+@register("event_type_exposure", _frequency_sql("type"), ids="A-15")
+def event_type_exposure(spark, sf):
+    return _frequency(_exposed(spark, sf), "type")
+
+
+@register("locale_exposure", _frequency_sql("locale"), ids="A-15")
+def locale_exposure(spark, sf):
+    return _frequency(_exposed(spark, sf), "locale")
+
+
+@register("holiday_exposure", with_views(EXPOSED_SQL.rstrip() + """
+SELECT store_nbr, date, event_seq, CASE type WHEN 'Holiday' THEN 1 WHEN 'Event' THEN 2 WHEN 'Additional' THEN 3
+    WHEN 'Transfer' THEN 4 WHEN 'Bridge' THEN 5 WHEN 'Work Day' THEN 0 ELSE 0 END AS type_code,
+  CASE WHEN COALESCE(contains(lower(description), 'carnaval'), false) THEN 1 ELSE 0 END AS is_carnaval, n_rows, sales FROM x"""), ids="P-12, P-13")
+def holiday_exposure(spark, sf):
+    return _exposed(spark, sf).select("store_nbr", "date", "event_seq", hol.map_code("type", hol.TYPE_CODES).cast("int").alias("type_code"), hol.text_flag("description", "carnaval").alias("is_carnaval"), "n_rows", "sales")
+
+
+@register("holiday_store_profile", with_views(EXPOSED_SQL.rstrip() + """,
+d AS (SELECT store_nbr, date, COUNT(*) AS c FROM x GROUP BY 1, 2),
+m AS (SELECT store_nbr, year(date) AS year, COUNT(*) AS event_days, COUNT(*) FILTER (WHERE c > 1) AS multi_event_days FROM d GROUP BY 1, 2)
+SELECT x.store_nbr, year(x.date) AS year, COUNT(*) AS n_events, any_value(m.event_days) AS event_days, any_value(m.multi_event_days) AS multi_event_days,
+  round(avg(CASE WHEN transferred THEN 1.0 ELSE 0.0 END), 6) AS transfer_share, round(avg(CASE WHEN locale = 'National' THEN 1.0 ELSE 0.0 END), 6) AS national_share
+FROM x JOIN m ON m.store_nbr = x.store_nbr AND m.year = year(x.date) GROUP BY 1, 2"""), ids="A-16")
+def holiday_store_profile(spark, sf):
+    """Per store and year: entries that hold there on its days with sales, days with several, shares of transferred and of national ones."""
+    day = _exposed(spark, sf).groupBy("store_nbr", F.year("date").alias("year"), "date").agg(
+        F.count(F.lit(1)).alias("c"), F.count_if("transferred").alias("t"), F.count_if(F.col("locale") == "National").alias("n"))
+    return day.groupBy("store_nbr", "year").agg(F.sum("c").alias("n_events"), F.count(F.lit(1)).alias("event_days"), F.count_if(F.col("c") > 1).alias("multi_event_days"),
+                                                F.round(F.sum("t") / F.sum("c"), 6).alias("transfer_share"), F.round(F.sum("n") / F.sum("c"), 6).alias("national_share"))

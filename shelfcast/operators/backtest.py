@@ -97,9 +97,9 @@ def booster_forecasts(table: DataFrame, keys: list[str], starts: list[dt.date],
     `lags` gives, for each feature that looks back fewer days than the horizon is long, that
     number of days: from there on it isn't known and is null, as in a real forecast. `encoded`
     names a key and its target encoding, which is fitted anew on the rows before each origin.
-    `settings`: parameters and weight of each booster. One fit per origin and booster.
+    `settings`: parameters and weight of each booster. One fit per origin and booster, one after another.
     """
-    out = None
+    out, types = None, dict(table.dtypes)
     for origin in starts:
         history = table.where(F.col("date") < F.lit(origin))
         asked = table.where(F.col("date").between(F.lit(origin), F.lit(origin + dt.timedelta(days=horizon - 1))))
@@ -108,7 +108,7 @@ def booster_forecasts(table: DataFrame, keys: list[str], starts: list[dt.date],
             codes = target_encode_fit(history, encoded[0], value)
             history, asked = (target_encode_apply(x.drop(encoded[1]), codes, *encoded) for x in (history, asked))
         fitted = [(mdl.fit_gbt(history, features, params=p, rounds=rounds, codes_from=table), w) for p, w in settings]
-        rows = mdl.blended(fitted, asked, features).select(*keys, F.lit(origin).alias("origin"), "date", F.lit(name).alias("model"), F.lit(None).cast("string").alias("detail"),
+        rows = mdl.blended(fitted, asked, features).select(*[F.col(k).cast(types[k]).alias(k) for k in keys], F.lit(origin).alias("origin"), "date", F.lit(name).alias("model"), F.lit(None).cast("string").alias("detail"),
                                                            F.col(value).cast("double").alias("actual"), "predicted")
         out = rows if out is None else out.unionByName(rows)
     return out

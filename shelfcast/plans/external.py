@@ -11,7 +11,9 @@ from shelfcast.operators.panel import complete_panel, ffill_bfill
 from shelfcast.operators.windows import lag_col, pct_change, rolling_col
 from shelfcast.spec import PanelSpec
 
+# Feature names.
 OIL_FEATURES = ["oil_price", "oil_price_lag_7", "oil_price_lag_14", "oil_price_rolling_mean_28", "oil_price_change_pct"]
+# Feature names.
 STORE_FEATURES = ["type", "city", "state", "cluster", "store_type_enc", "city_freq", "state_freq", "store_type_encoded"]
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.calendar import in_periods
+from shelfcast.functions.numeric import exact_sum
 from shelfcast.operators.joins import nearest_event_distance
 from shelfcast.spec import SHOCK_PERIODS
 
@@ -19,6 +20,7 @@ from shelfcast.spec import SHOCK_PERIODS
 TYPE_CODES = {"Holiday": 1, "Event": 2, "Additional": 3, "Transfer": 4, "Bridge": 5, "Work Day": 0}
 # Dedup priority per type for the holiday analysis table (others 4).
 TYPE_PRIORITY = {"Bridge": 1, "Transfer": 2, "Holiday": 3}
+# Names of the features and of the scopes with their flags.
 HOLIDAY_FEATURES = [
     "is_national_holiday", "is_regional_holiday", "is_local_holiday",
     "is_transferred_holiday", "holiday_type", "is_carnaval_feature",
@@ -136,3 +138,17 @@ def holiday_analysis(daily: DataFrame, oil_daily: DataFrame, holidays: DataFrame
     per = holiday_periods(events)
     return d.join(per, "date", "left").withColumn(
         "period_type", F.coalesce("period_type", F.lit("Normal")))
+
+
+def exposure(fact: DataFrame, stores: DataFrame, holidays: DataFrame, value: str = "sales") -> DataFrame:
+    """One row per (store, day with rows in `fact`, entry of the calendar that holds there): the entry, `value` summed, rows of `fact`.
+
+    All entries count, also transferred ones. A national entry holds in every store, a regional
+    one in the stores of its state, a local one in those of its city. The fact is summed to a
+    store's days before it meets the calendar, so it is shuffled once and never multiplied.
+    """
+    days = fact.groupBy("store_nbr", "date").agg(exact_sum(value).alias(value), F.count(F.lit(1)).alias("n_rows"))
+    entries = holidays.select("date", "event_seq", "type", "locale", "locale_name", "description", "transferred")
+    found = days.join(entries, "date").join(stores.select("store_nbr", "city", "state"), "store_nbr", "left")
+    here = F.when(F.col("locale") == "Regional", F.col("locale_name") == F.col("state")).when(F.col("locale") == "Local", F.col("locale_name") == F.col("city")).otherwise(F.col("locale") == "National")
+    return found.where(here).select("store_nbr", "date", "event_seq", "type", "locale", "description", "transferred", value, "n_rows")
