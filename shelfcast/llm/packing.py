@@ -155,7 +155,7 @@ def pieces(docs: DataFrame, length: int, end_id: int, tokenizer_json: str, ranks
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary")
 
 
-def pack(docs: DataFrame, length: int = 1024, end_id: int = 0, tolerance: int = 32, tokenizer_json: str = "", ranks_file: str | None = None, buckets: int = 64) -> DataFrame:
+def pack(docs: DataFrame, length: int = 1024, end_id: int = 0, tolerance: int = 32, tokenizer_json: str = "", ranks_file: str | None = None, part_rows: int = 16384) -> DataFrame:
     """Pack `docs` (doc_id, text; other columns are ignored) into sequences of at most `length` ids.
 
     One row per piece: doc_id, start (the document's ids before it), length, ids_crc32,
@@ -163,19 +163,15 @@ def pack(docs: DataFrame, length: int = 1024, end_id: int = 0, tolerance: int =
     Null and empty texts are a single end id. Rows that repeat, also with the same doc_id,
     are packed each for itself; a null doc_id stays null. An empty table gives no rows.
 
-    `tolerance`: tokens of a gap for which no piece is cut. `buckets`: among pieces of equal
-    length (a third of all rows may have the same) ranks are given in so many parts at once.
+    `tolerance`: tokens of a gap for which no piece is cut. `part_rows`: pieces of equal length (a
+    third of all rows may have the same) are ranked in parts of about so many rows, whatever the
+    size of the input; only rows that repeat as a whole stay in one part. The driver gets one
+    number per length; where each part's ranks begin is a running sum in Spark.
     """
     spark = docs.sparkSession
     found = materialize(pieces(docs, length, end_id, tokenizer_json, ranks_file), "pieces")
-    part = F.pmod(F.xxhash64("doc_id", "start"), F.lit(buckets)).alias("part")
-    counts = found.groupBy("length", part).count().collect()  # at most length * buckets rows
-    histogram: dict[int, int] = defaultdict(int)
-    before: dict[tuple[int, int], int] = {}
-    for size, bucket, n in sorted(map(tuple, counts)):
-        before[size, bucket] = histogram[size]
-        histogram[size] += n
-    patterns = fill_gaps(pack_histogram(dict(histogram), length), length, tolerance)
+    histogram = dict(sorted(map(tuple, found.groupBy("length").count().collect())))  # at most `length` rows
+    patterns = fill_gaps(pack_histogram(histogram, length), length, tolerance)
 
     plan, first = [], 0
     for parts, count in patterns:
@@ -185,13 +181,18 @@ def pack(docs: DataFrame, length: int = 1024, end_id: int = 0, tolerance: int =
             offset += p.size
         first += count
     cut = sorted({p[0] for p in plan if p[0] != p[2]})
-    starts = spark.createDataFrame([(*k, n) for k, n in before.items()], "length long, part long, before long")
     table = spark.createDataFrame(plan, "length long, cut_at long, size long, low long, high long, shift long, offset long")
+    shares = spark.createDataFrame([(size, -(-n // part_rows)) for size, n in histogram.items()], "length long, parts long")
 
+    part = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.col("parts")).alias("part")
+    parted = found.join(F.broadcast(shares), "length")  # at most `length` rows
+    counts = materialize(parted.groupBy("length", part).count(), "parts")
+    before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("length", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))  # one row for about part_rows pieces
     ranked = (
-        found.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", part, F.when(F.col("length").isin(cut), F.col("ids")).alias("ids"))
+        parted.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", part, F.when(F.col("length").isin(cut), F.col("ids")).alias("ids"))
         .withColumn("rank", F.row_number().over(Window.partitionBy("length", "part").orderBy("doc_id", "start", "ids_crc32")) - 1)
-        .join(F.broadcast(starts), ["length", "part"])  # at most length * buckets rows
+        .join(starts, ["length", "part"])
         .withColumn("rank", F.col("rank") + F.col("before"))
     )
     placed = ranked.join(F.broadcast(table), "length").where("low <= rank and rank < high")  # rows by patterns

@@ -25,7 +25,7 @@ def test_every_token_once_and_little_padding(spark, length):
     rng = random.Random(1)
     texts = [(k, " ".join(f"word{rng.randrange(99)}" for _ in range(rng.randrange(0, 300)))) for k in range(150)]
     texts += [(200 + k, "the same text " * 100) for k in range(40)] + [(None, "x"), (None, None), (5, None), (5, ""), (5, "twice"), (5, "twice"), (300, "long " * 60000), (301, "a <|endoftext|> b 漢字 é"), (302, "")]
-    rows = pack(docs(spark, texts), length, 0, 2, JSON, RANKS, buckets=3).collect()
+    rows = pack(docs(spark, texts), length, 0, 2, JSON, RANKS, part_rows=20).collect()
     encode = _encoder(JSON, None)
     want = sorted(np.append(encode(t or ""), np.uint32(0)).astype("<u4").tobytes() for _, t in texts)
     # put the documents together again: by id, token count and the checksums of their pieces
