@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfcast.catalog.backtests import comparison_sql
+from shelfcast.catalog.sqlparts import metrics_sql
 from shelfcast.operators import backtest as bt
 from shelfcast.operators import models as mdl
 from shelfcast.session import materialize
@@ -104,6 +105,12 @@ def test_reports_agree_with_sql_on_stored_predictions(spark, panel, series):
     assert len(rows) == sum(any(o <= d < o + dt.timedelta(days=H) for d in own) for own in series.values() for o in STARTS)
     for r, e in zip(rows, sorted(expected, key=key), strict=True):
         assert all(x == (pytest.approx(y, abs=2e-6) if isinstance(y, float) else y) for x, y in zip(r, e, strict=True))
+    for by in ("origin", "date"):  # error tables of any model come from its stored predictions
+        table = sorted(map(tuple, bt.scores(pred, [by]).select(by, "model", "rmsle", "rmse", "mae", "n", "n_rows", "failed").collect()), key=str)
+        sql = sorted(con.execute(f"SELECT {by}, model, rmsle, rmse, mae, n, n_rows, failed FROM (SELECT {by}, model, {metrics_sql('actual', 'predicted')}, COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE predicted IS NULL) AS failed FROM pr GROUP BY {by}, model)").fetchall(), key=str)
+        for r, e in zip(table, sql, strict=True):
+            assert all(x == (pytest.approx(y, abs=2e-6) if isinstance(y, float) else y) for x, y in zip(r, e, strict=True))
+
     alone = next(r for r in compared.collect() if r["family"] == "c")
     assert (alone["train_days"], alone["val_days"], alone["best"], alone["failed_arima"], alone["rmsle_arima"]) == (0, 1, None, 1, None)
 
