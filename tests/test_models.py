@@ -85,3 +85,14 @@ def test_successive_halving(spark):
     assert [p for p, _, _ in found[6:9]] == [p for p, _, _ in order[:3]] and best == min(found[6:9], key=lambda x: x[2])[0] == found[9][0]
     again, _ = mdl.search(train, val, ["x", "c"], trials=6, rounds=4, eta=2, space=space, codes_from=df, parallel=1)
     assert [(p, m) for p, m, _ in again] == [(p, m) for p, m, _ in found] and [e for *_, e in again] == pytest.approx([e for *_, e in found])
+
+
+def test_small_steps_do_not_stop_boosting(spark):
+    df = spark.createDataFrame([(float(k % 97), float(k % 89), k % 4 == 0) for k in range(800)], "x double, y double, held boolean")
+    df = df.withColumn("sales", F.col("x") * F.col("y")).withColumn("sales_log", F.log1p("sales"))
+    train, val = df.where("not held").drop("held"), df.where("held").drop("held")
+    params = {"stepSize": 0.02, "maxDepth": 3, "minInstancesPerNode": 2, "subsamplingRate": 1.0}
+    assert mdl.fit_gbt(train, ["x", "y"], val=val, params=params, rounds=6).stages[-1].getNumTrees == 6
+    found, _ = mdl.search(train, val, ["x", "y"], trials=1, rounds=6, space={**mdl.SEARCH_SPACE, "stepSize": ("float", 0.02, 0.02), "minInstancesPerNode": ("int", 2, 2)})
+    one, _ = mdl.search(train, val, ["x", "y"], trials=1, rounds=1, space={**mdl.SEARCH_SPACE, "stepSize": ("float", 0.02, 0.02), "minInstancesPerNode": ("int", 2, 2)})
+    assert found[0][2] < one[0][2]
