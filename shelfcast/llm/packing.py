@@ -18,10 +18,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfcast.llm.textbytes import text_array
+from shelfcast.llm.textbytes import release, slices, text_array
 from shelfcast.session import materialize, ship_package
 
 SPECIAL = "<|endoftext|>"
@@ -140,7 +140,7 @@ def pieces(docs: DataFrame, length: int, end_id: int, tokenizer_json: str, ranks
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(tokenizer_json, ranks_file)
-        for batch in batches:
+        for batch in slices(batches):
             rows: list[list] = [[], [], [], [], [], []]
             for doc, text in zip(text_array(batch, "doc_id").to_pylist(), text_array(batch, "text"), strict=True):
                 ids = np.append(encode(text.as_py() or ""), np.uint32(end_id))
@@ -151,10 +151,18 @@ def pieces(docs: DataFrame, length: int, end_id: int, tokenizer_json: str, ranks
                     for column, value in zip(rows, (doc, start, size, zlib.crc32(one), len(ids), one if size < length else None), strict=True):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in rows[:5]), pa.array(rows[5], pa.binary())], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"])
+        del encode
+        release()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary")
 
 
+def _table(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
+    """Rows of longs by way of Arrow: a list of tuples would start Python workers of another kind on the executors."""
+    columns = zip(*rows, strict=True) if rows else [[] for _ in names]
+    return spark.createDataFrame(pa.table([pa.array(c, pa.int64()) for c in columns], names=names))
+
+
 def pack(docs: DataFrame, length: int = 1024, end_id: int = 0, tolerance: int = 32, tokenizer_json: str = "", ranks_file: str | None = None, part_rows: int = 16384) -> DataFrame:
     """Pack `docs` (doc_id, text; other columns are ignored) into sequences of at most `length` ids.
 
@@ -181,8 +189,8 @@ def pack(docs: DataFrame, length: int = 1024, end_id: int = 0, tolerance: int =
             offset += p.size
         first += count
     cut = sorted({p[0] for p in plan if p[0] != p[2]})
-    table = spark.createDataFrame(plan, "length long, cut_at long, size long, low long, high long, shift long, offset long")
-    shares = spark.createDataFrame([(size, -(-n // part_rows)) for size, n in histogram.items()], "length long, parts long")
+    table = _table(spark, plan, ["length", "cut_at", "size", "low", "high", "shift", "offset"])
+    shares = _table(spark, [(size, -(-n // part_rows)) for size, n in histogram.items()], ["length", "parts"])
 
     part = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.col("parts")).alias("part")
     parted = found.join(F.broadcast(shares), "length")  # at most `length` rows

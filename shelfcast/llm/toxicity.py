@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.labels import fold, labelled_sample
-from shelfcast.llm.textbytes import shingle_sets, text_array
+from shelfcast.llm.textbytes import shingle_sets, slices, text_array
 from shelfcast.session import materialize, ship_package
 
 #: Letters of other scripts that look like Latin ones.
@@ -257,7 +257,7 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.7, folds:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = shared.value
         automaton = lexicon.automaton()
-        for batch in batches:
+        for batch in slices(batches):
             keep = [lexicon.score(lexicon.density(fold_text(t.as_py() or ""), automaton)) < limit for t in text_array(batch, "text")]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
