@@ -145,7 +145,7 @@ FROM (SELECT DISTINCT store_nbr FROM d) k CROSS JOIN (SELECT MIN(date) d0, MAX(d
 CROSS JOIN LATERAL unnest(generate_series(b.d0, b.d1, INTERVAL 1 DAY)) AS g(d)
 LEFT JOIN d ON d.store_nbr = k.store_nbr AND d.date = CAST(g.d AS DATE)"""), ids="C-04..C-11, P-07")
 def clean_transactions_q(spark, sf):
-    return clean_transactions(_raw_tx(spark, sf))
+    return clean_transactions(_raw_tx(spark, sf), fractions=False)
 
 
 @register("dq_raw_duplicates", with_views("""
