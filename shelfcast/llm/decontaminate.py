@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.llm.flags import without
-from shelfcast.llm.textbytes import ALNUM_WORD, gram_hashes, list_column, range_hashes, runs, text_array, word_hashes
+from shelfcast.llm.textbytes import ALNUM_WORD, gram_hashes, list_column, range_hashes, release, runs, text_array, word_hashes
 from shelfcast.session import materialize, ship_package
 
 WINDOW = 13
@@ -143,6 +143,7 @@ def find_windows(docs: DataFrame, items: DataFrame, keys: list[str], bits: int =
 
         long, short = shared.value
         yield from _fingerprints(batches, keys, [(m, flags(w)) for m, w in short], flags(long), bits)
+        release()
 
     types = dict(docs.dtypes)
     schema = ", ".join([*(f"`{k}` {types[k]}" for k in keys), "n_words long", "hits array<struct<hash:long,at:long,windows:array<long>,words:long>>"])
